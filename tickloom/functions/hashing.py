@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def fnv1a64(text: Column) -> Column:
     positions = F.sequence(F.lit(0), F.octet_length(text) - 1)
     return (
         F.when(text.isNull(), F.lit(None))
-        .when(F.octet_length(text) == 0, F.lit(FNV_OFFSET).cast("decimal(20,0)"))
+        .when(F.octet_length(text) == 0, F.lit(Decimal(FNV_OFFSET)).cast("decimal(20,0)"))
         .otherwise(F.aggregate(positions, start, step, finish))
     )
 

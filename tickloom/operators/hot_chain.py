@@ -13,13 +13,19 @@ same instant are reduced to the first one, combined before the shuffle.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.session import broadcast_if_small, materialize
 
+# The helpers below travel with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Segments per group when functions are combined.
 FAN_IN = 8
 # Cells per window; cells are the unit from which segments are made up.
