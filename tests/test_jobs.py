@@ -1,0 +1,136 @@
+"""Batch and streaming jobs from frames to the table."""
+
+from datetime import timedelta
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from conftest import NOON
+from tickloom.operators.metrics import MetricsLog, Snapshot
+from tickloom.plans.ingest import run_ingest
+from tickloom.schema import FRAME_SCHEMA, IngestOptions
+from tickloom.sources.frames import stream_frames
+from tickloom.sources.registry import REGISTRY_DDL
+from tickloom.sources.tick_table import TickTable
+from tickloom.streaming.ingest import approximate_dedup, await_drain, backlog, start_ingest
+
+OPTIONS = IngestOptions(dedup_window=timedelta(seconds=10))
+LONG = IngestOptions(dedup_window=timedelta(minutes=5))
+
+
+@pytest.fixture
+def registry(spark):
+    rows = [("lines", "csv", "wss://a", True), ("objects", "binance", "wss://b", True), ("off", "csv", "", False)]
+    return spark.createDataFrame(rows, REGISTRY_DDL)
+
+
+def frame_rows(keys, start_seq=0):
+    """Frames of the feed `lines`: (key, arrival second)."""
+    ms = int(NOON.timestamp() * 1000)
+    return [
+        ("lines", bytearray(f"ETHUSD,10,1,{ms},{key}".encode()), NOON + timedelta(seconds=at), start_seq + i)
+        for i, (key, at) in enumerate(keys)
+    ]
+
+
+def make_frames(spark, rows):
+    return spark.createDataFrame(rows, FRAME_SCHEMA)
+
+
+def test_batch_job(spark, tmp_path, registry):
+    rows = frame_rows([(i % 40, i // 40) for i in range(200)])
+    rows += [("lines", bytearray(b"junk"), NOON, 1000 + i) for i in range(7)]
+    rows += [("objects", bytearray(b'{"s":"B D","p":"1","q":"1","T":0,"a":1}'), NOON, 2000)]
+    rows += [("off", bytearray(b"never looked at"), NOON, 3000), ("unlisted", bytearray(b"x"), NOON, 3001)]
+    table = TickTable(spark, str(tmp_path / "ticks"))
+    log = MetricsLog(spark, str(tmp_path / "log"))
+    quarantine = str(tmp_path / "rejects")
+    counts = run_ingest(make_frames(spark, rows), registry, table, LONG, 0, quarantine, log)
+    assert counts == log.snapshot() == Snapshot(200, 160, 40, 8)
+    assert table.read().count() == 40
+    rejects = spark.read.parquet(quarantine).groupBy("reason").count().collect()
+    assert {r["reason"]: r["count"] for r in rejects} == {"malformed_frame": 7, "bad_symbol": 1}
+
+
+def test_key_let_through_twice_is_refused_by_the_table(spark, tmp_path, registry):
+    table = TickTable(spark, str(tmp_path / "ticks"))
+    with pytest.raises(RuntimeError, match="occurs 2 times"):
+        run_ingest(make_frames(spark, frame_rows([(1, 0), (1, 10)])), registry, table, OPTIONS)
+    assert table.read().count() == 0
+
+
+def _simulate(keys):
+    expiry, kept = {}, []
+    for key, at in sorted(keys, key=lambda k: k[1]):
+        if expiry.get(key, -1) <= at:
+            expiry[key] = at + 10
+            kept.append((key, at))
+    return sorted(kept)
+
+
+def _stored(table):
+    rows = table.read().select("source_id", F.unix_seconds("ingest_ts").alias("s")).collect()
+    return sorted((r.source_id, r.s - int(NOON.timestamp())) for r in rows)
+
+
+class FailsOnce(TickTable):
+    """Loses the connection right after a batch was committed."""
+
+    failed = False
+
+    def append(self, ticks, batch_id, **kwargs):
+        commit = super().append(ticks, batch_id, **kwargs)
+        if batch_id == 1 and not FailsOnce.failed:
+            FailsOnce.failed = True
+            raise OSError("connection lost")
+        return commit
+
+
+def test_stream_equals_batch_across_failure_and_restart(spark, tmp_path, registry):
+    keys = [((i * 7) % 23, i // 4) for i in range(240)]
+    feed, progress = str(tmp_path / "feed"), str(tmp_path / "progress")
+    table = FailsOnce(spark, str(tmp_path / "ticks"), "keep")
+    log = MetricsLog(spark, str(tmp_path / "log"))
+    frames = stream_frames(spark, feed, max_files_per_trigger=1)
+
+    def start():
+        return start_ingest(frames, registry, table, progress, OPTIONS, None, log, drain=True)
+
+    for i in range(3):
+        part = make_frames(spark, frame_rows(keys[i * 80 : i * 80 + 80], i * 80))
+        part.coalesce(1).write.mode("append").parquet(feed)
+    query = start()
+    # The batch's own error comes out; nothing hangs.
+    with pytest.raises(StreamingQueryException, match="connection lost"):
+        query.awaitTermination(120)
+    resumed = start()
+    assert await_drain(resumed, timedelta(seconds=120))
+    assert _stored(table) == _simulate(keys)
+    counts = log.snapshot()
+    assert (counts.received, counts.written, counts.in_flight) == (240, len(_simulate(keys)), 0)
+    assert [b["batch_id"] for b in backlog(resumed)][-1] == 2
+
+
+def test_drain_timeout_stops_and_loses_nothing(spark, tmp_path, registry):
+    feed, progress = str(tmp_path / "feed"), str(tmp_path / "progress")
+    table = TickTable(spark, str(tmp_path / "ticks"))
+    make_frames(spark, frame_rows([(i, 0) for i in range(50)])).write.parquet(feed)
+    frames = stream_frames(spark, feed, max_files_per_trigger=1)
+    query = start_ingest(frames, registry, table, progress, LONG)
+    assert not await_drain(query, timedelta(milliseconds=200))
+    assert not query.isActive
+    assert await_drain(start_ingest(frames, registry, table, progress, LONG, drain=True), timedelta(seconds=120))
+    assert table.read().count() == 50
+
+
+def test_approximate_dedup_runs(spark, tmp_path, make_ticks):
+    feed = str(tmp_path / "ticks")
+    make_ticks([{"source_id": i % 5, "at": i} for i in range(10)]).coalesce(1).write.parquet(feed)
+    stream = spark.readStream.schema(spark.read.parquet(feed).schema).parquet(feed)
+    query = (
+        approximate_dedup(stream, timedelta(seconds=60))
+        .writeStream.format("memory").queryName("approx").trigger(availableNow=True).start()
+    )
+    query.awaitTermination(60)
+    assert spark.table("approx").count() == 5
