@@ -92,14 +92,14 @@ def test_stream_equals_batch_across_failure_and_restart(spark, tmp_path, registr
     feed, progress = str(tmp_path / "feed"), str(tmp_path / "progress")
     table = FailsOnce(spark, str(tmp_path / "ticks"), "keep")
     log = MetricsLog(spark, str(tmp_path / "log"))
+    for i in range(3):
+        part = make_frames(spark, frame_rows(keys[i * 80 : i * 80 + 80], i * 80))
+        part.coalesce(1).write.mode("append").parquet(feed)
     frames = stream_frames(spark, feed, max_files_per_trigger=1)
 
     def start():
         return start_ingest(frames, registry, table, progress, OPTIONS, None, log, drain=True)
 
-    for i in range(3):
-        part = make_frames(spark, frame_rows(keys[i * 80 : i * 80 + 80], i * 80))
-        part.coalesce(1).write.mode("append").parquet(feed)
     query = start()
     # The batch's own error comes out; nothing hangs.
     with pytest.raises(StreamingQueryException, match="connection lost"):

@@ -57,13 +57,18 @@ def run_ingest(
     batch_id: int = 0,
     quarantine_path: str | None = None,
     metrics: MetricsLog | None = None,
+    staging_path: str | None = None,
 ) -> Snapshot:
-    """Run one batch from end to end and return its counters."""
+    """Run one batch from end to end and return its counters.
+
+    Parsed rows are staged below `staging_path`, which a later run may use again; without one they go
+    to a new folder next to the checkpoints.
+    """
     options = options or IngestOptions()
     spark = frames.sparkSession
     table.create()
     tagged = with_registered_format(frames, registry)
-    staged = stage_frames(tagged, options, scratch_path(spark, "staged"))
+    staged = stage_frames(tagged, options, staging_path or scratch_path(spark, "staged"))
 
     admitted = sliding_window_dedup(staged.ticks, options.dedup_window)
     commit = table.append(admitted, batch_id)

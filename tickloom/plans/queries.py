@@ -23,7 +23,7 @@ from tickloom.operators.silence import source_silence
 from tickloom.plans.event_feed import event_frames, feed_registry, load, spread
 from tickloom.plans.ingest import Staged, run_ingest, stage_frames
 from tickloom.schema import KEY_COLS, IngestOptions, with_exchange_name
-from tickloom.session import scratch_path
+from tickloom.session import materialize, scratch_path
 from tickloom.sources.frames import fan_in, stream_frames
 from tickloom.sources.registry import with_registered_format
 from tickloom.sources.tick_table import TickTable, duplicate_keys
@@ -262,7 +262,7 @@ def dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = load(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
     keys = ["l_orderkey", "l_linenumber"]
     order = [c for c in items.columns if c not in (*keys, "l_shipdate")]
-    kept = sliding_window_dedup(spread(items), timedelta(days=30), keys, "l_shipdate", order)
+    kept = sliding_window_dedup(items, timedelta(days=30), keys, "l_shipdate", order)
     return kept.select(
         *_long("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
         "l_extendedprice",
@@ -315,7 +315,8 @@ def write_batch_numbers_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, sf_dir: str, limits: dict[str, int]) -> DataFrame:
-    kept = sliding_window_dedup(_staged(spark, sf_dir).ticks, WINDOW)
+    # Numbering reads its input twice, first for the size of the largest slot.
+    kept = materialize(sliding_window_dedup(_staged(spark, sf_dir).ticks, WINDOW))
     numbered = write_batches(kept, SHARDS, BATCH_ROWS, BATCH_DELAY, **limits)
     return numbered.select(*_long("arrival_seq", "shard", "batch_slot", "batch_no"))
 

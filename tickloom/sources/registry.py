@@ -46,6 +46,10 @@ def check_registry(registry: DataFrame) -> int:
 
 def with_registered_format(frames: DataFrame, registry: DataFrame) -> DataFrame:
     """Keep frames of enabled sources and add their `format`."""
-    rows = check_registry(registry)
+    return join_registry(frames, registry, check_registry(registry))
+
+
+def join_registry(frames: DataFrame, registry: DataFrame, enabled: int) -> DataFrame:
+    """The same for a registry that was checked before; `enabled` is its number of enabled rows."""
     live = registry.where("enabled").select(F.col("name").alias("source"), "format")
-    return frames.join(broadcast_if_small(live, rows), "source")
+    return frames.join(broadcast_if_small(live, enabled), "source")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.dedup import first_per
 from tickloom.schema import KEY_COLS, TICK_COLS, TICK_SCHEMA, tick_projection
+from tickloom.session import materialize
 
 STORED_SCHEMA = T.StructType(
     [T.StructField("id", T.LongType()), *TICK_SCHEMA.fields]
@@ -71,15 +72,16 @@ class TickTable:
         """Store one batch, all or nothing. A committed batch id is not written again."""
         if batch_id < 0:
             raise ValueError("batch ids start at 0")
-        done = self.commits().where(F.col("batch_id") == batch_id).first()
+        same_batch = F.when(F.col("batch_id") == batch_id, F.col("n"))
+        done, last_id = self.commits().agg(F.max(same_batch), F.max("last_id")).first()
         if done is not None:
-            return Commit(batch_id, done["n"])
+            return Commit(batch_id, done)
 
         rows = ticks
         if self.on_conflict == "ignore":
-            unique = first_per(ticks, KEY_COLS, ["ingest_ts", *_tie_break(ticks)])
-            rows = unique.join(self.read().select(*KEY_COLS), KEY_COLS, "left_anti")
-        self._write(rows, batch_id, writers, max_rows_per_file)
+            rows = self._without_stored(ticks)
+        next_id = 0 if last_id is None else last_id + 1
+        self._write(rows, batch_id, next_id, writers, max_rows_per_file)
 
         written = self._batch(batch_id)
         stats = written.agg(
@@ -99,10 +101,13 @@ class TickTable:
         return Commit(batch_id, stats["n"])
 
     def _write(
-        self, rows: DataFrame, batch_id: int, writers: int | None, max_rows_per_file: int | None
+        self,
+        rows: DataFrame,
+        batch_id: int,
+        next_id: int,
+        writers: int | None,
+        max_rows_per_file: int | None,
     ) -> None:
-        last_id = self.commits().agg(F.max("last_id")).first()[0]
-        next_id = 0 if last_id is None else last_id + 1
         dated = tick_projection(rows).withColumn("exchange_date", F.to_date("exchange_ts"))
         # Rebalancing by date joins small pieces and cuts a date that holds most rows.
         spread = dated.repartition(writers) if writers else dated.hint("rebalance", F.col("exchange_date"))
@@ -115,8 +120,16 @@ class TickTable:
             writer = writer.option("maxRecordsPerFile", max_rows_per_file)
         writer.parquet(f"{self._data}/batch_id={batch_id}")
 
+    def _without_stored(self, ticks: DataFrame) -> DataFrame:
+        unique = materialize(first_per(ticks, KEY_COLS, ["ingest_ts", *_tie_break(ticks)]))
+        first, last = unique.agg(F.min("exchange_ts"), F.max("exchange_ts")).first()
+        if first is None:
+            return unique
+        stored = self.time_range(first, last).select(*KEY_COLS)
+        return unique.join(stored, KEY_COLS, "left_anti")
+
     def _refuse_repeats(self, written: DataFrame, first: datetime, last: datetime) -> None:
-        stored = self.read().where(_in_range(first, last))
+        stored = self.time_range(first, last)
         fresh = written.select(*KEY_COLS, F.lit(1).alias("_new"))
         both = fresh.unionByName(stored.select(*KEY_COLS, F.lit(0).alias("_new")))
         repeated = duplicate_keys(both, F.sum("_new").alias("_new")).where("_new > 0").first()

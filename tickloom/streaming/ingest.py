@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.dedup import drop_recently_admitted, sliding_window_dedup
+from tickloom.operators.dedup import drop_recently_admitted, first_per, sliding_window_dedup
 from tickloom.operators.metrics import MetricsLog, Snapshot
 from tickloom.plans.ingest import stage_frames
 from tickloom.schema import KEY_COLS, IngestOptions
 from tickloom.session import scratch_path
-from tickloom.sources.registry import with_registered_format
+from tickloom.sources.registry import check_registry, join_registry
 from tickloom.sources.tick_table import TickTable, window_start
 
 
@@ -27,11 +27,15 @@ def dedup_batch(
     ticks: DataFrame, table: TickTable, batch_id: int, window: timedelta
 ) -> DataFrame:
     """Ticks of one micro-batch that the sliding window admits, given earlier batches."""
-    first = ticks.agg(F.min("ingest_ts")).first()[0]
+    first, last = ticks.agg(F.min("ingest_ts"), F.max("ingest_ts")).first()
     if first is None:
         return ticks
     recent = table.arrived_since(window_start(first, window), before_batch=batch_id)
-    return sliding_window_dedup(drop_recently_admitted(ticks, recent, window), window)
+    open_again = drop_recently_admitted(ticks, recent, window)
+    if last - first < window:
+        # No key can be admitted twice in such a batch.
+        return first_per(open_again, KEY_COLS, ["ingest_ts", "arrival_seq"])
+    return sliding_window_dedup(open_again, window)
 
 
 def start_ingest(
@@ -51,11 +55,12 @@ def start_ingest(
     """
     options = options or IngestOptions()
     table.create()
+    enabled = check_registry(registry)
     # Each micro-batch overwrites the staged rows of the one before it.
     stage_path = scratch_path(frames.sparkSession, "staged")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = with_registered_format(batch, registry)
+        tagged = join_registry(batch, registry, enabled)
         staged = stage_frames(tagged, options, stage_path)
         admitted = dedup_batch(staged.ticks, table, batch_id, options.dedup_window)
         commit = table.append(admitted, batch_id)
