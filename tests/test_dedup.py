@@ -85,6 +85,22 @@ def test_random_arrivals_match_simulation(spark, fold_rows, segment_rows):
     assert set(got) == simulate([(t, s, k if k is not None else -1) for t, s, k in rows], 10)
 
 
+def test_lateness_bound_finds_every_key(spark):
+    """Keys with a time of their own; some clocks are far off, some arrivals come much later."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(4000):
+        key = rng.randrange(1500)
+        own = key * 3
+        late = rng.choice([0, 1, 2, 9, 10, 11, 40]) - (500 if key % 97 == 0 else 0)
+        rows.append((own + late, i, key, own))
+    df = spark.createDataFrame(rows, "t bigint, seq bigint, key bigint, own bigint")
+    want = simulate([(t, s, k) for t, s, k, _ in rows], 10)
+    for anchor in ("own", None):
+        kept = sliding_window_dedup(df, 10, ["key", "own"], "t", ["seq"], fold_rows=3, anchor_col=anchor)
+        assert {r.seq for r in kept.collect()} == want
+
+
 def test_hot_key_over_many_segments(spark):
     # One key holds everything; several levels of segments are combined.
     rng = random.Random(5)

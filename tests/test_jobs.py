@@ -53,6 +53,22 @@ def test_batch_job(spark, tmp_path, registry):
     assert {r["reason"]: r["count"] for r in rejects} == {"malformed_frame": 7, "bad_symbol": 1}
 
 
+@pytest.mark.parametrize("keys,copies", [(100_000, 1), (5_000, 8)])
+def test_volume(spark, tmp_path, registry, keys, copies):
+    """Many unique ticks, then producers that all send the same keys; nothing is lost."""
+    ms = int(NOON.timestamp() * 1000)
+    frames = spark.range(keys * copies).select(
+        F.lit("lines").alias("source"),
+        F.encode(F.format_string(f"S%d,10,1,{ms},%d", F.col("id") % 20, F.col("id") % keys), "UTF-8").alias("frame"),
+        F.timestamp_millis(F.lit(ms) + F.col("id") % 1000).alias("ingest_ts"),
+        F.col("id").alias("arrival_seq"),
+    )
+    table = TickTable(spark, str(tmp_path / "ticks"))
+    counts = run_ingest(frames, registry, table, LONG)
+    assert counts == Snapshot(keys * copies, keys * (copies - 1), keys, 0)
+    assert table.read().count() == keys
+
+
 def test_key_let_through_twice_is_refused_by_the_table(spark, tmp_path, registry):
     table = TickTable(spark, str(tmp_path / "ticks"))
     with pytest.raises(RuntimeError, match="occurs 2 times"):

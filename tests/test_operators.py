@@ -12,7 +12,8 @@ from tickloom.operators.batching import write_batches
 from tickloom.operators.metrics import MetricsLog, Snapshot, counter_totals, flow, interval_counts
 from tickloom.operators.silence import source_silence
 from tickloom.schema import FRAME_SCHEMA
-from tickloom.sources.frames import fan_in, read_frames
+from tickloom.operators.parse import parse_as
+from tickloom.sources.frames import fan_in, read_file_frames, read_frames, read_line_frames
 from tickloom.sources.registry import REGISTRY_DDL, check_registry, with_registered_format
 
 
@@ -127,3 +128,16 @@ def test_fan_in_keeps_everything(spark, tmp_path):
     assert read_frames(spark, str(tmp_path / "frames")).count() == 3
     with pytest.raises(ValueError):
         fan_in()
+
+
+def test_text_and_binary_sources(spark, tmp_path):
+    lines = ["ETHUSD,1,1,1700000000000,1", "junk", "ETHUSD,2,1,1700000000000,2"]
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.txt").write_text("\n".join(lines) + "\n")
+    parsed = parse_as(read_line_frames(spark, str(folder), "lines"), "csv").orderBy("arrival_seq")
+    rows = parsed.collect()
+    assert [r.source_id for r in rows if r.reason is None] == [1, 2]
+    assert bytes(rows[1].frame) == b"junk" and rows[1].ingest_ts is not None
+    whole = parse_as(read_file_frames(spark, str(folder), "files"), "csv").collect()
+    assert len(whole) == 1 and whole[0].reason == "malformed_frame"

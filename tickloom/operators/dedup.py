@@ -7,7 +7,8 @@ the next window.
 Plan:
 1. Narrow profile per key hash (count, first and last arrival; combined before the shuffle) finds
    the keys whose arrivals reach beyond one window. The hash only routes rows; a collision sends a
-   key down a longer but equally exact way.
+   key down a longer but equally exact way. When the key holds a time of its own, only keys with a
+   late arrival are profiled (see `_late_hashes`), which normally are few.
 2. The first arrival of every key is admitted: a row-number filter, which the planner also applies
    before the shuffle, so a key with a third of all rows leaves one row per task.
 3. Only for keys found in step 1, later admissions are added: short histories by a fold over the
@@ -24,10 +25,12 @@ from pyspark.sql import types as T
 
 from tickloom.operators.hot_chain import later_admissions_split
 from tickloom.schema import KEY_COLS, micros
-from tickloom.session import broadcast_if_small, materialize
+from tickloom.session import BROADCAST_ROWS, broadcast_if_small, materialize
 
 # Longest history that one fold may hold in memory.
 FOLD_ROWS = 100_000
+# Groups of keys that share one bound on lateness.
+LATENESS_GROUPS = 4096
 
 
 def first_per(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -44,24 +47,40 @@ def sliding_window_dedup(
     order_cols: list[str] | None = None,
     fold_rows: int = FOLD_ROWS,
     segment_rows: int = 500_000,
+    anchor_col: str | None = None,
 ) -> DataFrame:
     """Admitted rows, all columns kept.
 
     Arrivals are ordered by `time_col`, then `order_cols`, which must tell apart the arrivals of one
     key at one instant. A timestamp column takes a timedelta window; a whole-number column takes a
-    whole-number window in its unit. Runs the profile when called.
+    whole-number window in its unit. `anchor_col` is a key column of the same kind as `time_col` that
+    arrivals normally follow closely; for ticks it is the exchange time. Runs the profile when called.
     """
-    keys = keys or KEY_COLS
+    if keys is None:
+        keys, anchor_col = KEY_COLS, "exchange_ts"
     width = micros(window) if isinstance(window, timedelta) else int(window)
     if width <= 0:
         raise ValueError("the dedup window must be positive")
+    if anchor_col and anchor_col not in keys:
+        raise ValueError("anchor_col must be one of the key columns")
     order = order_cols or ["arrival_seq"]
 
     timed = rows.withColumn("_t", _instant(rows, time_col, window))
     heads = first_per(timed, keys, ["_t", *order]).drop("_t")
 
+    hashed = timed.withColumn("_h", F.xxhash64(*keys))
+    suspects = hashed
+    if anchor_col:
+        lateness = F.col("_t") - _instant(rows, anchor_col, window)
+        late = materialize(_late_hashes(hashed.select("_h", lateness.alias("_late")), width))
+        late_count = late.count()
+        if late_count == 0:
+            return heads
+        if late_count <= BROADCAST_ROWS:
+            suspects = hashed.join(F.broadcast(late), "_h", "left_semi")
+
     profile = (
-        timed.select(F.xxhash64(*keys).alias("_h"), "_t")
+        suspects.select("_h", "_t")
         .groupBy("_h")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
         .where(F.col("_hi") - F.col("_lo") >= width)
@@ -73,8 +92,6 @@ def sliding_window_dedup(
         F.count_if(F.col("_n") > fold_rows).alias("many"),
     ).first()
 
-    hashed = timed.withColumn("_h", F.xxhash64(*keys))
-
     def routed(condition: Column, count: int) -> DataFrame:
         side = broadcast_if_small(profile.where(condition).select("_h"), count)
         return hashed.join(side, "_h", "left_semi").drop("_h")
@@ -100,14 +117,13 @@ def drop_recently_admitted(
     """Remove rows that fall into a window opened by earlier admissions.
 
     What is left can go through `sliding_window_dedup` on its own: its first row per key is at or
-    after the end of the earlier window.
+    after the end of the earlier window. The join leaves rows partitioned by key, which the dedup
+    after it uses. Key columns hold no NULLs, as in the stored table.
     """
     keys = keys or KEY_COLS
     expiry = admitted.groupBy(*keys).agg((F.max(time_col) + F.lit(window)).alias("_expiry"))
-    same_key = [rows[k].eqNullSafe(expiry[k]) for k in keys]
-    joined = rows.join(expiry, same_key, "left")
-    open_again = F.col("_expiry").isNull() | (rows[time_col] >= F.col("_expiry"))
-    return joined.where(open_again).select(*[rows[c] for c in rows.columns])
+    open_again = F.col("_expiry").isNull() | (F.col(time_col) >= F.col("_expiry"))
+    return rows.join(expiry, keys, "left").where(open_again).select(*rows.columns)
 
 
 def duplicate_counts(rows: DataFrame, admitted: DataFrame, by: list[str]) -> DataFrame:
@@ -120,6 +136,20 @@ def duplicate_counts(rows: DataFrame, admitted: DataFrame, by: list[str]) -> Dat
     return totals.withColumn("deduplicated", F.col("received") - F.col("admitted"))
 
 
+def _late_hashes(arrivals: DataFrame, width: int) -> DataFrame:
+    """Hashes of all keys that may have arrivals a window apart, without shuffling the arrivals.
+
+    Arrivals of one key share its own time, so two that lie a window apart differ in lateness by a
+    window, and the later one is at least a window above the smallest lateness of any group of keys
+    that holds this key. The minimum per group is a table of a few thousand rows; taking many groups
+    keeps one wrong clock from making every key look late.
+    """
+    grouped = arrivals.withColumn("_group", F.pmod("_h", F.lit(LATENESS_GROUPS)))
+    floors = grouped.groupBy("_group").agg(F.min("_late").alias("_floor"))
+    late = grouped.join(F.broadcast(floors), "_group").where(F.col("_late") - F.col("_floor") >= width)
+    return late.select("_h").distinct()
+
+
 def _instant(rows: DataFrame, time_col: str, window: timedelta | int) -> Column:
     kind = rows.schema[time_col].dataType
     if isinstance(window, timedelta):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.schema import FRAME_SCHEMA
 
@@ -14,6 +15,28 @@ def read_frames(spark: SparkSession, path: str, file_format: str = "parquet") ->
     return spark.read.schema(FRAME_SCHEMA).format(file_format).load(path)
 
 
+def read_line_frames(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Text files of one source, one frame per line; a file's time stands for its lines' arrival."""
+    lines = spark.read.text(path).select("value", "_metadata.file_modification_time")
+    return _as_frames(lines, source, "value", "file_modification_time")
+
+
+def read_file_frames(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Files of one source, each one frame; the file's time is its arrival."""
+    files = spark.read.format("binaryFile").load(path)
+    return _as_frames(files, source, "content", "modificationTime")
+
+
+def _as_frames(rows: DataFrame, source: str, frame: str, arrived: str) -> DataFrame:
+    return rows.select(
+        F.lit(source).alias("source"),
+        F.col(frame).cast("binary").alias("frame"),
+        F.col(arrived).alias("ingest_ts"),
+        # Follows the order of files and of lines within a file.
+        F.monotonically_increasing_id().alias("arrival_seq"),
+    )
+
+
 def stream_frames(
     spark: SparkSession, path: str, max_files_per_trigger: int, file_format: str = "parquet"
 ) -> DataFrame:
