@@ -18,7 +18,7 @@ from tickloom.operators.dedup import drop_recently_admitted, first_per, sliding_
 from tickloom.operators.metrics import MetricsLog, Snapshot
 from tickloom.plans.ingest import stage_frames
 from tickloom.schema import KEY_COLS, IngestOptions
-from tickloom.session import scratch_path
+from tickloom.session import materialize, scratch_path
 from tickloom.sources.registry import check_registry, join_registry
 from tickloom.sources.tick_table import TickTable, window_start
 
@@ -35,7 +35,8 @@ def dedup_batch(
     if last - first < window:
         # No key can be admitted twice in such a batch.
         return first_per(open_again, KEY_COLS, ["ingest_ts", "arrival_seq"])
-    return sliding_window_dedup(open_again, window)
+    # A long batch is read several times below; the join with earlier batches runs once.
+    return sliding_window_dedup(materialize(open_again), window)
 
 
 def start_ingest(
