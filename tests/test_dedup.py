@@ -9,9 +9,11 @@ from hypothesis import strategies as st
 from tickloom.operators.dedup import (
     drop_recently_admitted,
     duplicate_counts,
+    first_per,
     sliding_window_dedup,
 )
 from tickloom.operators.hot_chain import combine_steps, walk_steps
+from tickloom.schema import KEY_COLS
 
 
 def simulate(rows, width):
@@ -142,6 +144,16 @@ def test_combined_steps_equal_the_rule(instants, width, cuts):
         assert last == free_after(entry)
 
 
+def test_first_arrival_is_found_before_the_shuffle(spark, tmp_path, make_ticks, capsys):
+    make_ticks([{"source_id": i % 3} for i in range(9)]).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    first_per(stored, KEY_COLS, ["ingest_ts", "arrival_seq"]).explain()
+    plan = capsys.readouterr().out
+    shuffle = plan.index("Exchange hashpartitioning(exchange")
+    assert plan.count("Exchange ") == 1
+    assert "Final" in plan[:shuffle] and "Partial" in plan[shuffle:]
+
+
 def test_counts(make_ticks):
     # Eight producers send the same keys.
     ticks = make_ticks([{"source_id": i % 50, "at": i // 50} for i in range(400)])

@@ -39,7 +39,8 @@ def stage_frames(frames: DataFrame, options: IngestOptions, path: str) -> Staged
         "reason",
         ok.alias("accepted"),
     )
-    outcome.write.mode("overwrite").partitionBy("accepted").parquet(path)
+    # One narrow pass: the flag is a column, not a partition, as partitioning would sort every task.
+    outcome.write.mode("overwrite").parquet(path)
     stored = spark.read.schema(outcome.schema).parquet(path)
     return Staged(
         stored.where("accepted").select(*TICK_COLS, "arrival_seq"),
