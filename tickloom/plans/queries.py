@@ -8,7 +8,7 @@ text, which every SQL engine writes the same way.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +38,8 @@ SHARDS = 8
 BATCH_ROWS = 3
 BATCH_DELAY = timedelta(seconds=10)
 FRAME_CAP = 64
-RANGE_START = datetime(2024, 1, 5)
-RANGE_END = datetime(2024, 1, 9, 12)
+RANGE_START = datetime(2024, 1, 5, tzinfo=timezone.utc)
+RANGE_END = datetime(2024, 1, 9, 12, tzinfo=timezone.utc)
 
 _QUERIES: dict[str, Query] = {}
 

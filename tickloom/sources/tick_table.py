@@ -9,12 +9,13 @@ and a retry replaces its files. One writer per table at a time.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.numbers import slot_of
 from tickloom.operators.dedup import first_per
 from tickloom.schema import KEY_COLS, TICK_COLS, TICK_SCHEMA, tick_projection
 from tickloom.session import materialize
@@ -23,9 +24,10 @@ STORED_SCHEMA = T.StructType(
     [T.StructField("id", T.LongType()), *TICK_SCHEMA.fields]
     + [T.StructField("batch_id", T.LongType()), T.StructField("exchange_date", T.DateType())]
 )
+# Instants in epoch microseconds: exact, and free of any time zone on their way through Python.
 COMMIT_DDL = (
-    "n bigint, first_exchange_ts timestamp, last_exchange_ts timestamp, "
-    "first_ingest_ts timestamp, last_ingest_ts timestamp, last_id bigint"
+    "n bigint, first_exchange_us bigint, last_exchange_us bigint, "
+    "first_ingest_us bigint, last_ingest_us bigint, last_id bigint"
 )
 
 
@@ -86,16 +88,16 @@ class TickTable:
         written = self._batch(batch_id)
         stats = written.agg(
             F.count(F.lit(1)).alias("n"),
-            F.min("exchange_ts").alias("first_exchange_ts"),
-            F.max("exchange_ts").alias("last_exchange_ts"),
-            F.min("ingest_ts").alias("first_ingest_ts"),
-            F.max("ingest_ts").alias("last_ingest_ts"),
+            F.unix_micros(F.min("exchange_ts")).alias("first_exchange_us"),
+            F.unix_micros(F.max("exchange_ts")).alias("last_exchange_us"),
+            F.unix_micros(F.min("ingest_ts")).alias("first_ingest_us"),
+            F.unix_micros(F.max("ingest_ts")).alias("last_ingest_us"),
             F.max("id").alias("last_id"),
         ).first()
         if stats["n"] == 0:
             return Commit(batch_id, 0)
         if self.on_conflict == "error":
-            self._refuse_repeats(written, stats["first_exchange_ts"], stats["last_exchange_ts"])
+            self._refuse_repeats(written, stats["first_exchange_us"], stats["last_exchange_us"])
         entry = self.spark.createDataFrame([tuple(stats)], COMMIT_DDL)
         entry.coalesce(1).write.mode("overwrite").parquet(f"{self._commits}/batch_id={batch_id}")
         return Commit(batch_id, stats["n"])
@@ -108,7 +110,7 @@ class TickTable:
         writers: int | None,
         max_rows_per_file: int | None,
     ) -> None:
-        dated = tick_projection(rows).withColumn("exchange_date", F.to_date("exchange_ts"))
+        dated = tick_projection(rows).withColumn("exchange_date", _utc_date(F.col("exchange_ts")))
         # Rebalancing by date joins small pieces and cuts a date that holds most rows.
         spread = dated.repartition(writers) if writers else dated.hint("rebalance", F.col("exchange_date"))
         ordered = spread.sortWithinPartitions("exchange_date", "exchange_ts")
@@ -122,14 +124,15 @@ class TickTable:
 
     def _without_stored(self, ticks: DataFrame) -> DataFrame:
         unique = materialize(first_per(ticks, KEY_COLS, ["ingest_ts", *_tie_break(ticks)]))
-        first, last = unique.agg(F.min("exchange_ts"), F.max("exchange_ts")).first()
+        bounds = [F.unix_micros(f("exchange_ts")) for f in (F.min, F.max)]
+        first, last = unique.agg(*bounds).first()
         if first is None:
             return unique
-        stored = self.time_range(first, last).select(*KEY_COLS)
+        stored = self._between_us(first, last).select(*KEY_COLS)
         return unique.join(stored, KEY_COLS, "left_anti")
 
-    def _refuse_repeats(self, written: DataFrame, first: datetime, last: datetime) -> None:
-        stored = self.time_range(first, last)
+    def _refuse_repeats(self, written: DataFrame, first_us: int, last_us: int) -> None:
+        stored = self._between_us(first_us, last_us)
         fresh = written.select(*KEY_COLS, F.lit(1).alias("_new"))
         both = fresh.unionByName(stored.select(*KEY_COLS, F.lit(0).alias("_new")))
         repeated = duplicate_keys(both, F.sum("_new").alias("_new")).where("_new > 0").first()
@@ -149,15 +152,21 @@ class TickTable:
 
     def time_range(self, first: datetime, last: datetime) -> DataFrame:
         """Ticks with `first <= exchange_ts <= last`, reading only the days in between."""
-        return self.read().where(_in_range(first, last))
+        return self.read().where(_in_range(F.lit(first), F.lit(last)))
 
-    def arrived_since(self, instant: datetime, before_batch: int) -> DataFrame:
-        """Ticks of earlier batches that arrived at or after the instant."""
-        recent = self.commits().where(
-            (F.col("batch_id") < before_batch) & (F.col("last_ingest_ts") >= F.lit(instant))
-        )
+    def _between_us(self, first_us: int, last_us: int) -> DataFrame:
+        bounds = [F.timestamp_micros(F.lit(us)) for us in (first_us, last_us)]
+        return self.read().where(_in_range(*bounds))
+
+    def arrived_since(self, instant_us: int, before_batch: int) -> DataFrame:
+        """Ticks of earlier batches that arrived at or after the instant (epoch microseconds).
+
+        Admissions before `first arrival - window` block nothing that arrives from now on.
+        """
+        earlier = F.col("batch_id") < before_batch
+        recent = self.commits().where(earlier & (F.col("last_ingest_us") >= instant_us))
         stored = self.spark.read.schema(STORED_SCHEMA).parquet(self._data)
-        kept = stored.where((F.col("ingest_ts") >= F.lit(instant)) & (F.col("batch_id") < before_batch))
+        kept = stored.where(earlier & (F.col("ingest_ts") >= F.timestamp_micros(F.lit(instant_us))))
         return kept.join(recent.select("batch_id"), "batch_id", "left_semi")
 
     def register(self, name: str = "ticks") -> None:
@@ -180,11 +189,11 @@ def _tie_break(ticks: DataFrame) -> list[str]:
     return ["arrival_seq"] if "arrival_seq" in ticks.columns else ["price", "volume"]
 
 
-def _in_range(first: datetime, last: datetime) -> Column:
-    days = F.col("exchange_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
-    return days & F.col("exchange_ts").between(F.lit(first), F.lit(last))
+def _utc_date(instant: Column) -> Column:
+    """Date of an instant in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(slot_of(F.unix_micros(instant), 86_400_000_000).cast("int"))
 
 
-def window_start(first_arrival: datetime, window: timedelta) -> datetime:
-    """Admissions before this instant no longer block anything that arrives from now on."""
-    return first_arrival - window
+def _in_range(first: Column, last: Column) -> Column:
+    days = F.col("exchange_date").between(_utc_date(first), _utc_date(last))
+    return days & F.col("exchange_ts").between(first, last)

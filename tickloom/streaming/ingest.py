@@ -17,22 +17,22 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.dedup import drop_recently_admitted, first_per, sliding_window_dedup
 from tickloom.operators.metrics import MetricsLog, Snapshot
 from tickloom.plans.ingest import stage_frames
-from tickloom.schema import KEY_COLS, IngestOptions
+from tickloom.schema import KEY_COLS, IngestOptions, micros
 from tickloom.session import materialize, scratch_path
 from tickloom.sources.registry import check_registry, join_registry
-from tickloom.sources.tick_table import TickTable, window_start
+from tickloom.sources.tick_table import TickTable
 
 
 def dedup_batch(
     ticks: DataFrame, table: TickTable, batch_id: int, window: timedelta
 ) -> DataFrame:
     """Ticks of one micro-batch that the sliding window admits, given earlier batches."""
-    first, last = ticks.agg(F.min("ingest_ts"), F.max("ingest_ts")).first()
+    first, last = ticks.agg(*[F.unix_micros(f("ingest_ts")) for f in (F.min, F.max)]).first()
     if first is None:
         return ticks
-    recent = table.arrived_since(window_start(first, window), before_batch=batch_id)
+    recent = table.arrived_since(first - micros(window), before_batch=batch_id)
     open_again = drop_recently_admitted(ticks, recent, window)
-    if last - first < window:
+    if last - first < micros(window):
         # No key can be admitted twice in such a batch.
         return first_per(open_again, KEY_COLS, ["ingest_ts", "arrival_seq"])
     # A long batch is read several times below; the join with earlier batches runs once.
