@@ -14,6 +14,9 @@ from tickloom.session import scratch_path
 STAGES = [
     ("quality_rules", stages.quality_rules),
     ("quality_classifier", stages.quality_classifier),
+    ("near_copies", stages.near_copies),
+    ("personal_data", stages.personal_data),
+    ("packing", stages.packed),
 ]
 # Training and smoothing, byte pair merges and the tagger are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None

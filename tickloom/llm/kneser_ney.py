@@ -307,3 +307,11 @@ def judge_quality(
         F.exp(F.col("_band")[0]).alias("lower_band"),
         F.exp(F.col("_band")[1]).alias("upper_band"),
     )
+
+
+def keep_quality(docs: DataFrame, text: str = "text", lang: str = "lang", fence: float = 4.0) -> DataFrame:
+    """The rows that `judge_quality` keeps, with the columns they came with, whatever their names."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    own = dict(zip(docs.columns, names, strict=True))
+    judged = judge_quality(docs.toDF(*names), own[text], own[lang], names, fence)
+    return judged.where("kept").select(*names).toDF(*docs.columns)

@@ -8,12 +8,24 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import byte_shards, kneser_ney, license_templates, piece_codec, pii, url_templates, weak_quality
+from tickloom.llm import (
+    byte_shards,
+    kneser_ney,
+    license_templates,
+    piece_codec,
+    pii,
+    pruned_graph,
+    simhash_links,
+    tier_packing,
+    url_templates,
+    weak_quality,
+)
 from tickloom.llm.common import table
 from tickloom.llm.pii_base import KINDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _text_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +74,27 @@ def op4_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge_quality(docs)
 
 
+def op5_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash_links.link_documents(_text_only(spark, sf_dir), shingle=4, max_bits=4)
+    printed = simhash_links.as_hex(F.col("fingerprint")).alias("fingerprint")
+    return grouped.select("doc_id", printed, F.col("component").alias("component_id"))
+
+
+def op6_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tier_packing.pack_documents(_text_only(spark, sf_dir), BYTE_TOKENIZER)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "tier",
+        "step_group",
+    )
+
+
 def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -79,6 +112,11 @@ def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pruned_graph.nearest(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_templates.scan_licenses(_text_only(spark, sf_dir))
     base = F.filter("places", lambda p: p.by_phrase)
@@ -107,8 +145,11 @@ def llm_queries() -> dict[str, Query]:
             op2_personal_data,
             op3_weak_quality,
             op4_perplexity_rules,
+            op5_simhash_links,
+            op6_tier_packing,
             op7_url_templates,
             op8_byte_shards,
+            op9_pruned_graph,
             op10_license_templates,
         )
     }

@@ -292,3 +292,10 @@ def classify_quality(docs: DataFrame, text: str = "text", keep: list[str] | None
     votes = train_votes(docs, text)
     scorer = train_scorer(docs, votes, text)
     return judge_texts(docs, votes, scorer, text, keep, threshold)
+
+
+def keep_quality(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that `classify_quality` keeps, with the columns they came with, whatever their names."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    judged = classify_quality(docs.toDF(*names), names[docs.columns.index(text)], names, threshold)
+    return judged.where("kept").select(*names).toDF(*docs.columns)
