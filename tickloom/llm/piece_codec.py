@@ -27,7 +27,9 @@ from tickloom.llm.common import list_array, map_text
 MARK = "▁"
 BROKEN = "�".encode()
 # Chunks remembered per Python worker; the memory starts anew when it is full, nothing is lost.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
+# Texts decoded at a time.
+DECODE_ROWS = 128
 # Appended to a model file, these fields override its normaliser: no map, no inserted mark, nothing collapsed.
 PLAIN_NORMALIZER = bytes([0x1A, 8, 0x12, 0, 0x18, 0, 0x20, 0, 0x28, 0])
 INTS = T.ArrayType(T.IntegerType(), False)
@@ -172,20 +174,39 @@ class _Chunks(dict):
         super().__init__()
         self.codec = codec
 
+    def spell(self, cuts: list[list[str]]) -> list[bytes]:
+        """The pairs of each text, given as chunks."""
+        flat = list(chain.from_iterable(cuts))
+        values = list(map(self.get, flat))
+        missing = [at for at, value in enumerate(values) if value is None]
+        if missing:
+            self.learn({flat[at] for at in missing})
+            for at in missing:
+                values[at] = self[flat[at]]
+        stops = np.cumsum([len(c) for c in cuts]).tolist()
+        return [b"".join(values[a:b]) for a, b in zip([0, *stops], stops, strict=False)]
+
     def learn(self, chunks: set[str]) -> None:
-        new = list(chunks - self.keys())
+        new = list(chunks)
         if len(self) + len(new) > CACHE_CHUNKS:
             self.clear()
-            new = list(chunks)
+        if not new:
+            return
         codec = self.codec
         marked = [c.replace(" ", MARK) for c in new]
-        for key, chunk, ids in zip(new, marked, codec.segmenter.encode(marked, num_threads=1), strict=True):
-            pairs = np.empty((len(ids), 2), np.int32)
-            pairs[:, 0] = ids
-            pairs[:, 1] = codec.sizes[pairs[:, 0]]
-            if (pairs[:, 1] <= 0).any():
-                codec.place_bytes(chunk.encode(), pairs)
-            self[key] = pairs.tobytes()
+        found = codec.segmenter.encode(marked, num_threads=1)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(counts)
+        pairs = np.empty((int(ends[-1]), 2), np.int32)
+        pairs[:, 0] = np.fromiter(chain.from_iterable(found), np.int32, len(pairs))
+        pairs[:, 1] = codec.sizes[pairs[:, 0]]
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(pairs[:, 1] <= 0), "right"))
+        for at in odd.tolist():
+            codec.place_bytes(marked[at].encode(), pairs[ends[at] - counts[at] : ends[at]])
+        raw = pairs.tobytes()
+        stops = (8 * ends).tolist()
+        for key, start, stop in zip(new, [0, *stops], stops, strict=False):
+            self[key] = raw[start:stop]
 
 
 class PieceCodec:
@@ -223,6 +244,10 @@ class PieceCodec:
             else p.replace(MARK, " ").encode()
             for i, p in enumerate(pieces)
         ]
+        self.surface_pool = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.surface_sizes = np.array([len(x) for x in self.surface], np.int64)
+        self.surface_starts = np.cumsum(self.surface_sizes) - self.surface_sizes
+        self.opens_with_mark = np.array([p.startswith(MARK) for p in pieces])
         # Cutting before a run of marks is exact only if no piece has a mark behind another character.
         crossing = any(MARK in p.lstrip(MARK) for p in pieces)
         self.cut = None if crossing or self.normalizer.suffix_mark else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -254,36 +279,65 @@ class PieceCodec:
             at += char
             row += char
 
-    def encode_many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(ids, end offsets in source bytes) of each text, without the end id; a piece begins where the last ended."""
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Without end ids: all ids, where each ends in its text's bytes, and the number of ids per text.
+
+        A piece begins where the one before it ended.
+        """
         plain = self.normalizer.plain
-        cuts, aligned = [], []
-        for text in texts:
+        cuts: list[list[str]] = []
+        aligned: dict[int, np.ndarray] = {}
+        for at, text in enumerate(texts):
             if not text:
                 cuts.append([])
-                aligned.append(None)
-            elif plain and MARK not in text and self.cut:
+            elif plain and self.cut and MARK not in text:
                 # The inserted mark belongs to the first chunk.
                 cuts.append(self.cut_plain.findall(f" {text}"))
-                aligned.append(None)
             else:
-                normal, source = self.normalizer(text.encode())
+                normal, aligned[at] = self.normalizer(text.encode())
                 whole = normal.decode()
                 cuts.append(self.cut.findall(whole) if self.cut else [whole] * bool(whole))
-                aligned.append(source)
-        known = self.chunks
-        found = []
-        known.learn(set(chain.from_iterable(cuts)))
-        for chunks, source in zip(cuts, aligned, strict=True):
-            pairs = np.frombuffer(b"".join(map(known.__getitem__, chunks)), np.int32).reshape(-1, 2)
-            ids = pairs[:, 0]
-            if source is not None:
-                ends = source[np.cumsum(pairs[:, 1], dtype=np.int64)]
-            else:
-                # A mark stands for one space, but for the first, which was inserted.
-                ends = np.cumsum(pairs[:, 1] - 2 * self.marks[ids], dtype=np.int64) - 1
-            found.append((ids, ends))
-        return found
+        raw = self.chunks.spell(cuts)
+        counts = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
+        pairs = np.frombuffer(b"".join(raw), np.int32).reshape(-1, 2)
+        ids = pairs[:, 0]
+        # A mark stands for one space, but for the first, which was inserted.
+        sums = np.append(0, np.cumsum(pairs[:, 1] - 2 * self.marks[ids], dtype=np.int64))
+        first = np.cumsum(counts) - counts
+        ends = sums[1:] - np.repeat(sums[first] + 1, counts)
+        for at, source in aligned.items():
+            own = slice(first[at], first[at] + counts[at])
+            ends[own] = source[np.cumsum(pairs[own, 1], dtype=np.int64)]
+        return ids, ends, counts
+
+    def decode_many(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Texts of runs of ids."""
+        sizes = self.surface_sizes[ids]
+        stops = np.append(0, np.cumsum(sizes))
+        place = np.repeat(self.surface_starts[ids] - stops[:-1], sizes) + np.arange(stops[-1])
+        raw = self.surface_pool[place]
+        try:
+            str(raw.data, "utf-8")
+        except UnicodeDecodeError:
+            return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:], strict=False)], pa.string())
+        # Bytes that make up whole characters only by meeting across texts would have failed in neither.
+        bounds = stops[offsets]
+        inner = bounds[(bounds > 0) & (bounds < len(raw))]
+        if ((raw[inner] & 0xC0) == 0x80).any():
+            return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:], strict=False)], pa.string())
+        if self.normalizer.dummy or self.normalizer.collapse:
+            # Only a mark that opens the first piece with any text was inserted.
+            owner = np.flatnonzero(sizes > 0)
+            first = owner[np.minimum(np.searchsorted(stops[owner], bounds[:-1]), len(owner) - 1)] if len(owner) else None
+            if first is not None:
+                opens = (bounds[:-1] < bounds[1:]) & self.opens_with_mark[ids[first]]
+                drop = np.zeros(len(raw), bool)
+                drop[bounds[:-1][opens]] = True
+                raw = raw[~drop]
+                bounds = bounds - np.append(0, np.cumsum(opens))
+        return pa.Array.from_buffers(
+            pa.string(), len(offsets) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))]
+        )
 
     def decode(self, ids: list[int]) -> str:
         if not ids:
@@ -296,13 +350,13 @@ class PieceCodec:
             text = "".join(self._runs(ids))
         norm = self.normalizer
         if (norm.dummy or norm.collapse) and text.startswith(" "):
-            # Only a mark that opens the first piece with any text was inserted.
             first = next(i for i in ids if surface[i])
-            if self.pieces[first].startswith(MARK):
+            if self.opens_with_mark[first]:
                 return text[1:]
         return text
 
     def _runs(self, ids: list[int]):
+        """Pieces' texts; a byte of a run that belongs to no whole character becomes the replacement character."""
         at = 0
         while at < len(ids):
             if not self.is_byte[ids[at]]:
@@ -324,7 +378,7 @@ class PieceCodec:
                     except UnicodeDecodeError:
                         continue
                 else:
-                    yield "�"
+                    yield "\N{REPLACEMENT CHARACTER}"
                     place += 1
 
 
@@ -341,21 +395,28 @@ def encode_pieces(
 
     def make():
         codec = load_codec(model_path)
-        tail = [codec.eos] if end_id else []
 
         def work(column: pa.Array) -> list[pa.Array]:
-            ids, begins, ends, sizes = [], [], [], [0]
-            for own, stops in codec.encode_many(column.to_pylist()):
-                last = int(stops[-1]) if len(stops) else 0
-                ids += [own, tail]
-                begins += [np.zeros(min(len(own), 1), np.int64), stops[:-1], [last] * len(tail)]
-                ends += [stops, [last] * len(tail)]
-                sizes.append(len(own) + len(tail))
-            offsets = np.cumsum(sizes)
-            return [
-                list_array(np.concatenate(parts).astype(np.int32), offsets, pa.int32())
-                for parts in (ids, begins, ends)
-            ]
+            ids, stops, counts = codec.encode_many(column.to_pylist())
+            first = np.cumsum(counts) - counts
+            starts = np.append(0, stops)[:-1]
+            starts[first[counts > 0]] = 0
+            if not end_id:
+                offsets = np.append(0, np.cumsum(counts))
+                return [list_array(x.astype(np.int32), offsets, pa.int32()) for x in (ids, starts, stops)]
+            offsets = np.append(0, np.cumsum(counts + 1))
+            last = offsets[1:] - 1
+            size = np.zeros(len(counts), np.int64)
+            size[counts > 0] = stops[(first + counts - 1)[counts > 0]]
+            inside = np.ones(offsets[-1], bool)
+            inside[last] = False
+            made = []
+            for own, tail in ((ids, codec.eos), (starts, size), (stops, size)):
+                whole = np.empty(offsets[-1], np.int32)
+                whole[inside] = own
+                whole[last] = tail
+                made.append(list_array(whole, offsets, pa.int32()))
+            return made
 
         return work
 
@@ -374,11 +435,11 @@ def decode_pieces(encoded: DataFrame, model_path: str, ids: str = "ids", out: st
     def run(batches):
         codec = load_codec(model_path)
         for batch in batches:
-            step = 256
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                texts = pa.array([codec.decode(x) for x in part.column("_ids").to_pylist()], pa.string())
-                columns = [part.column(c) for c in kept]
-                yield pa.RecordBatch.from_arrays([*columns, texts], [*kept, out])
+            for start in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(start, DECODE_ROWS)
+                own = part.column("_ids")
+                offsets = own.offsets.to_numpy().astype(np.int64)
+                texts = codec.decode_many(own.flatten().to_numpy(), offsets - offsets[0])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), texts], [*kept, out])
 
     return source.mapInArrow(run, schema)
