@@ -36,6 +36,6 @@ def prose(seed, words=120):
     rng = random.Random(seed)
     parts = []
     for i in range(words):
-        word = "".join(rng.choice("ta ne ri so lu mi ka be do".split()) for _ in range(rng.randint(1, 4)))
+        word = "".join(rng.choice("ta ne ri so lu mi ka be do pa ce fy go hu ja vi wo xe zy qui er st".split()) for _ in range(rng.randint(1, 4)))
         parts.append(word.capitalize() + "." if i % 9 == 8 else word)
     return " ".join(parts)

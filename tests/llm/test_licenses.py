@@ -59,7 +59,7 @@ def test_scanner_against_regular_expressions():
 
 def test_passages_are_leftmost_and_longest():
     made = lt.compile_template("t", "a <<beginOptional>>b <<beginOptional>>c<<endOptional>> <<endOptional>>d <<var;max=2>> e")
-    run = lambda text: lt.passages(made, words(text))
+    run = lambda text: lt.passages(made, lt.words_of(text.encode()))
     assert run("x a d e y a b c d z z e") == [(1, 4), (5, 12)]
     assert run("a c d e") == []
     assert run("a d z z z e") == []

@@ -32,7 +32,7 @@ def plain(text):
 @pytest.fixture(scope="module")
 def tagger():
     made = pii.CharTagger(pii.TAGS, pii._allowed())
-    made.fit(*pii.labelled_windows([prose(i) for i in range(60)], 4000), steps=700)
+    made.fit(*pii.labelled_windows([prose(i) for i in range(60)], 8000), steps=700)
     return made
 
 

@@ -24,7 +24,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class CharTagger:
-    def __init__(self, tags: int, allowed: np.ndarray, hidden: int = 20, width: int = 12, seed: int = 7) -> None:
+    def __init__(self, tags: int, allowed: np.ndarray, hidden: int = 24, width: int = 12, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
         self.tags, self.hidden = tags, hidden
         self.barred = np.where(allowed, 0.0, -1e4).astype(np.float32)
@@ -134,7 +134,7 @@ class CharTagger:
             grad["embed"] += d_table @ p[f"x{way}"].T
         return float(loss.mean()), grad
 
-    def fit(self, text: np.ndarray, gold: np.ndarray, steps: int, batch: int = 64, rate: float = 0.02, seed: int = 11) -> float:
+    def fit(self, text: np.ndarray, gold: np.ndarray, steps: int, batch: int = 64, rate: float = 0.03, seed: int = 11) -> float:
         """Adam over random batches with a falling rate; gives the mean loss of the last steps."""
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
