@@ -78,7 +78,8 @@ def brute_model(rows, order):
         for (lang, gram), c in types[size].items():
             context = lang, gram[:-1]
             lower = 1 / 256 if size == 1 else model[size - 1][lang, gram[1:]]
-            model[size][lang, gram] = (c - cut[min(c, 3) - 1] + back[context] * lower) / total[context]
+            own = 0 if c == 1 and size == order else c - cut[min(c, 3) - 1]
+            model[size][lang, gram] = (own + back[context] * lower) / total[context]
     return model[order]
 
 

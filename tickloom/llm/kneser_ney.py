@@ -2,13 +2,15 @@
 
 Spark counts every byte sequence of length ORDER in all texts, per language. Modified Kneser-Ney smoothing is worked out
 on those counts with windows and joins: each length has three discounts from its counts of counts, and shorter
-sequences count the distinct ones they end. What scoring needs is one number per sequence and one per context. They are
+sequences count the distinct ones they end. A longest sequence that occurs once in all texts is scored as unseen, or
+every text would vouch for its own oddities. What scoring needs is one number per sequence and one per context. They are
 kept in sorted arrays by a hash of SLOT_BITS bits, so the model has at most 2**SLOT_BITS entries per array whatever
 the corpus; sequences that share a slot share the mean of their values, weighted by count.
 
-A text's perplexity is the median over stretches of it. It must lie in its language's band: below the lower quartile and above the upper one by `fence` times
-their distance, on the log scale. Null or empty texts have no words and perplexity 1; they fail the plain rules. A
-language tag that is not two or three letters counts as one language of its own.
+A text's perplexity is the median over stretches of it, and must lie in its language's band. On the log scale the band
+begins BELOW times the distance of the quartiles under the lower one and ends ABOVE times it over the upper one. Null or
+empty texts have no words and perplexity 1; they fail the plain rules. A language tag that is not two or three letters
+counts as one language of its own.
 """
 
 from __future__ import annotations
@@ -29,11 +31,15 @@ from tickloom.session import materialize
 ORDER = 4
 SLOT_BITS = 21
 # Distinct sequences a task holds before it hands them on; counts of one sequence are added up by Spark.
-HELD = 1_000_000
+HELD = 400_000
 # Bytes of a stretch; a text's perplexity is that of its middle stretch.
 STRETCH = 128
+# How far a band reaches beyond the quartiles, in their distance. Copies of a text make it look likelier, so the band
+# reaches farther down.
+BELOW, ABOVE = 8.0, 4.0
 COUNT_DDL = "lang int, gram long, n long"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_LANGUAGE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def language_id(lang: str = "lang") -> Column:
@@ -46,22 +52,25 @@ def language_id(lang: str = "lang") -> Column:
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each byte, the ORDER bytes that end with it as one number; zeros stand before a text's start."""
-    place = np.arange(len(raw)) - np.repeat(offsets[:-1], np.diff(offsets))
-    whole = raw.astype(np.uint64)
+    whole = raw.astype(np.uint32)
     for back in range(1, ORDER):
-        before = np.zeros(len(raw), np.uint64)
-        before[back:] = raw[:-back] if back < len(raw) else 0
-        before[place < back] = 0
-        whole |= before << np.uint64(8 * back)
+        whole[back:] |= raw[: max(len(raw) - back, 0)].astype(np.uint32) << np.uint32(8 * back)
+    # What reaches back into the text before is cut off.
+    for ahead in range(ORDER - 1):
+        at = offsets[:-1][np.diff(offsets) > ahead] + ahead
+        whole[at] &= np.uint32((1 << 8 * (ahead + 1)) - 1)
     return whole
 
 
 def slots(lang: np.ndarray, gram: np.ndarray, size: int) -> np.ndarray:
     """Slot of a sequence of `size` bytes in a language."""
-    key = gram.astype(np.uint64) | (lang.astype(np.uint64) << np.uint64(32)) | (np.uint64(size) << np.uint64(56))
-    key = (key ^ (key >> np.uint64(29))) * _SPREAD
-    key = (key ^ (key >> np.uint64(32))) * _SPREAD
-    return (key >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    key = lang.astype(np.uint64)
+    key *= _LANGUAGE
+    key += gram.astype(np.uint64)
+    key += np.uint64(size << 50)
+    key *= _SPREAD
+    key >>= np.uint64(64 - SLOT_BITS)
+    return key.astype(np.int32)
 
 
 def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -83,7 +92,7 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
             for part in slices(batch, "_text"):
                 raw, offsets = text_buffers(part.column("_text"))
                 language = np.repeat(part.column("lang").to_numpy(), np.diff(offsets)).astype(np.uint64)
-                distinct, n = np.unique(grams(raw, offsets) | language << np.uint64(32), return_counts=True)
+                distinct, n = np.unique(language << np.uint64(32) | grams(raw, offsets), return_counts=True)
                 keys.append(distinct)
                 counts.append(n)
                 held += len(distinct)
@@ -109,24 +118,31 @@ class SequenceModel:
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
     contexts: dict[int, tuple[np.ndarray, np.ndarray]]
 
-    def log_probs(self, raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray) -> np.ndarray:
-        """Log probability of each byte after those before it."""
+    def unfolded(self) -> np.ndarray:
+        """Values of the longest sequences by slot, for the many look-ups of one task; NaN where there is none."""
+        table = np.full(1 << SLOT_BITS, np.nan, np.float32)
+        keys, values = self.grams[ORDER]
+        table[keys] = values
+        return table
+
+    def log_probs(self, raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray, top: np.ndarray) -> np.ndarray:
+        """Log probability of each byte after those before it; `top` is `unfolded()`."""
         whole = grams(raw, offsets)
-        language = np.repeat(lang, np.diff(offsets))
-        value, seen = _find(self.grams[ORDER], slots(language, whole, ORDER))
-        missing = np.flatnonzero(~seen)
+        language = np.repeat(lang.astype(np.int16), np.diff(offsets))
+        value = top[slots(language, whole, ORDER)]
+        missing = np.flatnonzero(np.isnan(value))
         weight = np.zeros(len(missing))
         for size in range(ORDER - 1, -1, -1):
             if not len(missing):
                 break
             # Fall back from size + 1 bytes to size: the weight of the context, then the shorter sequence.
-            context = whole[missing] >> np.uint64(8) & np.uint64((1 << 8 * size) - 1)
+            context = whole[missing] >> np.uint32(8) & np.uint32((1 << 8 * size) - 1)
             back, known = _find(self.contexts[size], slots(language[missing], context, size))
             weight += np.where(known, back, 0.0)
             if size == 0:
                 value[missing] = weight - np.log(256)
                 break
-            shorter = whole[missing] & np.uint64((1 << 8 * size) - 1)
+            shorter = whole[missing] & np.uint32((1 << 8 * size) - 1)
             found, seen = _find(self.grams[size], slots(language[missing], shorter, size))
             value[missing[seen]] = found[seen] + weight[seen]
             missing, weight = missing[~seen], weight[~seen]
@@ -176,11 +192,13 @@ def train_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> Sequ
         if size == 1:
             rows = rows.withColumn("p", F.col("own") + F.col("back") / 256)
         else:
+            # Seen once, a longest sequence is the scored text's own: it counts as unseen.
+            alone = (c == 1) & F.lit(size == ORDER)
             shorter = made[size - 1].select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower"))
             rows = (
                 rows.withColumn("suffix", F.col("gram").bitwiseAND((1 << 8 * (size - 1)) - 1))
                 .join(shorter, ["lang", "suffix"])
-                .withColumn("p", F.col("own") + F.col("back") * F.col("lower"))
+                .withColumn("p", F.when(alone, 0.0).otherwise(F.col("own")) + F.col("back") * F.col("lower"))
             )
         made[size] = materialize(rows.select("lang", "gram", "context", "c", "back", "p"))
     stored = {
@@ -216,7 +234,7 @@ SCORE_FIELDS = [
 ]
 
 
-def _log_perplexity(column: pa.Array, lang: np.ndarray, model: SequenceModel) -> np.ndarray:
+def _log_perplexity(column: pa.Array, lang: np.ndarray, model: SequenceModel, top: np.ndarray) -> np.ndarray:
     """Middle value over a text's stretches, so that a quotation in another tongue does not decide."""
     raw, offsets = text_buffers(column)
     value = np.zeros(len(column))
@@ -229,7 +247,7 @@ def _log_perplexity(column: pa.Array, lang: np.ndarray, model: SequenceModel) ->
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
     start = offsets[doc] + nth * size[doc] // parts[doc]
     length = np.diff(np.append(start, len(raw)))
-    mean = -np.add.reduceat(model.log_probs(raw, offsets, lang), start) / length
+    mean = -np.add.reduceat(model.log_probs(raw, offsets, lang, top).astype(np.float64), start) / length
     order = np.lexsort((mean, doc))
     first = np.cumsum(parts) - parts
     some = np.flatnonzero(parts)
@@ -254,10 +272,11 @@ def score_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        top = own.unfolded()
         for batch in batches:
             for part in slices(batch, "_text"):
                 column = part.column("_text")
-                made = [pa.array(_log_perplexity(column, part.column("lang_id").to_numpy(), own))]
+                made = [pa.array(_log_perplexity(column, part.column("lang_id").to_numpy(), own, top))]
                 if with_counts:
                     rows = []
                     for raw in byte_texts(column):
@@ -271,18 +290,21 @@ def score_texts(
     return source.mapInArrow(run, schema)
 
 
-def perplexity_bands(docs: DataFrame, model: SequenceModel, fence: float, text: str = "text", lang: str = "lang") -> DataFrame:
+def perplexity_bands(
+    docs: DataFrame, model: SequenceModel, below: float, above: float, text: str = "text", lang: str = "lang"
+) -> DataFrame:
     """(lang_id, lower, upper) of the log perplexity, from the quartiles over all texts that are not empty."""
     scored = score_texts(docs.where(F.length(as_text(text)) > 0), model, text, lang, with_counts=False)
     quartiles = scored.groupBy("lang_id").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 2000).alias("q"))
     low, high = F.col("q")[0], F.col("q")[1]
     return quartiles.select(
-        "lang_id", (low - fence * (high - low)).alias("lower"), (high + fence * (high - low)).alias("upper")
+        "lang_id", (low - below * (high - low)).alias("lower"), (high + above * (high - low)).alias("upper")
     )
 
 
 def judge_quality(
-    docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None, fence: float = 4.0
+    docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None,
+    below: float = BELOW, above: float = ABOVE,
 ) -> DataFrame:
     """Kept columns, the plain counts, `perplexity`, its band, `base_failed` and `kept`.
 
@@ -290,7 +312,7 @@ def judge_quality(
     """
     names = list(keep or ["doc_id"])
     model = train_model(docs, text, lang)
-    bands = {r.lang_id: (r.lower, r.upper) for r in perplexity_bands(docs, model, fence, text, lang).collect()}
+    bands = {r.lang_id: (r.lower, r.upper) for r in perplexity_bands(docs, model, below, above, text, lang).collect()}
     scored = score_texts(docs, model, text, lang, names)
     columns = [F.col(f.name) for f in SCORE_FIELDS[:-1]]
     band = F.create_map(*[F.lit(v) for k, (a, b) in bands.items() for v in (k, [a, b])]) if bands else None
@@ -309,9 +331,11 @@ def judge_quality(
     )
 
 
-def keep_quality(docs: DataFrame, text: str = "text", lang: str = "lang", fence: float = 4.0) -> DataFrame:
+def keep_quality(
+    docs: DataFrame, text: str = "text", lang: str = "lang", below: float = BELOW, above: float = ABOVE
+) -> DataFrame:
     """The rows that `judge_quality` keeps, with the columns they came with, whatever their names."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
     own = dict(zip(docs.columns, names, strict=True))
-    judged = judge_quality(docs.toDF(*names), own[text], own[lang], names, fence)
+    judged = judge_quality(docs.toDF(*names), own[text], own[lang], names, below, above)
     return judged.where("kept").select(*names).toDF(*docs.columns)
