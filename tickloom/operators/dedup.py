@@ -27,8 +27,8 @@ from tickloom.operators.hot_chain import later_admissions_split
 from tickloom.schema import KEY_COLS, micros
 from tickloom.session import BROADCAST_ROWS, broadcast_if_small, materialize
 
-# Longest history that one fold may hold in memory.
-FOLD_ROWS = 100_000
+# Longest history that one fold may hold; gathering positions copies them at each admission.
+FOLD_ROWS = 4_000
 # Groups of keys that share one bound on lateness.
 LATENESS_GROUPS = 4096
 

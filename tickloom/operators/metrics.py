@@ -6,6 +6,7 @@ Counters are taken from stored rows, so a repeated task or batch cannot count tw
 
 from __future__ import annotations
 
+import re
 from dataclasses import asdict, dataclass
 from datetime import timedelta
 
@@ -13,15 +14,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tickloom.session import materialize
+
 COUNTERS = ["received", "deduplicated", "written", "dropped"]
 
 
 @dataclass(frozen=True)
 class Snapshot:
+    """`skipped` counts frames of sources that are disabled or not registered; they are not parsed.
+
+    `deduplicated` is counted at the dedup and `written` from the table's files, so `in_flight` shows a loss between.
+    """
+
     received: int = 0
     deduplicated: int = 0
     written: int = 0
     dropped: int = 0
+    skipped: int = 0
 
     @property
     def gap(self) -> int:
@@ -34,8 +43,8 @@ class Snapshot:
         return self.received - self.deduplicated - self.written
 
     def check_conserved(self, frames: int) -> None:
-        """Every frame was received or dropped, every received tick written or removed."""
-        if frames != self.received + self.dropped:
+        """Every frame was received, dropped or skipped, every received tick written or removed."""
+        if frames != self.received + self.dropped + self.skipped:
             raise RuntimeError(f"frames lost before the table: {frames} frames, {self}")
         if self.in_flight != 0:
             raise RuntimeError(f"ticks lost before the table: {self}")
@@ -65,20 +74,26 @@ def counter_totals(flow_rows: DataFrame, by: list[str] | None = None) -> DataFra
     )
 
 
-def interval_counts(flow_rows: DataFrame, interval: timedelta) -> DataFrame:
+def interval_counts(flow_rows: DataFrame, interval: timedelta, quiet: bool = False) -> DataFrame:
     """Per interval of arrival: what each counter gained, and its total so far.
 
+    With `quiet`, intervals between the first and the last one in which nothing arrived are reported too.
+
     Running totals are taken within a day and added to the totals of earlier days, so no task orders
     more than one day's intervals or one row per day.
     """
-    interval = max(interval, timedelta(seconds=1))
-    length = f"{interval // timedelta(seconds=1)} seconds"
+    seconds = interval // timedelta(seconds=1)
+    if seconds < 1 or interval != timedelta(seconds=seconds):
+        raise ValueError("an interval must be a whole number of seconds")
+    length = f"{seconds} seconds"
     deltas = (
         flow_rows.withColumn("interval_start", F.window("ingest_ts", length).start)
         .transform(counter_totals, ["interval_start"])
         .select("interval_start", *[F.col(c).alias(f"{c}_delta") for c in COUNTERS])
-        .withColumn("_day", F.to_date("interval_start"))
     )
+    if quiet:
+        deltas = _with_quiet(materialize(deltas), seconds)
+    deltas = deltas.withColumn("_day", F.to_date("interval_start"))
     days = deltas.groupBy("_day").agg(*[F.sum(f"{c}_delta").alias(c) for c in COUNTERS])
     day_order = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     earlier = days.select(
@@ -96,23 +111,35 @@ def interval_counts(flow_rows: DataFrame, interval: timedelta) -> DataFrame:
     )
 
 
+def _with_quiet(deltas: DataFrame, seconds: int) -> DataFrame:
+    """The intervals from the first to the last, all of them."""
+    first, last = deltas.agg(*[F.unix_seconds(f("interval_start")) for f in (F.min, F.max)]).first()
+    if first is None:
+        return deltas
+    every = deltas.sparkSession.range(first, last + 1, seconds)
+    every = every.select(F.timestamp_seconds("id").alias("interval_start"))
+    gained = [F.coalesce(f"{c}_delta", F.lit(0)).alias(f"{c}_delta") for c in COUNTERS]
+    return every.join(deltas, "interval_start", "left").select("interval_start", *gained)
+
+
 class MetricsLog:
-    """Append-only counter rows, one per batch; totals are sums and never go down.
+    """Append-only counter rows, one per writer and batch; totals are sums and never go down.
 
     A repeated batch replaces its own row.
     """
 
-    DDL = "received bigint, deduplicated bigint, written bigint, dropped bigint"
+    DDL = "received bigint, deduplicated bigint, written bigint, dropped bigint, skipped bigint"
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
-    def record(self, batch_id: int, counts: Snapshot) -> None:
-        row = self.spark.createDataFrame([tuple(asdict(counts)[c] for c in COUNTERS)], self.DDL)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def record(self, batch_id: int, counts: Snapshot, writer: str = "batch") -> None:
+        row = self.spark.createDataFrame([tuple(asdict(counts).values())], self.DDL)
+        folder = f"writer={re.sub('[^A-Za-z0-9]+', '-', writer)}/batch_id={batch_id}"
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{folder}")
 
     def rows(self) -> DataFrame:
-        schema = f"{self.DDL}, batch_id bigint"
+        schema = f"{self.DDL}, writer string, batch_id bigint"
         try:
             return self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
@@ -121,5 +148,5 @@ class MetricsLog:
             return self.spark.createDataFrame([], schema)
 
     def snapshot(self) -> Snapshot:
-        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*COUNTERS, "skipped"]]
         return Snapshot(**self.rows().agg(*sums).first().asDict())

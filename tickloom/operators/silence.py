@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,3 +33,20 @@ def source_silence(frames: DataFrame, timeout: timedelta) -> DataFrame:
         F.timestamp_micros("first").alias("silent_until"),
         (F.col("first") - F.col("before")).alias("gap_us"),
     )
+
+
+def open_silence(frames: DataFrame, registry: DataFrame, timeout: timedelta, until: datetime) -> DataFrame:
+    """Enabled sources that are silent at the instant `until`, for longer than the timeout.
+
+    A source that never sent has a null `silent_from`. Names are compared without regard to case.
+    """
+    if micros(timeout) <= 0:
+        raise ValueError("the timeout must be positive")
+    arrived = frames.where(F.col("ingest_ts") <= F.lit(until))
+    last = arrived.groupBy(F.lower("source").alias("_name")).agg(F.max("ingest_ts").alias("silent_from"))
+    live = registry.where("enabled").select("name", F.lower("name").alias("_name"))
+    gap = F.unix_micros(F.lit(until)) - F.unix_micros("silent_from")
+    silent = live.join(last, "_name", "left").withColumn("gap_us", gap)
+    return silent.where(F.col("gap_us").isNull() | (F.col("gap_us") > micros(timeout))).select(
+        F.col("name").alias("source"), "silent_from", "gap_us"
+    )

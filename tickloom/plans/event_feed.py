@@ -44,9 +44,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input of few files; one with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows of a table of few files to all cores; many rows follow from one here."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def feed_registry(spark: SparkSession, disabled: tuple[str, ...] = ()) -> DataFrame:
@@ -121,7 +120,7 @@ def _message(extra: Column, trailing: Column, cut: Column) -> Column:
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
     as_object = text(
-        '{"s":"', F.col("symbol"), '",', F.when(extra, '"s":"EVIL",').otherwise(""),
+        '{"s":"', F.col("symbol"), '",', F.when(extra, '"s":"TWICE",').otherwise(""),
         '"p":"', F.col("price"), '","q":"', volume, '","T":', ms, ',"a":', ident, "}", tail,
     )
     as_array = text(

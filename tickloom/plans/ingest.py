@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tickloom.operators.dedup import sliding_window_dedup
+from tickloom.operators.dedup import drop_recently_admitted, first_per, sliding_window_dedup
 from tickloom.operators.metrics import MetricsLog, Snapshot
 from tickloom.operators.parse import classify_frames
-from tickloom.schema import TICK_COLS, IngestOptions
-from tickloom.session import scratch_path
-from tickloom.sources.registry import with_registered_format
+from tickloom.schema import KEY_COLS, TICK_COLS, IngestOptions, micros
+from tickloom.session import drop_path, materialize, scratch_path
+from tickloom.sources.registry import tag_frames
 from tickloom.sources.tick_table import TickTable
 
 
 @dataclass(frozen=True)
 class Staged:
-    """Frames after one pass of parsing: accepted ticks and rejects, both stored."""
+    """Frames after one pass of parsing: accepted ticks and rejects, both stored, and how many there were."""
 
     ticks: DataFrame
     rejects: DataFrame
+    frames: int
+    received: int
+    dropped: int
 
 
 def stage_frames(frames: DataFrame, options: IngestOptions, path: str) -> Staged:
@@ -39,47 +42,95 @@ def stage_frames(frames: DataFrame, options: IngestOptions, path: str) -> Staged
         "reason",
         ok.alias("accepted"),
     )
+    counted = Observation()
+    received = F.count_if("accepted").alias("received")
     # One narrow pass: the flag is a column, not a partition, as partitioning would sort every task.
-    outcome.write.mode("overwrite").parquet(path)
+    observed = outcome.observe(counted, F.count(F.lit(1)).alias("frames"), received)
+    observed.write.mode("overwrite").parquet(path)
     stored = spark.read.schema(outcome.schema).parquet(path)
+    seen = counted.get
     return Staged(
         stored.where("accepted").select(*TICK_COLS, "arrival_seq"),
         stored.where("not accepted").select(
             "source", "format", "frame", "ingest_ts", "arrival_seq", "reason"
         ),
+        seen["frames"],
+        seen["received"],
+        seen["frames"] - seen["received"],
     )
 
 
+def admit(ticks: DataFrame, table: TickTable, writer: str, batch_id: int, options: IngestOptions) -> DataFrame:
+    """Ticks of one batch that the sliding window admits, given the batches stored before it."""
+    window = options.dedup_window
+    first, last = ticks.agg(*[F.unix_micros(f("ingest_ts")) for f in (F.min, F.max)]).first()
+    if first is None:
+        return ticks
+    recent = table.arrived_since(first - micros(window), writer, batch_id)
+    open_again = drop_recently_admitted(ticks, recent, window)
+    if last - first < micros(window):
+        # No key can be admitted twice in such a batch.
+        return first_per(open_again, KEY_COLS, ["ingest_ts", "arrival_seq"])
+    # A long batch is read several times below; the join with earlier batches runs once.
+    return sliding_window_dedup(materialize(open_again), window)
+
+
+def ingest_batch(
+    tagged: DataFrame,
+    table: TickTable,
+    writer: str,
+    batch_id: int,
+    options: IngestOptions,
+    quarantine_path: str | None,
+    metrics: MetricsLog | None,
+    staging_path: str,
+) -> Snapshot:
+    """One batch of tagged frames, by the batch job and by each micro-batch of the stream.
+
+    Counts are taken on the way: frames as they come in, ticks and rejects as they are staged, admissions at the
+    dedup, written rows from the table's files. The batch becomes visible only if they balance.
+    """
+    arrived = Observation()
+    skipped = F.count_if(F.col("skipped").isNotNull()).alias("skipped")
+    seen = tagged.observe(arrived, F.count(F.lit(1)).alias("frames"), skipped)
+    staged = stage_frames(seen.where(F.col("skipped").isNull()).drop("skipped"), options, staging_path)
+    frames, left_out = arrived.get["frames"], arrived.get["skipped"]
+    if frames != staged.frames + left_out:
+        raise RuntimeError(f"frames lost before the table: {frames} frames, {staged.frames} staged, {left_out} skipped")
+    admitted = materialize(admit(staged.ticks, table, writer, batch_id, options))
+    passed = admitted.count()
+    commit = table.append(admitted, batch_id, writer, writers=options.writer_count, expect=passed)
+    if quarantine_path:
+        target = f"{quarantine_path.rstrip('/')}/writer={writer}/batch_id={batch_id}"
+        staged.rejects.write.mode("overwrite").parquet(target)
+    refused = staged.received - passed + commit.repeated
+    counts = Snapshot(staged.received, refused, commit.rows, staged.dropped, left_out)
+    counts.check_conserved(frames)
+    if metrics:
+        metrics.record(batch_id, counts, writer)
+    return counts
+
+
 def run_ingest(
     frames: DataFrame,
     registry: DataFrame,
     table: TickTable,
+    batch_id: int,
     options: IngestOptions | None = None,
-    batch_id: int = 0,
     quarantine_path: str | None = None,
     metrics: MetricsLog | None = None,
-    staging_path: str | None = None,
+    writer: str = "batch",
 ) -> Snapshot:
     """Run one batch from end to end and return its counters.
 
-    Parsed rows are staged below `staging_path`, which a later run may use again; without one they go
-    to a new folder next to the checkpoints.
+    The window reaches back over batches stored before. `writer` and `batch_id` name the batch: run again with the same
+    frames it changes nothing, with others it is refused. Parsed rows are staged next to the checkpoints and deleted.
     """
-    options = options or IngestOptions()
-    spark = frames.sparkSession
     table.create()
-    tagged = with_registered_format(frames, registry)
-    staged = stage_frames(tagged, options, staging_path or scratch_path(spark, "staged"))
-
-    admitted = sliding_window_dedup(staged.ticks, options.dedup_window)
-    commit = table.append(admitted, batch_id)
-
-    if quarantine_path:
-        target = f"{quarantine_path.rstrip('/')}/batch_id={batch_id}"
-        staged.rejects.write.mode("overwrite").parquet(target)
-    received, dropped = staged.ticks.count(), staged.rejects.count()
-    counts = Snapshot(received, received - commit.rows, commit.rows, dropped)
-    counts.check_conserved(tagged.count())
-    if metrics:
-        metrics.record(batch_id, counts)
-    return counts
+    path = scratch_path(frames.sparkSession, "staged")
+    try:
+        return ingest_batch(
+            tag_frames(frames, registry), table, writer, batch_id, options or IngestOptions(), quarantine_path, metrics, path
+        )
+    finally:
+        drop_path(frames.sparkSession, path)

@@ -143,6 +143,44 @@ FROM (SELECT source, ingest_ms, lag(ingest_ms) OVER (PARTITION BY source ORDER B
         AS before FROM judged)
 WHERE ingest_ms - before > 600000"""
         ),
+        "source_silence_open": _feed(
+            """SELECT format || '-feed' AS source, last AS from_ms, newest + 900000 - last AS gap_ms
+FROM (SELECT format, max(ingest_ms) AS last FROM judged GROUP BY format),
+     (SELECT max(ingest_ms) AS newest FROM judged)
+UNION ALL SELECT 'Idle-Feed', NULL, NULL"""
+        ),
+        "parse_bad_bytes": _feed(
+            """SELECT format, reason, count(*) AS frames
+FROM (SELECT format, CASE
+        WHEN format = 'csv' AND source_id % 3 = 0 THEN 'invalid_utf8'
+        WHEN format = 'kraken' AND source_id % 3 = 1 AND parse_reason = 'malformed_frame' THEN 'invalid_utf8'
+        ELSE parse_reason END AS reason
+      FROM judged) GROUP BY ALL"""
+        ),
+        "conservation_by_source": _feed(
+            """SELECT upper(source) AS source, count(*) AS frames,
+  count(*) FILTER (format = 'csv') AS unlisted, count(*) FILTER (format = 'kraken') AS disabled,
+  count(*) FILTER (format = 'binance' AND NOT is_dropped) AS received,
+  count(*) FILTER (format = 'binance' AND is_dropped) AS dropped,
+  count(*) FILTER (format = 'binance' AND is_written) AS written
+FROM marked GROUP BY 1""",
+            _ticks_chain(60_000),
+            _COUNTERS.replace("SELECT j.exchange", "SELECT j.source, j.format, j.exchange"),
+        ),
+        "metrics_quiet_intervals": _feed(
+            """SELECT interval_ms, received_delta, CAST(sum(received_delta) OVER w AS BIGINT) AS received,
+  CAST(sum(written_delta) OVER w AS BIGINT) AS written, CAST(sum(dropped_delta) OVER w AS BIGINT) AS dropped
+FROM (SELECT slot * 600000 AS interval_ms, count(m.ingest_ms) FILTER (NOT is_dropped) AS received_delta,
+        count(*) FILTER (is_written) AS written_delta, count(*) FILTER (is_dropped) AS dropped_delta
+      FROM (SELECT unnest(range(min(ingest_ms) // 600000, max(ingest_ms) // 600000 + 1)) AS slot FROM marked)
+      LEFT JOIN marked m ON m.ingest_ms // 600000 = slot GROUP BY slot)
+WINDOW w AS (ORDER BY interval_ms)""",
+            _ticks_chain(60_000),
+            _COUNTERS,
+        ),
+        "ingest_two_batches": _feed(f"SELECT {_TICK} FROM admitted", _ticks_chain(60_000)),
+        "batch_then_stream": _feed(f"SELECT {_TICK} FROM admitted", _ticks_chain(60_000)),
+        "stored_arrival_numbers": _feed("SELECT arrival_seq, symbol, source_id FROM admitted", _ticks_chain(60_000)),
         "parse_binance": _parsed("binance"),
         "parse_kraken": _parsed("kraken"),
         "parse_csv": _parsed("csv"),

@@ -17,15 +17,15 @@ from tickloom.functions.hashing import fnv1a64, shard_of
 from tickloom.operators.batching import write_batches
 from tickloom.operators.dedup import duplicate_counts, sliding_window_dedup
 from tickloom.operators.metrics import MetricsLog, counter_totals, flow, interval_counts
-from tickloom.operators.parse import classify_frames, parse_as, parse_frames
+from tickloom.operators.parse import accepted, classify_frames, parse_as, parse_frames, rejected
 from tickloom.operators.routing import shard_counts, with_shard
-from tickloom.operators.silence import source_silence
+from tickloom.operators.silence import open_silence, source_silence
 from tickloom.plans.event_feed import event_frames, feed_registry, load, spread
 from tickloom.plans.ingest import Staged, run_ingest, stage_frames
 from tickloom.schema import KEY_COLS, IngestOptions, with_exchange_name
 from tickloom.session import materialize, scratch_path
 from tickloom.sources.frames import fan_in, stream_frames
-from tickloom.sources.registry import with_registered_format
+from tickloom.sources.registry import REGISTRY_DDL, tag_frames, with_registered_format
 from tickloom.sources.tick_table import TickTable, duplicate_keys
 from tickloom.streaming.ingest import await_drain, start_ingest
 
@@ -85,7 +85,13 @@ def _frames(spark: SparkSession, sf_dir: str, repeats: bool = True, defects: boo
     return event_frames(load(spark, sf_dir, "events"), defects=defects, repeats=repeats)
 
 
+def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted ticks for a single reader, straight from the frames."""
+    return accepted(classify_frames(_frames(spark, sf_dir)))
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> Staged:
+    """Frames parsed once for several readers."""
     path = scratch_path(spark, "staged")
     return stage_frames(_frames(spark, sf_dir), IngestOptions(), path)
 
@@ -103,10 +109,7 @@ def source_registry_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def normalize_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _frames(spark, sf_dir, repeats=False)
-    feeds = [
-        parse_as(frames.where(F.col("format") == name), name) for name in ("binance", "kraken", "csv")
-    ]
-    return _tick_columns(fan_in(*feeds).where(F.col("reason").isNull()))
+    return _tick_columns(parse_frames(frames).where(F.col("reason").isNull()))
 
 
 @query
@@ -131,9 +134,30 @@ def source_silence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def source_silence_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that are silent a quarter of an hour after the last arrival, one of which never sent."""
+    frames = _frames(spark, sf_dir)
+    last = frames.agg(F.unix_micros(F.max("ingest_ts"))).first()[0]
+    until = datetime.fromtimestamp((last or 0) / 1e6, timezone.utc) + timedelta(minutes=15)
+    idle = spark.createDataFrame([("Idle-Feed", "csv", "wss://idle.example", True)], REGISTRY_DDL)
+    silent = open_silence(frames, feed_registry(spark).unionByName(idle), timedelta(minutes=10), until)
+    return silent.select("source", F.unix_millis("silent_from").alias("from_ms"), F.expr("gap_us div 1000").alias("gap_ms"))
+
+
 # Parsers
 
 
+@query
+def parse_bad_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that are no text: in front of every third line, and behind every third array."""
+    turn = F.expr("arrival_seq div 30 % 3")
+    bad = F.when((F.col("format") == "csv") & (turn == 0), F.concat(F.unhex(F.lit("FF")), "frame"))
+    bad = bad.when((F.col("format") == "kraken") & (turn == 1), F.concat("frame", F.unhex(F.lit("FFFE"))))
+    parsed = parse_frames(_frames(spark, sf_dir).withColumn("frame", bad.otherwise(F.col("frame"))))
+    return parsed.groupBy("format", "reason").agg(F.count(F.lit(1)).alias("frames"))
+
+
 def _parsed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     frames = _frames(spark, sf_dir, repeats=False).where(F.col("format") == name)
     return _tick_columns(parse_as(frames, name).where(F.col("reason").isNull()))
@@ -166,7 +190,7 @@ def parse_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def validate_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tick_columns(_staged(spark, sf_dir).ticks)
+    return _tick_columns(_accepted(spark, sf_dir))
 
 
 @query
@@ -177,7 +201,7 @@ def validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejects = _staged(spark, sf_dir).rejects
+    rejects = rejected(classify_frames(_frames(spark, sf_dir)))
     return rejects.select("source", "format", "reason", _ms("ingest_ts"), *_long("arrival_seq"))
 
 
@@ -202,13 +226,13 @@ def symbol_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shard_tick_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = shard_counts(_staged(spark, sf_dir).ticks, SHARDS)
+    counts = shard_counts(_accepted(spark, sf_dir), SHARDS)
     return counts.select(*_long("shard", "received", "symbols"))
 
 
 @query
 def ticks_with_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = with_shard(_staged(spark, sf_dir).ticks, SHARDS)
+    placed = with_shard(_accepted(spark, sf_dir), SHARDS)
     return placed.select(*_long("arrival_seq"), "symbol", *_long("shard"))
 
 
@@ -350,19 +374,50 @@ def metrics_per_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def metrics_quiet_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ten minutes from the first arrival to the last, also those in which nothing arrived."""
+    rows = interval_counts(_flow(spark, sf_dir, ["ingest_ts"]), timedelta(minutes=10), quiet=True)
+    return rows.select(
+        F.unix_millis("interval_start").alias("interval_ms"), *_long("received_delta", "received", "written", "dropped")
+    )
+
+
+@query
+def conservation_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every frame, with one feed disabled and one not registered."""
+    registry = feed_registry(spark, disabled=("kraken",)).where("name <> 'csv-feed'")
+    frames = _frames(spark, sf_dir).drop("format")
+    tagged = tag_frames(frames.withColumn("source", F.upper("source")), registry)
+    live = classify_frames(tagged.where(F.col("skipped").isNull()).drop("skipped"))
+    admitted = sliding_window_dedup(accepted(live), WINDOW)
+    counted = fan_in(
+        tagged.select("source", F.lit("frames").alias("what")),
+        tagged.where("skipped IS NOT NULL").select("source", F.col("skipped").alias("what")),
+        live.select("source", F.when(F.col("reason").isNull(), "received").otherwise("dropped").alias("what")),
+        admitted.select(F.lit("BINANCE-FEED").alias("source"), F.lit("written").alias("what")),
+    )
+    kinds = ["frames", "unlisted", "disabled", "received", "dropped", "written"]
+    return counted.groupBy("source").agg(*[F.count_if(F.col("what") == k).alias(k) for k in kinds])
+
+
 # Stored table
 
 
 def _stored(spark: SparkSession, sf_dir: str, window: timedelta, on_conflict: str) -> TickTable:
     table = TickTable(spark, scratch_path(spark, "ticks"), on_conflict)
     frames = _frames(spark, sf_dir).drop("format")
-    run_ingest(frames, feed_registry(spark), table, IngestOptions(dedup_window=window))
+    run_ingest(frames, feed_registry(spark), table, 0, IngestOptions(dedup_window=window))
     return table
 
 
+def _rows(table: TickTable) -> DataFrame:
+    return _tick_columns(table.read().drop("arrival_seq"))
+
+
 @query
 def ingest_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tick_columns(_stored(spark, sf_dir, LONG_WINDOW, "error").read())
+    return _rows(_stored(spark, sf_dir, LONG_WINDOW, "error"))
 
 
 @query
@@ -371,13 +426,33 @@ def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = MetricsLog(spark, scratch_path(spark, "counters"))
     frames = _frames(spark, sf_dir).drop("format")
     options = IngestOptions(dedup_window=LONG_WINDOW)
-    run_ingest(frames, feed_registry(spark), table, options, metrics=log)
+    run_ingest(frames, feed_registry(spark), table, 0, options, metrics=log)
     return log.rows().select(*_long("batch_id", "received", "deduplicated", "written", "dropped"))
 
 
 @query
 def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tick_columns(_stored(spark, sf_dir, WINDOW, "ignore").read())
+    return _rows(_stored(spark, sf_dir, WINDOW, "ignore"))
+
+
+def _cuts(frames: DataFrame, parts: int) -> list[datetime]:
+    """Arrival instants that cut the frames into about equal parts, taken from the data."""
+    shares = [i / parts for i in range(1, parts)]
+    cuts = frames.agg(F.percentile_approx(F.unix_micros("ingest_ts"), shares).alias("q")).first().q or []
+    return [datetime.fromtimestamp(us / 1e6, timezone.utc) for us in cuts]
+
+
+def _drain(spark: SparkSession, feed: str, table: TickTable, progress: str) -> None:
+    running = start_ingest(
+        stream_frames(spark, feed, max_files_per_trigger=1000),
+        feed_registry(spark),
+        table,
+        progress,
+        IngestOptions(dedup_window=WINDOW),
+        drain=True,
+    )
+    if not await_drain(running, timedelta(minutes=30)):
+        raise TimeoutError("the stream did not drain in time")
 
 
 @query
@@ -386,20 +461,47 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, progress = scratch_path(spark, "frames"), scratch_path(spark, "progress")
     table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
     frames = _frames(spark, sf_dir).drop("format")
-    stretch = F.dayofmonth("ingest_ts")
-    for low, high in ((1, 10), (11, 20), (21, 31)):
-        frames.where(stretch.between(low, high)).write.mode("append").parquet(feed)
-        running = start_ingest(
-            stream_frames(spark, feed, max_files_per_trigger=1000),
-            feed_registry(spark),
-            table,
-            progress,
-            IngestOptions(dedup_window=WINDOW),
-            drain=True,
-        )
-        if not await_drain(running, timedelta(minutes=30)):
-            raise TimeoutError("the stream did not drain in time")
-    return _tick_columns(table.read())
+    low, high = _cuts(frames, 3)
+    arrived = F.col("ingest_ts")
+    for part in (arrived < low, (arrived >= low) & (arrived < high), arrived >= high):
+        frames.where(part).write.mode("append").parquet(feed)
+        _drain(spark, feed, table, progress)
+    return _rows(table)
+
+
+@query
+def ingest_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the batch job, cut so that every repeat comes in the second."""
+    table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
+    frames = _frames(spark, sf_dir).drop("format")
+    first = F.col("arrival_seq") % 10 == 0
+    for batch_id, part in enumerate((first, ~first)):
+        run_ingest(frames.where(part), feed_registry(spark), table, batch_id, IngestOptions(dedup_window=WINDOW))
+    return _rows(table)
+
+
+@query
+def batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the frames by the batch job, half by the stream, then the first batch once more and a compaction."""
+    feed, progress = scratch_path(spark, "frames"), scratch_path(spark, "progress")
+    table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
+    frames = _frames(spark, sf_dir).drop("format")
+    (cut,) = _cuts(frames, 2)
+    options = IngestOptions(dedup_window=WINDOW)
+    early = frames.where(F.col("ingest_ts") < cut)
+    run_ingest(early, feed_registry(spark), table, 0, options)
+    frames.where(F.col("ingest_ts") >= cut).write.parquet(feed)
+    _drain(spark, feed, table, progress)
+    run_ingest(early, feed_registry(spark), table, 0, options)
+    table.compact()
+    return _rows(table)
+
+
+@query
+def stored_arrival_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows keep the number under which they arrived."""
+    stored = _stored(spark, sf_dir, WINDOW, "keep").read()
+    return stored.select(*_long("arrival_seq"), "symbol", *_long("source_id"))
 
 
 @query
@@ -442,7 +544,7 @@ def ticks_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def duplicate_tick_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    repeated = duplicate_keys(_staged(spark, sf_dir).ticks)
+    repeated = duplicate_keys(_accepted(spark, sf_dir))
     return repeated.select(
         *_long("exchange"), "symbol", _ms("exchange_ts"), *_long("source_id", "copies")
     )

@@ -75,35 +75,25 @@ def tick_projection(ticks: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class IngestOptions:
-    """Job parameters; every count must be at least 1 and every duration positive."""
+    """Job parameters; every count must be at least 1 and every duration positive.
 
-    shard_count: int = 1
-    writer_count: int = 2
-    batch_max_rows: int = 900
-    batch_max_delay: timedelta = timedelta(milliseconds=100)
+    `writer_count` fixes the number of writing tasks of a batch; without it files follow the days and sizes of the
+    batch. `batch_max_delay` is the stream's trigger interval. How much a trigger takes is a source option.
+    """
+
+    writer_count: int | None = None
+    batch_max_delay: timedelta = timedelta(seconds=10)
     dedup_window: timedelta = timedelta(minutes=1)
     max_frame_bytes: int = MAX_FRAME_BYTES
-    idle_timeout: timedelta = timedelta(seconds=60)
-    drain_timeout: timedelta = timedelta(seconds=30)
-    metrics_interval: timedelta = timedelta(seconds=1)
-    max_files_per_trigger: int = 1000
 
     def __post_init__(self) -> None:
-        for name in (
-            "shard_count",
-            "writer_count",
-            "batch_max_rows",
-            "max_frame_bytes",
-            "max_files_per_trigger",
-        ):
-            if getattr(self, name) < 1:
+        for name in ("writer_count", "max_frame_bytes"):
+            value = getattr(self, name)
+            if value is not None and value < 1:
                 raise ValueError(f"{name} must be at least 1")
-        for name in ("batch_max_delay", "dedup_window", "idle_timeout", "drain_timeout"):
+        for name in ("batch_max_delay", "dedup_window"):
             if getattr(self, name) <= timedelta(0):
                 raise ValueError(f"{name} must be positive")
-        # Reporting more often than once a second is raised to one second, not refused.
-        if self.metrics_interval < timedelta(seconds=1):
-            object.__setattr__(self, "metrics_interval", timedelta(seconds=1))
 
 
 def micros(duration: timedelta) -> int:

@@ -36,7 +36,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         named = tempfile.mkdtemp(prefix="tickloom-")
     sc.setCheckpointDir(named)
@@ -57,3 +57,10 @@ def materialize(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a counted side when it is small; otherwise leave the join to the planner."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job wrote, wherever Spark keeps it; a missing one is fine."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

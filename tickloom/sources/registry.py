@@ -46,10 +46,24 @@ def check_registry(registry: DataFrame) -> int:
 
 def with_registered_format(frames: DataFrame, registry: DataFrame) -> DataFrame:
     """Keep frames of enabled sources and add their `format`."""
+    return tag_frames(frames, registry).where(F.col("skipped").isNull()).drop("skipped")
+
+
+def tag_frames(frames: DataFrame, registry: DataFrame) -> DataFrame:
+    """All frames with their `format`, and why a frame is `skipped`: its source is "disabled" or "unlisted".
+
+    Names are compared without regard to case, as the registry is checked. A name that is enabled once and disabled
+    elsewhere is enabled.
+    """
     return join_registry(frames, registry, check_registry(registry))
 
 
 def join_registry(frames: DataFrame, registry: DataFrame, enabled: int) -> DataFrame:
     """The same for a registry that was checked before; `enabled` is its number of enabled rows."""
-    live = registry.where("enabled").select(F.col("name").alias("source"), "format")
-    return frames.join(broadcast_if_small(live, enabled), "source")
+    names = registry.where(F.col("name").isNotNull()).groupBy(F.lower("name").alias("_name")).agg(
+        F.max(F.when(F.col("enabled"), F.col("format"))).alias("format")
+    )
+    known = names.withColumn("_listed", F.lit(True))
+    joined = frames.withColumn("_name", F.lower("source")).join(broadcast_if_small(known, enabled), "_name", "left")
+    skipped = F.when(F.col("_listed").isNull(), "unlisted").when(F.col("format").isNull(), "disabled")
+    return joined.withColumn("skipped", skipped).drop("_name", "_listed")

@@ -1,13 +1,18 @@
 """The stored tick table: typed append in atomic batches, unique keys, pruned reads.
 
-Layout: `data/batch_id=N/exchange_date=D/*.parquet`, rows sorted by `exchange_ts` inside each file so
-that row-group statistics narrow time ranges. A batch becomes visible when its one-row entry below
-`commits/` exists; readers only see committed batches, so a failed batch leaves the table as it was
-and a retry replaces its files. One writer per table at a time.
+Layout: `data/folder=F/exchange_date=D/*.parquet` with a folder per batch, rows sorted by arrival inside a file. The log
+holds an entry per batch: who wrote it under which id, its folder, bounds, row count and a checksum of its content. A
+batch becomes visible when its entry exists, so a failed batch leaves the table as it was and a retry replaces its files.
+Reads take the folders that entries name and the days that bounds allow; they never list the whole table.
+
+A batch is known by (writer, batch id). The same batch again is not written twice; the same id with other content is
+refused. `compact` joins the data of many batches in one folder and the log in one file. One writer at a time.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -17,17 +22,24 @@ from pyspark.sql import types as T
 
 from tickloom.functions.numbers import slot_of
 from tickloom.operators.dedup import first_per
-from tickloom.schema import KEY_COLS, TICK_COLS, TICK_SCHEMA, tick_projection
-from tickloom.session import materialize
+from tickloom.schema import KEY_COLS, TICK_COLS, TICK_SCHEMA
+from tickloom.session import drop_path, materialize
 
+DAY_US = 86_400_000_000
 STORED_SCHEMA = T.StructType(
-    [T.StructField("id", T.LongType()), *TICK_SCHEMA.fields]
-    + [T.StructField("batch_id", T.LongType()), T.StructField("exchange_date", T.DateType())]
+    [
+        T.StructField("batch_seq", T.LongType()),
+        T.StructField("position", T.LongType()),
+        *TICK_SCHEMA.fields,
+        T.StructField("arrival_seq", T.LongType()),
+        T.StructField("exchange_date", T.DateType()),
+    ]
 )
-# Instants in epoch microseconds: exact, and free of any time zone on their way through Python.
-COMMIT_DDL = (
-    "n bigint, first_exchange_us bigint, last_exchange_us bigint, "
-    "first_ingest_us bigint, last_ingest_us bigint, last_id bigint"
+# Instants in epoch microseconds: exact, and free of any time zone on their way through Python. `days` lists the
+# exchange days of the batch. `content` is a sum of row hashes, which does not depend on the order of rows.
+LOG_DDL = (
+    "writer string, batch_id bigint, batch_seq bigint, folder string, n bigint, repeated bigint, content decimal(38,0), "
+    "days array<int>, first_exchange_us bigint, last_exchange_us bigint, first_ingest_us bigint, last_ingest_us bigint"
 )
 
 
@@ -35,10 +47,18 @@ class DuplicateKeyError(RuntimeError):
     """A batch holds a key twice, or one that the table already has."""
 
 
+class BatchConflictError(RuntimeError):
+    """A batch id was used before by the same writer, with other content."""
+
+
 @dataclass(frozen=True)
 class Commit:
+    """`repeated` rows were left out because their key was there already ("ignore" only)."""
+
+    writer: str
     batch_id: int
     rows: int
+    repeated: int = 0
 
 
 class TickTable:
@@ -50,16 +70,12 @@ class TickTable:
             raise ValueError(f"on_conflict must be error, ignore or keep, not {on_conflict!r}")
         self.spark, self.on_conflict = spark, on_conflict
         self._data = f"{path.rstrip('/')}/data"
-        self._commits = f"{path.rstrip('/')}/commits"
+        self._log = f"{path.rstrip('/')}/log"
 
     def create(self) -> TickTable:
         """Make the empty table when it does not exist; safe to repeat."""
-        stored = [f for f in STORED_SCHEMA.fields if f.name not in ("batch_id", "exchange_date")]
-        empty = self.spark.createDataFrame([], T.StructType(stored))
-        first = f"{self._data}/batch_id=-1/exchange_date=1970-01-01"
-        empty.write.mode("ignore").parquet(first)
-        none = self.spark.createDataFrame([], COMMIT_DDL)
-        none.write.mode("ignore").parquet(f"{self._commits}/batch_id=-1")
+        none = self.spark.createDataFrame([], LOG_DDL)
+        none.write.mode("ignore").parquet(f"{self._log}/start")
         return self
 
     # -- write
@@ -68,115 +84,174 @@ class TickTable:
         self,
         ticks: DataFrame,
         batch_id: int,
+        writer: str = "batch",
         writers: int | None = None,
         max_rows_per_file: int | None = None,
+        expect: int | None = None,
     ) -> Commit:
-        """Store one batch, all or nothing. A committed batch id is not written again."""
+        """Store one batch, all or nothing.
+
+        The same rows under the same writer and id are stored once; other rows raise. With `expect`, a batch that
+        reaches the files with another number of rows is refused before it becomes visible.
+        """
         if batch_id < 0:
             raise ValueError("batch ids start at 0")
-        same_batch = F.when(F.col("batch_id") == batch_id, F.col("n"))
-        done, last_id = self.commits().agg(F.max(same_batch), F.max("last_id")).first()
-        if done is not None:
-            return Commit(batch_id, done)
-
-        rows = ticks
+        log = self._entries()
+        done = next((e for e in log if (e.writer, e.batch_id) == (writer, batch_id)), None)
+        earlier = [e for e in log if done is None or e.batch_seq < done.batch_seq]
+        rows, given = ticks, None
         if self.on_conflict == "ignore":
-            rows = self._without_stored(ticks)
-        next_id = 0 if last_id is None else last_id + 1
-        self._write(rows, batch_id, next_id, writers, max_rows_per_file)
-
-        written = self._batch(batch_id)
-        stats = written.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.unix_micros(F.min("exchange_ts")).alias("first_exchange_us"),
-            F.unix_micros(F.max("exchange_ts")).alias("last_exchange_us"),
-            F.unix_micros(F.min("ingest_ts")).alias("first_ingest_us"),
-            F.unix_micros(F.max("ingest_ts")).alias("last_ingest_us"),
-            F.max("id").alias("last_id"),
+            given = expect if expect is not None else ticks.count()
+            rows = self._without_stored(ticks, earlier)
+        if done is not None:
+            n, content = _stamped(rows).agg(*_content()).first()
+            if (n, content or 0) != (done.n, done.content):
+                raise BatchConflictError(f"batch {batch_id} of {writer!r} was stored with other content")
+            return Commit(writer, batch_id, done.n, done.repeated)
+
+        seq = 1 + max((e.batch_seq for e in log), default=-1)
+        folder = f"{re.sub('[^A-Za-z0-9]+', '-', writer)}-{batch_id}-{seq}"
+        self._write(rows, folder, seq, writers, max_rows_per_file)
+        written = self._folders([folder])
+        us = {n: F.unix_micros(n) for n in ("exchange_ts", "ingest_ts")}
+        stats = _stamped(written).agg(
+            *_content(),
+            F.sort_array(F.collect_set(F.unix_date("exchange_date"))),
+            *[f(us[n]) for n in ("exchange_ts", "ingest_ts") for f in (F.min, F.max)],
         ).first()
-        if stats["n"] == 0:
-            return Commit(batch_id, 0)
+        repeated = 0 if given is None else given - stats[0]
+        if expect is not None and stats[0] + repeated != expect:
+            raise RuntimeError(f"ticks lost before the table: {expect} admitted, {stats[0]} written")
+        if not stats[0] and not repeated:
+            return Commit(writer, batch_id, 0)
         if self.on_conflict == "error":
-            self._refuse_repeats(written, stats["first_exchange_us"], stats["last_exchange_us"])
-        entry = self.spark.createDataFrame([tuple(stats)], COMMIT_DDL)
-        entry.coalesce(1).write.mode("overwrite").parquet(f"{self._commits}/batch_id={batch_id}")
-        return Commit(batch_id, stats["n"])
+            self._refuse_repeats(written, earlier, stats[2])
+        entry = (writer, batch_id, seq, folder, stats[0], repeated, stats[1] or 0, *stats[2:])
+        self._add_to_log([entry], f"seq-{seq}")
+        return Commit(writer, batch_id, stats[0], repeated)
+
+    def compact(self) -> None:
+        """Put all rows in one folder and all entries in one file, then delete what they replace.
+
+        A failure on the way leaves the table readable: entries of the same batch count once, the newest first.
+        """
+        log = self._entries()
+        if len(log) < 2:
+            return
+        folder = f"compacted-{max(e.batch_seq for e in log)}-{uuid.uuid4().hex[:8]}"
+        stored = self.read()
+        ordered = stored.hint("rebalance", F.col("exchange_date")).sortWithinPartitions("exchange_date", "exchange_ts")
+        ordered.write.partitionBy("exchange_date").parquet(f"{self._data}/folder={folder}")
+        before = self._log_files()
+        moved = [(*e[:3], folder, *e[4:]) for e in log]
+        self._add_to_log(moved, folder)
+        for name in before:
+            drop_path(self.spark, f"{self._log}/{name}")
+        for name in {e.folder for e in log}:
+            drop_path(self.spark, f"{self._data}/folder={name}")
+
+    def _add_to_log(self, entries: list[tuple], name: str) -> None:
+        rows = self.spark.createDataFrame(entries, LOG_DDL)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self._log}/{name}")
 
     def _write(
-        self,
-        rows: DataFrame,
-        batch_id: int,
-        next_id: int,
-        writers: int | None,
-        max_rows_per_file: int | None,
+        self, rows: DataFrame, folder: str, seq: int, writers: int | None, max_rows_per_file: int | None
     ) -> None:
-        dated = tick_projection(rows).withColumn("exchange_date", _utc_date(F.col("exchange_ts")))
+        arrival = F.col("arrival_seq") if "arrival_seq" in rows.columns else F.lit(None)
+        dated = rows.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TICK_SCHEMA.fields],
+            arrival.cast("bigint").alias("arrival_seq"),
+            _utc_date(F.col("exchange_ts")).alias("exchange_date"),
+        )
         # Rebalancing by date joins small pieces and cuts a date that holds most rows.
         spread = dated.repartition(writers) if writers else dated.hint("rebalance", F.col("exchange_date"))
-        ordered = spread.sortWithinPartitions("exchange_date", "exchange_ts")
+        ordered = spread.sortWithinPartitions("exchange_date", "ingest_ts", "arrival_seq")
+        # A row is known by its batch and its position there; neither grows with the age of the table.
         numbered = ordered.select(
-            (F.monotonically_increasing_id() + F.lit(next_id)).alias("id"), *TICK_COLS, "exchange_date"
+            F.lit(seq).cast("bigint").alias("batch_seq"),
+            F.monotonically_increasing_id().alias("position"),
+            *TICK_COLS,
+            "arrival_seq",
+            "exchange_date",
         )
         writer = numbered.write.mode("overwrite").partitionBy("exchange_date")
         if max_rows_per_file:
             writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-        writer.parquet(f"{self._data}/batch_id={batch_id}")
+        writer.parquet(f"{self._data}/folder={folder}")
 
-    def _without_stored(self, ticks: DataFrame) -> DataFrame:
+    def _without_stored(self, ticks: DataFrame, earlier: list) -> DataFrame:
         unique = materialize(first_per(ticks, KEY_COLS, ["ingest_ts", *_tie_break(ticks)]))
-        bounds = [F.unix_micros(f("exchange_ts")) for f in (F.min, F.max)]
-        first, last = unique.agg(*bounds).first()
-        if first is None:
-            return unique
-        stored = self._between_us(first, last).select(*KEY_COLS)
-        return unique.join(stored, KEY_COLS, "left_anti")
-
-    def _refuse_repeats(self, written: DataFrame, first_us: int, last_us: int) -> None:
-        stored = self._between_us(first_us, last_us)
-        fresh = written.select(*KEY_COLS, F.lit(1).alias("_new"))
-        both = fresh.unionByName(stored.select(*KEY_COLS, F.lit(0).alias("_new")))
-        repeated = duplicate_keys(both, F.sum("_new").alias("_new")).where("_new > 0").first()
-        if repeated is not None:
-            key = {k: repeated[k] for k in KEY_COLS}
-            raise DuplicateKeyError(f"key occurs {repeated['copies']} times: {key}")
+        days = [r[0] for r in unique.select(F.unix_date(_utc_date(F.col("exchange_ts")))).distinct().collect()]
+        return unique.join(self._on_days(earlier, days).select(*KEY_COLS), KEY_COLS, "left_anti")
+
+    def _refuse_repeats(self, written: DataFrame, earlier: list, days: list[int]) -> None:
+        """Repeats inside the batch, then stored keys among those of the batch, on the batch's days only."""
+        inside = duplicate_keys(written).first()
+        if inside is not None:
+            raise DuplicateKeyError(f"key occurs {inside['copies']} times: { {k: inside[k] for k in KEY_COLS} }")
+        stored = self._on_days(earlier, days).select(*KEY_COLS)
+        again = stored.join(written.select(*KEY_COLS), KEY_COLS, "left_semi").first()
+        if again is not None:
+            raise DuplicateKeyError(f"key is stored already: {again.asDict()}")
 
     # -- read
 
     def commits(self) -> DataFrame:
-        schema = f"{COMMIT_DDL}, batch_id bigint"
-        return self.spark.read.schema(schema).parquet(self._commits)
+        """An entry per batch."""
+        logged = self.spark.read.schema(LOG_DDL).option("recursiveFileLookup", "true").parquet(self._log)
+        # Between a compaction and its clean-up a batch has two entries.
+        newest = F.max_by(F.struct(*logged.columns), F.struct(F.col("folder").startswith("compacted-"), "folder"))
+        return logged.groupBy("writer", "batch_id").agg(newest.alias("_e")).select("_e.*")
 
     def read(self) -> DataFrame:
-        stored = self.spark.read.schema(STORED_SCHEMA).parquet(self._data)
-        return stored.join(self.commits().select("batch_id"), "batch_id", "left_semi")
+        return self._folders([e.folder for e in self._entries()])
 
     def time_range(self, first: datetime, last: datetime) -> DataFrame:
         """Ticks with `first <= exchange_ts <= last`, reading only the days in between."""
         return self.read().where(_in_range(F.lit(first), F.lit(last)))
 
-    def _between_us(self, first_us: int, last_us: int) -> DataFrame:
-        bounds = [F.timestamp_micros(F.lit(us)) for us in (first_us, last_us)]
-        return self.read().where(_in_range(*bounds))
-
-    def arrived_since(self, instant_us: int, before_batch: int) -> DataFrame:
-        """Ticks of earlier batches that arrived at or after the instant (epoch microseconds).
+    def arrived_since(self, instant_us: int, writer: str, batch_id: int) -> DataFrame:
+        """Ticks of batches before the given one that arrived at or after the instant (epoch microseconds).
 
         Admissions before `first arrival - window` block nothing that arrives from now on.
         """
-        earlier = F.col("batch_id") < before_batch
-        recent = self.commits().where(earlier & (F.col("last_ingest_us") >= instant_us))
-        stored = self.spark.read.schema(STORED_SCHEMA).parquet(self._data)
-        kept = stored.where(earlier & (F.col("ingest_ts") >= F.timestamp_micros(F.lit(instant_us))))
-        return kept.join(recent.select("batch_id"), "batch_id", "left_semi")
+        log = self._entries()
+        own = next((e.batch_seq for e in log if (e.writer, e.batch_id) == (writer, batch_id)), None)
+        recent = [
+            e for e in log if (own is None or e.batch_seq < own) and e.n and e.last_ingest_us >= instant_us
+        ]
+        rows = self._folders([e.folder for e in recent])
+        # A compacted folder also holds batches that are not asked for.
+        asked = F.col("batch_seq") < (2**62 if own is None else own)
+        return rows.where(asked & (F.col("ingest_ts") >= F.timestamp_micros(F.lit(instant_us))))
 
     def register(self, name: str = "ticks") -> None:
         """Offer the committed rows to SQL under a name."""
         self.read().createOrReplaceTempView(name)
 
-    def _batch(self, batch_id: int) -> DataFrame:
-        # The given schema lets an empty batch, which has no files, be read too.
-        own = T.StructType([f for f in STORED_SCHEMA.fields if f.name != "batch_id"])
-        return self.spark.read.schema(own).parquet(f"{self._data}/batch_id={batch_id}")
+    def _entries(self) -> list:
+        """The log on the driver: a short row per batch since the table began."""
+        return sorted(self.commits().collect(), key=lambda e: e.batch_seq)
+
+    def _log_files(self) -> list[str]:
+        files = self.spark.read.schema(LOG_DDL).option("recursiveFileLookup", "true").parquet(self._log).inputFiles()
+        return sorted({f.rsplit("/", 2)[1] for f in files})
+
+    def _folders(self, folders: list[str]) -> DataFrame:
+        named = [f"{self._data}/folder={f}" for f in sorted(set(folders))]
+        if not named:
+            return self.spark.createDataFrame([], STORED_SCHEMA)
+        # A folder without rows has no files, which a given schema lets pass.
+        schema = T.StructType([*STORED_SCHEMA.fields, T.StructField("folder", T.StringType())])
+        return self.spark.read.schema(schema).option("basePath", self._data).parquet(*named).drop("folder")
+
+    def _on_days(self, entries: list, days: list[int]) -> DataFrame:
+        """Stored rows of the given exchange days (days since the epoch), from the batches that have some."""
+        wanted = set(days)
+        rows = self._folders([e.folder for e in entries if wanted & set(e.days)])
+        seqs = F.col("batch_seq") <= max((e.batch_seq for e in entries), default=-1)
+        dates = [F.date_from_unix_date(F.lit(d)) for d in sorted(wanted)]
+        return rows.where(seqs & (F.col("exchange_date").isin(dates) if dates else F.lit(False)))
 
 
 def duplicate_keys(ticks: DataFrame, *extra: Column) -> DataFrame:
@@ -185,13 +260,21 @@ def duplicate_keys(ticks: DataFrame, *extra: Column) -> DataFrame:
     return copies.where(F.col("copies") > 1)
 
 
+def _stamped(ticks: DataFrame) -> DataFrame:
+    return ticks.withColumn("_hash", F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in TICK_SCHEMA.fields]))
+
+
+def _content() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.col("_hash").cast("decimal(20,0)")).cast("decimal(38,0)").alias("content")]
+
+
 def _tie_break(ticks: DataFrame) -> list[str]:
     return ["arrival_seq"] if "arrival_seq" in ticks.columns else ["price", "volume"]
 
 
 def _utc_date(instant: Column) -> Column:
     """Date of an instant in UTC, whatever the session's time zone."""
-    return F.date_from_unix_date(slot_of(F.unix_micros(instant), 86_400_000_000).cast("int"))
+    return F.date_from_unix_date(slot_of(F.unix_micros(instant), DAY_US).cast("int"))
 
 
 def _in_range(first: Column, last: Column) -> Column:

@@ -1,44 +1,27 @@
 """Streaming job with the same semantics as the batch job, exact across micro-batches and restarts.
 
 State: what was admitted within the last window. The table already holds it, so a micro-batch reads
-the batches that arrived since `first arrival - window` and needs no state store of its own. Batch N
-only looks at batches before N, and a batch id is committed once, so replaying N after a failure
-gives the same rows and no repeats.
+the batches that arrived since `first arrival - window` and needs no state store of its own. A batch
+only looks at batches stored before it, and is committed once under the stream's name and its id, so
+replaying it after a failure gives the same rows and no repeats.
 """
 
 from __future__ import annotations
 
+import zlib
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.dedup import drop_recently_admitted, first_per, sliding_window_dedup
-from tickloom.operators.metrics import MetricsLog, Snapshot
-from tickloom.plans.ingest import stage_frames
-from tickloom.schema import KEY_COLS, IngestOptions, micros
-from tickloom.session import materialize, scratch_path
+from tickloom.operators.metrics import MetricsLog
+from tickloom.plans.ingest import ingest_batch
+from tickloom.schema import KEY_COLS, IngestOptions
+from tickloom.session import scratch_path
 from tickloom.sources.registry import check_registry, join_registry
 from tickloom.sources.tick_table import TickTable
 
 
-def dedup_batch(
-    ticks: DataFrame, table: TickTable, batch_id: int, window: timedelta
-) -> DataFrame:
-    """Ticks of one micro-batch that the sliding window admits, given earlier batches."""
-    first, last = ticks.agg(*[F.unix_micros(f("ingest_ts")) for f in (F.min, F.max)]).first()
-    if first is None:
-        return ticks
-    recent = table.arrived_since(first - micros(window), before_batch=batch_id)
-    open_again = drop_recently_admitted(ticks, recent, window)
-    if last - first < micros(window):
-        # No key can be admitted twice in such a batch.
-        return first_per(open_again, KEY_COLS, ["ingest_ts", "arrival_seq"])
-    # A long batch is read several times below; the join with earlier batches runs once.
-    return sliding_window_dedup(materialize(open_again), window)
-
-
 def start_ingest(
     frames: DataFrame,
     registry: DataFrame,
@@ -57,22 +40,14 @@ def start_ingest(
     options = options or IngestOptions()
     table.create()
     enabled = check_registry(registry)
+    # The checkpoint is what makes two runs the same stream.
+    name = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
     # Each micro-batch overwrites the staged rows of the one before it.
     stage_path = scratch_path(frames.sparkSession, "staged")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         tagged = join_registry(batch, registry, enabled)
-        staged = stage_frames(tagged, options, stage_path)
-        admitted = dedup_batch(staged.ticks, table, batch_id, options.dedup_window)
-        commit = table.append(admitted, batch_id)
-        if quarantine_path:
-            target = f"{quarantine_path.rstrip('/')}/batch_id={batch_id}"
-            staged.rejects.write.mode("overwrite").parquet(target)
-        if metrics:
-            received, dropped = staged.ticks.count(), staged.rejects.count()
-            metrics.record(
-                batch_id, Snapshot(received, received - commit.rows, commit.rows, dropped)
-            )
+        ingest_batch(tagged, table, name, batch_id, options, quarantine_path, metrics, stage_path)
 
     writer = frames.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if drain:
