@@ -12,7 +12,7 @@ from tickloom.plans.ingest import run_ingest
 from tickloom.schema import FRAME_SCHEMA, IngestOptions
 from tickloom.sources.frames import stream_frames
 from tickloom.sources.registry import REGISTRY_DDL
-from tickloom.sources.tick_table import TickTable
+from tickloom.sources.tick_table import BatchConflictError, TickTable
 from tickloom.streaming.ingest import approximate_dedup, await_drain, backlog, start_ingest
 
 OPTIONS = IngestOptions(dedup_window=timedelta(seconds=10))
@@ -46,8 +46,8 @@ def test_batch_job(spark, tmp_path, registry):
     table = TickTable(spark, str(tmp_path / "ticks"))
     log = MetricsLog(spark, str(tmp_path / "log"))
     quarantine = str(tmp_path / "rejects")
-    counts = run_ingest(make_frames(spark, rows), registry, table, LONG, 0, quarantine, log)
-    assert counts == log.snapshot() == Snapshot(200, 160, 40, 8)
+    counts = run_ingest(make_frames(spark, rows), registry, table, 0, LONG, quarantine, log)
+    assert counts == log.snapshot() == Snapshot(200, 160, 40, 8, 2)
     assert table.read().count() == 40
     rejects = spark.read.parquet(quarantine).groupBy("reason").count().collect()
     assert {r["reason"]: r["count"] for r in rejects} == {"malformed_frame": 7, "bad_symbol": 1}
@@ -64,7 +64,7 @@ def test_volume(spark, tmp_path, registry, keys, copies):
         F.col("id").alias("arrival_seq"),
     )
     table = TickTable(spark, str(tmp_path / "ticks"))
-    counts = run_ingest(frames, registry, table, LONG)
+    counts = run_ingest(frames, registry, table, 0, LONG)
     assert counts == Snapshot(keys * copies, keys * (copies - 1), keys, 0)
     assert table.read().count() == keys
 
@@ -72,7 +72,7 @@ def test_volume(spark, tmp_path, registry, keys, copies):
 def test_key_let_through_twice_is_refused_by_the_table(spark, tmp_path, registry):
     table = TickTable(spark, str(tmp_path / "ticks"))
     with pytest.raises(RuntimeError, match="occurs 2 times"):
-        run_ingest(make_frames(spark, frame_rows([(1, 0), (1, 10)])), registry, table, OPTIONS)
+        run_ingest(make_frames(spark, frame_rows([(1, 0), (1, 10)])), registry, table, 0, OPTIONS)
     assert table.read().count() == 0
 
 
@@ -95,8 +95,8 @@ class FailsOnce(TickTable):
 
     failed = False
 
-    def append(self, ticks, batch_id, **kwargs):
-        commit = super().append(ticks, batch_id, **kwargs)
+    def append(self, ticks, batch_id, *args, **kwargs):
+        commit = super().append(ticks, batch_id, *args, **kwargs)
         if batch_id == 1 and not FailsOnce.failed:
             FailsOnce.failed = True
             raise OSError("connection lost")
@@ -128,6 +128,64 @@ def test_stream_equals_batch_across_failure_and_restart(spark, tmp_path, registr
     assert [b["batch_id"] for b in backlog(resumed)][-1] == 2
 
 
+def test_batch_then_stream_share_a_table(spark, tmp_path, registry):
+    """Both number their batches from 0; nothing may be taken for a replay of the other."""
+    table = TickTable(spark, str(tmp_path / "ticks"))
+    early = make_frames(spark, frame_rows([(i, 0) for i in range(5)]))
+    assert run_ingest(early, registry, table, 0, LONG).written == 5
+    feed = str(tmp_path / "feed")
+    make_frames(spark, frame_rows([(i, 1) for i in range(3, 8)], 100)).write.parquet(feed)
+    log = MetricsLog(spark, str(tmp_path / "log"))
+    query = start_ingest(
+        stream_frames(spark, feed, 10), registry, table, str(tmp_path / "progress"), LONG, None, log, drain=True
+    )
+    assert await_drain(query, timedelta(seconds=120))
+    assert log.snapshot() == Snapshot(5, 2, 3, 0)
+    assert sorted(r.source_id for r in table.read().collect()) == list(range(8))
+    # The first batch again changes nothing; other frames under its id are refused.
+    assert run_ingest(early, registry, table, 0, LONG).written == 5
+    with pytest.raises(BatchConflictError):
+        run_ingest(make_frames(spark, frame_rows([(50, 9)])), registry, table, 0, LONG)
+    assert table.read().count() == 8
+
+
+def test_window_reaches_over_batches(spark, tmp_path, registry):
+    table = TickTable(spark, str(tmp_path / "ticks"), "keep")
+    keys = [((i * 5) % 11, i // 3) for i in range(120)]
+    written = [
+        run_ingest(make_frames(spark, frame_rows(keys[a : a + 40], a)), registry, table, n, OPTIONS).written
+        for n, a in enumerate((0, 40, 80))
+    ]
+    assert _stored(table) == _simulate(keys)
+    assert sum(written) == len(_simulate(keys))
+
+
+class LosesOne(TickTable):
+    """Drops a row on its way to the files."""
+
+    def _write(self, rows, *args):
+        super()._write(rows.where("source_id <> 3"), *args)
+
+
+def test_a_lost_row_fails_the_batch(spark, tmp_path, registry):
+    table = LosesOne(spark, str(tmp_path / "ticks"))
+    with pytest.raises(RuntimeError, match="ticks lost"):
+        run_ingest(make_frames(spark, frame_rows([(i, 0) for i in range(9)])), registry, table, 0, LONG)
+    assert table.read().count() == 0
+
+
+def test_a_burst_waits_at_the_source(spark, tmp_path, registry):
+    """More files than a trigger admits: every micro-batch stays small and nothing is dropped."""
+    feed, table = str(tmp_path / "feed"), TickTable(spark, str(tmp_path / "ticks"))
+    for i in range(6):
+        part = make_frames(spark, frame_rows([(i * 10 + k, i) for k in range(10)], i * 10))
+        part.coalesce(1).write.mode("append").parquet(feed)
+    query = start_ingest(stream_frames(spark, feed, 1), registry, table, str(tmp_path / "progress"), LONG, drain=True)
+    assert await_drain(query, timedelta(seconds=240))
+    assert [b["input_rows"] for b in backlog(query) if b["input_rows"]] == [10] * 6
+    assert table.read().count() == 60
+
+
 def test_drain_timeout_stops_and_loses_nothing(spark, tmp_path, registry):
     feed, progress = str(tmp_path / "feed"), str(tmp_path / "progress")
     table = TickTable(spark, str(tmp_path / "ticks"))

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from conftest import NOON
 from tickloom.operators.batching import write_batches
 from tickloom.operators.metrics import MetricsLog, Snapshot, counter_totals, flow, interval_counts
-from tickloom.operators.silence import source_silence
+from tickloom.operators.silence import open_silence, source_silence
 from tickloom.schema import FRAME_SCHEMA
 from tickloom.operators.parse import parse_as
 from tickloom.sources.frames import fan_in, read_file_frames, read_frames, read_line_frames
-from tickloom.sources.registry import REGISTRY_DDL, check_registry, with_registered_format
+from tickloom.sources.registry import REGISTRY_DDL, check_registry, tag_frames, with_registered_format
 
 
 @pytest.mark.parametrize("limits", [{}, {"sort_rows": 1, "block": 3}])
@@ -67,6 +67,34 @@ def test_source_silence(spark):
     assert sorted(r.gap_us // 1_000_000 for r in found.collect()) == sorted(want)
 
 
+def test_open_silence(spark):
+    frames = _frames(spark, [("a", 0), ("A", 100), ("b", 5), ("d", 130)])
+    registry = _registry(spark, [("A", "csv", True), ("B", "csv", True), ("never", "csv", True), ("d", "csv", True), ("c", "csv", False)])
+    until = NOON + timedelta(seconds=120)
+    found = open_silence(frames, registry, timedelta(seconds=20), until).collect()
+    assert sorted((r.source, r.gap_us) for r in found if r.gap_us) == [("B", 115_000_000)]
+    # What arrives after the instant does not count.
+    assert {r.source for r in found if r.gap_us is None} == {"never", "d"}
+
+
+def test_quiet_intervals_are_reported(make_ticks):
+    ticks = make_ticks([{"source_id": i, "at": at} for i, at in enumerate((0, 1, 7))])
+    rows = flow(ticks.withColumn("reason", F.lit(None).cast("string")), ticks, ["exchange", "ingest_ts"])
+    steps = interval_counts(rows, timedelta(seconds=2), quiet=True).orderBy("interval_start").collect()
+    assert [(r.received_delta, r.received) for r in steps] == [(2, 2), (0, 2), (0, 2), (1, 3)]
+    assert interval_counts(rows.limit(0), timedelta(seconds=2), quiet=True).count() == 0
+    with pytest.raises(ValueError):
+        interval_counts(rows, timedelta(milliseconds=1500))
+
+
+def test_tagging_names_every_frame(spark):
+    frames = _frames(spark, [("ONE", 0), ("one", 1), ("Two", 2), ("three", 3)])
+    registry = _registry(spark, [("One", "csv", True), ("one", "kraken", False), ("two", "csv", False)])
+    found = {(r.source, r.format, r.skipped) for r in tag_frames(frames, registry).collect()}
+    assert found == {("ONE", "csv", None), ("one", "csv", None), ("Two", None, "disabled"), ("three", None, "unlisted")}
+    assert with_registered_format(frames, registry).count() == 2
+
+
 def test_snapshot_and_log(spark, tmp_path):
     counts = Snapshot(5, 2, 3, 1)
     assert counts.gap == 2 and counts.in_flight == 0

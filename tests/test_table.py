@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import NOON
 from tickloom.schema import TICK_COLS, key_projection, tick_projection, with_exchange_name
-from tickloom.sources.tick_table import DuplicateKeyError, TickTable, duplicate_keys
+from tickloom.sources.tick_table import BatchConflictError, DuplicateKeyError, TickTable, duplicate_keys
 
 
 @pytest.fixture
@@ -72,7 +72,45 @@ def test_ids_are_unique_across_batches_and_writers(table, make_ticks):
         rows = [{"source_id": batch * 500 + i} for i in range(500)]
         table.append(make_ticks(rows), batch, writers=4, max_rows_per_file=100)
     stored = table.read()
-    assert stored.count() == 1500 and stored.select("id").distinct().count() == 1500
+    assert stored.count() == 1500 and stored.select("batch_seq", "position").distinct().count() == 1500
+    # A row's number stays in its batch's range, however old the table is.
+    assert stored.agg(F.max("batch_seq")).first()[0] == 2
+
+
+def test_same_id_with_other_content_is_refused(table, make_ticks):
+    table.append(make_ticks([{"source_id": 1}]), 0)
+    with pytest.raises(BatchConflictError):
+        table.append(make_ticks([{"source_id": 2}]), 0)
+    assert table.append(make_ticks([{"source_id": 2}]), 0, "other").rows == 1
+    assert sorted(r.source_id for r in table.read().collect()) == [1, 2]
+
+
+def test_small_batches_read_little_of_an_old_table(spark, tmp_path, make_ticks):
+    """A small batch looks at the folders of its own days and of recent arrivals, before and after a compaction."""
+    table = TickTable(spark, str(tmp_path / "old")).create()
+    for day in range(12):
+        table.append(make_ticks([{"source_id": day, "exchange_ts": NOON - timedelta(days=day), "at": day * 100}]), day)
+    entries = table._entries()
+    late = int((NOON + timedelta(seconds=1000)).timestamp() * 1e6)
+    assert len(table.arrived_since(late, "batch", 99).inputFiles()) == 2
+    assert len(table._on_days(entries, [entries[5].days[0]]).inputFiles()) == 1
+    before = sorted(map(tuple, table.read().collect()))
+    table.compact()
+    assert sorted(map(tuple, table.read().collect())) == before
+    assert len(table._log_files()) == 1 and table.commits().count() == 12
+    assert {r.batch_seq for r in table.arrived_since(late, "batch", 99).collect()} == {10, 11}
+    # Batches stored before are still known, and their keys are still refused.
+    assert table.append(make_ticks([{"source_id": 11, "exchange_ts": NOON - timedelta(days=11), "at": 1100}]), 11).rows == 1
+    with pytest.raises(DuplicateKeyError):
+        table.append(make_ticks([{"source_id": 3, "exchange_ts": NOON - timedelta(days=3), "at": 5000}]), 20)
+    assert table.append(make_ticks([{"source_id": 77}]), 20).rows == 1
+    assert table.read().count() == 13
+
+
+def test_arrival_numbers_are_stored_in_order(table, make_ticks):
+    table.append(make_ticks([{"source_id": i, "at": -i} for i in range(50)]), 0, writers=1)
+    stored = table.read().orderBy("position").collect()
+    assert [r.arrival_seq for r in stored] == list(range(49, -1, -1))
 
 
 def test_ignore_and_keep(spark, tmp_path, make_ticks):
