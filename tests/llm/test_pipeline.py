@@ -12,7 +12,7 @@ def test_stages_on_planted_rows(spark, docs):
     kept = {i: prose(i) for i in range(40)}
     near = prose(3).replace(" ", "  ", 2)
     rows = [*kept.items(), (100, kept[1]), (101, near), (102, None), (103, ""), (104, "short"), (105, "LOUD!! WORDS!! " * 60)]
-    rows += [(106, kept[2] + " write to a.b@example.org or 4111 1111 1111 1111"), (107, " | ".join(prose(7).split()))]
+    rows += [(106, prose(60) + " write to a.b@example.org or 4111 1111 1111 1111"), (107, " | ".join(prose(7).split()))]
     now = docs(rows)
     schema = now.schema
     seen = []

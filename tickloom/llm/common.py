@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +16,12 @@ SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Workers of a session that began before this package was on the path are told where it is."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
