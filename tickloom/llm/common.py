@@ -88,3 +88,13 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 
 def list_array(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+
+
+def hashed_sample(docs: DataFrame, text: str, count: int) -> DataFrame:
+    """(h, text): the distinct texts with the `count` smallest hashes, whatever the layout of the rows.
+
+    Only hashes are sorted, so what moves is `count` numbers a task and the sample itself.
+    """
+    hashed = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    least = hashed.select("h").distinct().orderBy("h").limit(count).agg(F.max("h")).first()[0]
+    return hashed.where(F.col("h") <= F.lit(least)).dropDuplicates(["h"])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.char_tagger import CharTagger, classes
-from tickloom.llm.common import as_text, map_text
+from tickloom.llm.common import as_text, hashed_sample, map_text
 from tickloom.llm.pii_base import KINDS, address_parts, base_spans, card_number, digits
 
 TRIGGERS = "0123456789@[({"
@@ -131,11 +131,10 @@ def train_tagger(docs: DataFrame, text: str = "text", sample_pieces: int = 400,
 
     The pieces are those with the smallest hashes, so the sample does not depend on how rows are laid out.
     """
-    whole = docs.select(as_text(text))
-    spread = F.xxhash64(text)
-    room = F.greatest(F.length(text) - 4 * LENGTH, F.lit(1))
-    piece = F.substring(F.col(text), (1 + F.pmod(spread, room)).cast("int"), F.lit(4 * LENGTH))
-    rows = whole.select(spread.alias("h"), piece.alias("piece")).orderBy("h", "piece").limit(sample_pieces).collect()
+    chosen = hashed_sample(docs.select(as_text(text)), text, sample_pieces)
+    room = F.greatest(F.length("text") - 4 * LENGTH, F.lit(1))
+    piece = F.substring(F.col("text"), (1 + F.pmod("h", room)).cast("int"), F.lit(4 * LENGTH))
+    rows = chosen.select("h", piece.alias("piece")).orderBy("h").collect()
     tagger = CharTagger(TAGS, _allowed())
     tagger.fit(*labelled_windows([r.piece for r in rows], windows), steps=steps)
     return tagger

@@ -262,11 +262,13 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select("low", "low").distinct().toDF("node", "root")
             )
         before = tuple(state)
-        # Larger neighbours of a node move to the smallest node it knows, itself included.
-        smallest = now.groupBy(F.col("high").alias("low")).agg(F.min("low").alias("m"))
+        # Larger neighbours of a node move to the smallest node it knows, itself included. The minima are stored, so
+        # that both sides of the join are plain exchanges and a node of very many neighbours can be split.
+        smallest = materialize(now.groupBy(F.col("high").alias("low")).agg(F.min("low").alias("m")))
         hung = now.join(smallest, "low", "left").select("high", F.coalesce("m", "low").alias("low")).distinct()
         # The smaller neighbours of a node move to the smallest of them, and the node with them.
-        smallest = hung.groupBy("high").agg(F.min("low").alias("m"))
+        hung = materialize(hung)
+        smallest = materialize(hung.groupBy("high").agg(F.min("low").alias("m")))
         both = hung.join(smallest, "high")
         now = materialize(
             both.where("low <> m")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import as_text, byte_texts, map_text
+from tickloom.llm.common import as_text, byte_texts, hashed_sample, map_text
 from tickloom.llm.text_counts import repeated_words, symbol_count, word_ids
 
 GOOD, BAD, NONE = 1, 2, 0
@@ -249,9 +249,8 @@ def train_scorer(docs: DataFrame, votes: VoteModel, text: str = "text", sample_t
 
         return work
 
-    spread = F.xxhash64(text).alias("h")
-    chosen = docs.select(as_text(text)).where(F.length(text) > 0).select(spread, text).orderBy("h", text).limit(sample_texts)
-    table = map_text(chosen, text, ["h"], fields, make).toArrow().sort_by("h")
+    chosen = hashed_sample(docs.select(as_text(text)).where(F.length(text) > 0), text, sample_texts)
+    table = map_text(chosen, "text", ["h"], fields, make).toArrow().sort_by("h")
     if not table.num_rows:
         return np.zeros((1 << BUCKET_BITS) + 1)
     target = votes.chance(table.column("votes").to_numpy().astype(np.int64))
