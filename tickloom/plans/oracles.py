@@ -181,6 +181,8 @@ WINDOW w AS (ORDER BY interval_ms)""",
         "ingest_two_batches": _feed(f"SELECT {_TICK} FROM admitted", _ticks_chain(60_000)),
         "batch_then_stream": _feed(f"SELECT {_TICK} FROM admitted", _ticks_chain(60_000)),
         "stored_arrival_numbers": _feed("SELECT arrival_seq, symbol, source_id FROM admitted", _ticks_chain(60_000)),
+        "offset_instants": "SELECT event_id AS source_id, epoch_us(ts) // 1000 AS exchange_ms, "
+        "epoch_us(ts) // 86400000000 AS day FROM events",
         "parse_binance": _parsed("binance"),
         "parse_kraken": _parsed("kraken"),
         "parse_csv": _parsed("csv"),

@@ -22,7 +22,7 @@ from tickloom.operators.routing import shard_counts, with_shard
 from tickloom.operators.silence import open_silence, source_silence
 from tickloom.plans.event_feed import event_frames, feed_registry, load, spread
 from tickloom.plans.ingest import Staged, run_ingest, stage_frames
-from tickloom.schema import KEY_COLS, IngestOptions, with_exchange_name
+from tickloom.schema import EXCHANGES, KEY_COLS, IngestOptions, with_exchange_name
 from tickloom.session import materialize, scratch_path
 from tickloom.sources.frames import fan_in, stream_frames
 from tickloom.sources.registry import REGISTRY_DDL, tag_frames, with_registered_format
@@ -504,6 +504,26 @@ def stored_arrival_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(*_long("arrival_seq"), "symbol", *_long("source_id"))
 
 
+@query
+def offset_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instants given with an offset of three hours are stored as what they are, on their day in UTC."""
+    ts = F.col("ts").cast("timestamp")
+    local = F.date_format(ts + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    ticks = load(spark, sf_dir, "events").select(
+        F.lit(EXCHANGES["Mock"]).alias("exchange"),
+        F.upper("event_type").alias("symbol"),
+        F.col("value").alias("price"),
+        F.lit(1).alias("volume"),
+        F.to_timestamp(F.concat(local, F.lit("+03:00"))).alias("exchange_ts"),
+        F.col("event_id").alias("source_id"),
+        ts.alias("ingest_ts"),
+    )
+    table = TickTable(spark, scratch_path(spark, "ticks"), "keep").create()
+    table.append(ticks, 0)
+    day = F.unix_date("exchange_date").cast("bigint").alias("day")
+    return table.read().select(*_long("source_id"), F.unix_millis("exchange_ts").alias("exchange_ms"), day)
+
+
 @query
 def ticks_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _stored(spark, sf_dir, WINDOW, "keep")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.schema import FRAME_SCHEMA
@@ -15,23 +16,28 @@ def read_frames(spark: SparkSession, path: str, file_format: str = "parquet") ->
     return spark.read.schema(FRAME_SCHEMA).format(file_format).load(path)
 
 
-def read_line_frames(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Text files of one source, one frame per line; a file's time stands for its lines' arrival."""
-    lines = spark.read.text(path).select("value", "_metadata.file_modification_time")
-    return _as_frames(lines, source, "value", "file_modification_time")
+def read_line_frames(spark: SparkSession, path: str, source: str, arrived: Column | datetime | None = None) -> DataFrame:
+    """Text files of one source, one frame per line.
+
+    `arrived` is the instant of arrival, as a value or an expression over `value` and `_metadata`; without it a file's
+    time stands for its lines' arrival, which suits files that are read soon after they were written.
+    """
+    lines = spark.read.text(path)
+    return _as_frames(lines, source, "value", arrived, "_metadata.file_modification_time")
 
 
-def read_file_frames(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Files of one source, each one frame; the file's time is its arrival."""
+def read_file_frames(spark: SparkSession, path: str, source: str, arrived: Column | datetime | None = None) -> DataFrame:
+    """Files of one source, each one frame; the file's time is its arrival unless `arrived` says otherwise."""
     files = spark.read.format("binaryFile").load(path)
-    return _as_frames(files, source, "content", "modificationTime")
+    return _as_frames(files, source, "content", arrived, "modificationTime")
 
 
-def _as_frames(rows: DataFrame, source: str, frame: str, arrived: str) -> DataFrame:
+def _as_frames(rows: DataFrame, source: str, frame: str, arrived: Column | datetime | None, file_time: str) -> DataFrame:
+    instant = F.col(file_time) if arrived is None else F.lit(arrived)
     return rows.select(
         F.lit(source).alias("source"),
         F.col(frame).cast("binary").alias("frame"),
-        F.col(arrived).alias("ingest_ts"),
+        instant.cast("timestamp").alias("ingest_ts"),
         # Follows the order of files and of lines within a file.
         F.monotonically_increasing_id().alias("arrival_seq"),
     )
@@ -54,8 +60,9 @@ def stream_broker_frames(
 ) -> DataFrame:
     """Frames from a message broker; needs the Kafka connector on the class path.
 
-    The topic names the source, the broker's append time is the arrival instant. Offsets only order
-    rows of one partition; feeds write a key to one partition, so they order each key's arrivals.
+    The topic names the source, the broker's append time is the arrival instant. The arrival number is
+    the offset with the partition above it: it orders the rows of a partition and differs between any two
+    rows of a topic, so equal instants of one key are told apart even if the key changed its partition.
     """
     raw = (
         spark.readStream.format("kafka")
@@ -65,7 +72,10 @@ def stream_broker_frames(
         .load()
     )
     return raw.selectExpr(
-        "topic AS source", "value AS frame", "timestamp AS ingest_ts", "offset AS arrival_seq"
+        "topic AS source",
+        "value AS frame",
+        "timestamp AS ingest_ts",
+        "shiftleft(CAST(partition AS BIGINT), 44) + offset AS arrival_seq",
     )
 
 
