@@ -19,7 +19,6 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,82 +32,78 @@ from tickloom.llm.common import as_text, slices
 TIERS = (1024, 512, 256, 128)
 # Documents packed together; it bounds what a task holds.
 BLOCK = 4096
-# Words remembered per Python worker; the memory starts anew when it is full, nothing is lost.
-CACHE_WORDS = 800_000
-# Runs without white space, with the space before them, and the white space between: no word of a byte-level
-# vocabulary goes across their ends.
-CHUNK = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
-# The parts of a chunk of Latin text that are words by themselves: letters, figures, other signs.
-PART = re.compile(r" ?[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ]+| ?[0-9\xb2\xb3\xb9\xbc-\xbe]+| ?[!-/:-@[-`{-~]+")
-# Texts with other white space are left to the library whole.
-OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+# Fixed value: how byte-level vocabularies of this kind split a text into words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Characters whose classes may differ between editions of Unicode, and white space of a length that look-ahead is
+# slow on. Such texts are left to the tokenizer's own library.
+UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u017f]|[\t\n\r ]{400}")
 END_ID = 0
 
 
-class WordIds(dict):
-    """Word to its ids as little-endian 32-bit numbers."""
+def _byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in such a vocabulary: printable ones for themselves, others moved up in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    moved = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + at): b for at, b in enumerate(moved)}
+
+
+class TextIds:
+    """Ids of whole texts as little-endian 32-bit numbers, exactly as the tokenizers library gives them.
+
+    If the file is a plain byte-level vocabulary whose merges are ranked by their ids, common texts go through a faster
+    implementation of the same merges.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.library = Tokenizer.from_file(path)
         # Names of special tokens inside a text are text.
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
-        step = made.get("pre_tokenizer") or {}
-        # Only then is each chunk encoded by itself.
-        self.by_word = (
+        ranks = self._ranks(made)
+        self.fast = None
+        if ranks:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    @staticmethod
+    def _ranks(made: dict) -> dict[bytes, int] | None:
+        step, model = made.get("pre_tokenizer") or {}, made["model"]
+        plain = (
             step.get("type") == "ByteLevel" and step.get("use_regex", True) and not step.get("add_prefix_space")
-            and not made.get("normalizer") and all(t.get("special") for t in made.get("added_tokens", []))
-        )
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in made]
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Chunks that are not known yet: from their parts where those are words, else from the library."""
-        new = list(chunks)
-        if len(self) + 2 * len(new) > CACHE_WORDS:
-            self.clear()
-        # An apostrophe may start a short word of its own, so such chunks are not taken apart.
-        parts = [[] if "'" in c else PART.findall(c) for c in new]
-        spelt = [bool(p) and sum(map(len, p)) == len(c) for p, c in zip(parts, new, strict=True)]
-        unknown = {c for c, ok in zip(new, spelt, strict=True) if not ok}
-        unknown.update(w for p, ok in zip(parts, spelt, strict=True) if ok for w in p if w not in self)
-        todo = list(unknown)
-        for at in range(0, len(todo), 20_000):
-            some = todo[at : at + 20_000]
-            self.update(zip(some, self._whole(some), strict=True))
-        for chunk, own, ok in zip(new, parts, spelt, strict=True):
-            if ok and len(own) > 1:
-                self[chunk] = b"".join([self[w] for w in own])
+            and not made.get("normalizer") and model.get("type") == "BPE" and not model.get("ignore_merges")
+            and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+        )
+        if not plain:
+            return None
+        special = {t["content"] for t in made.get("added_tokens", [])}
+        letters = _byte_letters()
+        names = {k: v for k, v in model["vocab"].items() if k not in special}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if any(names.get(a + b) != 256 + at for at, (a, b) in enumerate(pairs)):
+            return None
+        if len(names) != 256 + len(pairs) or any(c not in letters for name in names for c in name):
+            return None
+        return {bytes(letters[c] for c in name): rank for name, rank in names.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [CHUNK.findall(t) if self.by_word and not OTHER_SPACE.search(t) else None for t in texts]
-        flat = list(chain.from_iterable(c for c in chunks if c))
-        values = list(map(self.get, flat))
-        missing = [at for at, value in enumerate(values) if value is None]
-        if missing:
-            self._learn({flat[at] for at in missing})
-            for at in missing:
-                values[at] = self[flat[at]]
-        rest = iter(self._whole([t for t, c in zip(texts, chunks, strict=True) if c is None]))
-        made, done = [], 0
-        for own in chunks:
-            if own is None:
-                made.append(next(rest))
-            else:
-                made.append(b"".join(values[done : done + len(own)]))
-                done += len(own)
-        return made
+        fast = [self.fast is not None and not UNUSUAL.search(t) for t in texts]
+        rest = [t for t, ok in zip(texts, fast, strict=True) if not ok]
+        slow = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [
+            self.fast.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes()
+            if ok
+            else np.array(next(slow).ids, "<u4").tobytes()
+            for t, ok in zip(texts, fast, strict=True)
+        ]
 
 
 @lru_cache(maxsize=2)
-def load_words(path: str) -> WordIds:
-    return WordIds(path)
+def load_ids(path: str) -> TextIds:
+    return TextIds(path)
 
 
 class Pool:
@@ -219,7 +214,7 @@ def pack_documents(
     arrow = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = load_words(tokenizer)
+        ids_of = load_ids(tokenizer)
         base = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], "<u4").tobytes()
         keys: list[pa.Array] = []
@@ -249,7 +244,7 @@ def pack_documents(
         for batch in batches:
             for part in slices(batch, "_text"):
                 keys.append(part.column("_key"))
-                held += [ids + end for ids in words.encode(part.column("_text").to_pylist())]
+                held += [ids + end for ids in ids_of.encode(part.column("_text").to_pylist())]
                 if len(held) >= block:
                     yield packed()
         if held:
