@@ -18,7 +18,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.session import broadcast_if_small, materialize
@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FAN_IN = 8
 # Cells per window; cells are the unit from which segments are made up.
 CELLS_PER_WINDOW = 64
+# Neighbouring cells whose counts are summed in one sort.
+CELLS_PER_BLOCK = 4096
 
 _STEPS = "_kid bigint, _seg bigint, _child bigint, _hi bigint, _out bigint"
 
@@ -76,10 +78,12 @@ def later_admissions_split(
     # A short number stands for each key, so that only numbers travel through the steps below.
     ids = rows.groupBy(*keys).agg(F.min("_t").alias("_first"))
     ids = materialize(ids.withColumn("_kid", F.monotonically_increasing_id()))
-    id_count = ids.count()
+    # Keys may be wide, so their text is measured beside their number.
+    wide = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(8))
+    id_count, id_bytes = ids.agg(F.count(F.lit(1)), F.sum(wide)).first()
     renamed = ids.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_kid")
     same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    numbered = rows.join(broadcast_if_small(renamed, id_count), same_key).select(*rows.columns, "_kid")
+    numbered = rows.join(broadcast_if_small(renamed, id_count, id_bytes or 0), same_key).select(*rows.columns, "_kid")
     instants = materialize(first_per(numbered, ["_kid", "_t"], order))
 
     leaves = materialize(_assign_segments(instants, width, segment_rows))
@@ -113,14 +117,26 @@ def _assign_segments(instants: DataFrame, width: int, segment_rows: int) -> Data
     """Number segments of about `segment_rows` instants along each key's time.
 
     Running counts are taken over cells, of which a key has at most its time span divided by the
-    cell width, however many rows it has.
+    cell width, however many rows it has. Cells are counted within blocks of neighbouring cells first and
+    blocks then, so no task orders all cells of a key.
     """
     cell_width = max(1, width // CELLS_PER_WINDOW)
     with_cell = instants.select("_kid", "_t", F.expr(f"_t div {cell_width}").alias("_cell"))
     cells = with_cell.groupBy("_kid", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_kid").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = cells.withColumn("_earlier", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    numbered = earlier.select("_kid", "_cell", F.expr(f"_earlier div {segment_rows}").alias("_seg"))
+    cells = cells.withColumn("_block", F.expr(f"_cell div {CELLS_PER_BLOCK}"))
+
+    def before(*group: str, order: str) -> Window:
+        return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def running(over: Window) -> Column:
+        return F.coalesce(F.sum("_n").over(over), F.lit(0))
+
+    blocks = cells.groupBy("_kid", "_block").agg(F.sum("_n").alias("_n"))
+    starts = blocks.select("_kid", "_block", running(before("_kid", order="_block")).alias("_start"))
+    inside = cells.withColumn("_inside", running(before("_kid", "_block", order="_cell")))
+    numbered = inside.join(starts, ["_kid", "_block"]).select(
+        "_kid", "_cell", F.expr(f"(_start + _inside) div {segment_rows}").alias("_seg")
+    )
     return with_cell.join(numbered, ["_kid", "_cell"]).select("_kid", "_t", "_seg")
 
 

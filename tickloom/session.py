@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # A side is broadcast only after its rows were counted and found below this bound.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -54,9 +55,9 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a counted side when it is small; otherwise leave the join to the planner."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def broadcast_if_small(df: DataFrame, rows: int, size: int = 0) -> DataFrame:
+    """Broadcast a side that was counted (and measured in bytes, if its rows may be wide) and found small."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
