@@ -85,22 +85,25 @@ class CharTagger:
         p, h = self.p, self.hidden
         scores, (both, kept_f, kept_b) = self.scores(text)
         length, rows, tags = scores.shape
-        trans = p["trans"] + self.barred
-        alpha, beta = np.empty_like(scores), np.zeros_like(scores)
-        alpha[0] = scores[0] + self.barred[0]
-        for t in range(1, length):
-            alpha[t] = _logsum(alpha[t - 1][:, :, None] + trans, 1) + scores[t]
+        # Forward and backward sums with every position scaled to 1, so plain products stay in range.
+        top = scores.max(2, keepdims=True)
+        emit = np.exp(scores - top)
+        move = np.exp(p["trans"] + self.barred)
+        alpha, beta = np.empty_like(emit), np.ones_like(emit)
+        scale = np.empty((length, rows, 1), np.float32)
+        for t in range(length):
+            now = emit[t] * (np.exp(self.barred[0]) if t == 0 else alpha[t - 1] @ move)
+            scale[t] = now.sum(1, keepdims=True)
+            alpha[t] = now / scale[t]
         for t in range(length - 2, -1, -1):
-            beta[t] = _logsum(trans + (scores[t + 1] + beta[t + 1])[:, None, :], 2)
-        total = _logsum(alpha[-1], 1)
+            beta[t] = (emit[t + 1] * beta[t + 1] / scale[t + 1]) @ move.T
         at = np.arange(rows)
-        loss = total - scores[np.arange(length)[:, None], at, gold.T].sum(0) - trans[gold[:, :-1], gold[:, 1:]].sum(1)
-        d_scores = np.exp(alpha + beta - total[:, None])
+        gold_scores = scores[np.arange(length)[:, None], at, gold.T].sum(0) + p["trans"][gold[:, :-1], gold[:, 1:]].sum(1)
+        loss = (np.log(scale) + top).sum((0, 2)) - gold_scores
+        d_scores = alpha * beta
         d_scores[np.arange(length)[:, None], at, gold.T] -= 1
-        d_trans = np.zeros((tags, tags), np.float32)
-        for t in range(1, length):
-            pair = alpha[t - 1][:, :, None] + trans + (scores[t] + beta[t])[:, None, :] - total[:, None, None]
-            d_trans += np.exp(pair).sum(0)
+        after = (emit * beta / scale)[1:].reshape(-1, tags)
+        d_trans = move * (alpha[:-1].reshape(-1, tags).T @ after)
         np.subtract.at(d_trans, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
         d_scores /= rows
         grad = {k: np.zeros_like(v) for k, v in p.items()}
@@ -110,7 +113,7 @@ class CharTagger:
         d_both = d_scores @ p["out"].T
         for way, kept, d_states in (("f", kept_f, d_both[:, :, :h]), ("b", kept_b, d_both[:, :, h:])):
             d_state, d_cell = np.zeros((rows, h), np.float32), np.zeros((rows, h), np.float32)
-            d_table = np.zeros((CLASSES, 4 * h), np.float32)
+            d_all = np.empty((length, rows, 4 * h), np.float32)
             for t in range(length - 1, -1, -1) if way == "f" else range(length):
                 state, before, gate, new, tanh = kept[t]
                 i, f, o = gate[:, :h], gate[:, h : 2 * h], gate[:, 2 * h :]
@@ -128,7 +131,12 @@ class CharTagger:
                 grad[f"h{way}"] += state.T @ d_gates
                 d_state = d_gates @ p[f"h{way}"].T
                 d_cell = d_cell * f
-                np.add.at(d_table, text[:, t], d_gates)
+                d_all[t] = d_gates
+            # Rows of one character class are added up in one go.
+            order = np.argsort(text.T, axis=None, kind="stable")
+            found, first = np.unique(text.T.ravel()[order], return_index=True)
+            d_table = np.zeros((CLASSES, 4 * h), np.float32)
+            d_table[found] = np.add.reduceat(d_all.reshape(-1, 4 * h)[order], first)
             grad[f"x{way}"] = p["embed"].T @ d_table
             grad[f"c{way}"] = d_table.sum(0)
             grad["embed"] += d_table @ p[f"x{way}"].T
@@ -153,7 +161,3 @@ class CharTagger:
                 self.p[k] = (self.p[k] - pace * now).astype(np.float32)
         return float(np.mean(losses[-20:]))
 
-
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
