@@ -218,7 +218,9 @@ def nearest(
         "dim", F.explode(F.sequence(F.lit(0), count[F.col("dim")] - 1)).alias("shard"), F.lit(1).alias("asks"),
         F.lit(None).cast("array<long>").alias("members"), "vector", "id", F.xxhash64("vector").alias("query"),
     )
-    dealt = index.unionByName(asked).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "asks")
+    # By ranges, shards spread evenly over as many tasks; by hash, several would meet in one.
+    dealt = index.unionByName(asked).repartitionByRange(sum(shards.values()), "dim", "shard")
+    dealt = dealt.sortWithinPartitions("dim", "shard", "asks")
     found = dealt.mapInArrow(_search_shards(k, beam), "query_id long, query long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
