@@ -288,7 +288,9 @@ def link_documents(
     rooted = groups.join(roots, "fingerprint", "left").select(
         "fingerprint", "_first", F.coalesce("root", "fingerprint").alias("_root")
     )
-    firsts = rooted.groupBy("_root").agg(F.min("_first").alias("component"))
+    # Both sides of the join are stored, so that a component of very many fingerprints can be split.
+    rooted = materialize(rooted)
+    firsts = materialize(rooted.groupBy("_root").agg(F.min("_first").alias("component")))
     named = rooted.join(firsts, "_root").select("fingerprint", "component")
     return own.join(named, "fingerprint").select(F.col(key), "fingerprint", "component")
 
