@@ -99,6 +99,25 @@ def test_perplexity_against_dictionaries(spark, docs, stretch):
         assert found[i] == pytest.approx(middle, rel=1e-4), text
 
 
+def test_many_sequences_keep_their_own_values(spark, docs):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    texts = ["".join(rng.choice(letters, 6000)) for _ in range(30)]
+    rows = [("en", t) for t in [*texts, *texts[:15]]]
+    frame = docs([(i, t, lang) for i, (lang, t) in enumerate(rows)])
+    model = kn.train_model(frame)
+    brute = brute_model(rows, kn.ORDER)
+    raw = np.frombuffer(texts[0].encode(), np.uint8)
+    found = model.log_probs(raw, np.array([0, len(raw)]), np.array([kn_language(spark, "en")]), model.unfolded())
+    padded = b"\0" * (kn.ORDER - 1) + texts[0].encode()
+    want = [math.log(brute["en", padded[i : i + kn.ORDER]]) for i in range(len(raw))]
+    assert np.allclose(found, want, rtol=1e-4)
+
+
+def kn_language(spark, tag):
+    return spark.createDataFrame([(tag,)], "lang string").select(kn.language_id("lang")).first()[0]
+
+
 def test_unseen_sequences_fall_back(spark, docs):
     model = kn.train_model(docs([(i, prose(i, 60)) for i in range(10)]))
     other = kn.score_texts(docs([(1, prose(99, 60)), (2, "QWXZ @@ 8459 " * 20)]), model, keep=["doc_id"])

@@ -4,8 +4,8 @@ Spark counts every byte sequence of length ORDER in all texts, per language. Mod
 on those counts with windows and joins: each length has three discounts from its counts of counts, and shorter
 sequences count the distinct ones they end. A longest sequence that occurs once in all texts is scored as unseen, or
 every text would vouch for its own oddities. What scoring needs is one number per sequence and one per context. They are
-kept in sorted arrays by a hash of SLOT_BITS bits, so the model has at most 2**SLOT_BITS entries per array whatever
-the corpus; sequences that share a slot share the mean of their values, weighted by count.
+kept in arrays sorted by language and sequence, compared in full on look-up, and grow with the corpus. Longest sequences
+that occur once are left out: falling back from them gives their value.
 
 A text's perplexity is the median over stretches of it, and must lie in its language's band. On the log scale the band
 begins BELOW times the distance of the quartiles under the lower one and ends ABOVE times it over the upper one. Null or
@@ -29,7 +29,6 @@ from tickloom.llm.text_counts import duplicate_lines, repeated_words, symbol_cou
 from tickloom.session import materialize
 
 ORDER = 4
-SLOT_BITS = 21
 # Distinct sequences a task holds before it hands them on; counts of one sequence are added up by Spark.
 HELD = 400_000
 # Bytes of a stretch; a text's perplexity is that of its middle stretch.
@@ -39,7 +38,6 @@ STRETCH = 128
 BELOW, ABOVE = 8.0, 4.0
 COUNT_DDL = "lang int, gram long, n long"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_LANGUAGE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def language_id(lang: str = "lang") -> Column:
@@ -62,15 +60,8 @@ def grams(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return whole
 
 
-def slots(lang: np.ndarray, gram: np.ndarray, size: int) -> np.ndarray:
-    """Slot of a sequence of `size` bytes in a language."""
-    key = lang.astype(np.uint64)
-    key *= _LANGUAGE
-    key += gram.astype(np.uint64)
-    key += np.uint64(size << 50)
-    key *= _SPREAD
-    key >>= np.uint64(64 - SLOT_BITS)
-    return key.astype(np.int32)
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys * _SPREAD >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -111,50 +102,70 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     return source.mapInArrow(run, COUNT_DDL).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
 
 
+def _keys(language: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Place of the language and the sequence as one number; no two pairs share one."""
+    return language.astype(np.uint64) << np.uint64(32) | gram.astype(np.uint64)
+
+
 @dataclass(frozen=True)
 class SequenceModel:
-    """Sorted slots and their values: log probability by sequence length, log back-off weight by context length."""
+    """Sorted languages; sorted keys and their values: log probability by sequence length, log back-off weight by context length."""
 
+    languages: np.ndarray
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
     contexts: dict[int, tuple[np.ndarray, np.ndarray]]
 
     def unfolded(self) -> np.ndarray:
-        """Values of the longest sequences by slot, for the many look-ups of one task; NaN where there is none."""
-        table = np.full(1 << SLOT_BITS, np.nan, np.float32)
-        keys, values = self.grams[ORDER]
-        table[keys] = values
+        """Places of the longest sequences by a hash of their keys, for the many look-ups of one task."""
+        keys, _ = self.grams[ORDER]
+        bits = len(keys).bit_length() + 1
+        table = np.zeros(1 << bits, np.int32 if len(keys) < 1 << 31 else np.int64)
+        table[_slots(keys, bits)] = np.arange(len(keys))
         return table
 
     def log_probs(self, raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray, top: np.ndarray) -> np.ndarray:
         """Log probability of each byte after those before it; `top` is `unfolded()`."""
         whole = grams(raw, offsets)
-        language = np.repeat(lang.astype(np.int16), np.diff(offsets))
-        value = top[slots(language, whole, ORDER)]
-        missing = np.flatnonzero(np.isnan(value))
+        place = np.searchsorted(self.languages, lang)
+        if len(self.languages):
+            known = self.languages[np.minimum(place, len(self.languages) - 1)] == lang
+            place = np.where(known, place, len(self.languages))
+        language = np.repeat(place.astype(np.uint32), np.diff(offsets))
+        value, seen = _find(self.grams[ORDER], _keys(language, whole), top)
+        missing = np.flatnonzero(~seen)
         weight = np.zeros(len(missing))
         for size in range(ORDER - 1, -1, -1):
             if not len(missing):
                 break
             # Fall back from size + 1 bytes to size: the weight of the context, then the shorter sequence.
             context = whole[missing] >> np.uint32(8) & np.uint32((1 << 8 * size) - 1)
-            back, known = _find(self.contexts[size], slots(language[missing], context, size))
+            back, known = _find(self.contexts[size], _keys(language[missing], context))
             weight += np.where(known, back, 0.0)
             if size == 0:
                 value[missing] = weight - np.log(256)
                 break
             shorter = whole[missing] & np.uint32((1 << 8 * size) - 1)
-            found, seen = _find(self.grams[size], slots(language[missing], shorter, size))
+            found, seen = _find(self.grams[size], _keys(language[missing], shorter))
             value[missing[seen]] = found[seen] + weight[seen]
             missing, weight = missing[~seen], weight[~seen]
         return value
 
 
-def _find(store: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _find(
+    store: tuple[np.ndarray, np.ndarray], wanted: np.ndarray, table: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the wanted keys and which are there; a table of places by hash saves most searches."""
     keys, values = store
     if not len(keys):
-        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return values[at].astype(np.float64), keys[at] == wanted
+        return np.zeros(len(wanted), np.float32), np.zeros(len(wanted), bool)
+    if table is None:
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    else:
+        at = table[_slots(wanted, len(table).bit_length() - 1)]
+        # Keys that share a slot are searched for.
+        other = np.flatnonzero(keys[at] != wanted)
+        at[other] = np.minimum(np.searchsorted(keys, wanted[other]), len(keys) - 1)
+    return values[at], keys[at] == wanted
 
 
 def _discounts(types: DataFrame) -> list[float]:
@@ -201,27 +212,22 @@ def train_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> Sequ
                 .withColumn("p", F.when(alone, 0.0).otherwise(F.col("own")) + F.col("back") * F.col("lower"))
             )
         made[size] = materialize(rows.select("lang", "gram", "context", "c", "back", "p"))
-    stored = {
-        size: (_stored(rows, "gram", size, "p"), _stored(rows, "context", size - 1, "back"))
-        for size, rows in made.items()
-    }
-    return SequenceModel({k: v[0] for k, v in stored.items()}, {k - 1: v[1] for k, v in stored.items()})
-
+    languages = np.sort(types[1].select("lang").distinct().toArrow().column("lang").to_numpy())
+    often = {size: rows.where(F.col("c") > 1) if size == ORDER else rows for size, rows in made.items()}
+    contexts = {size: rows.groupBy("lang", "context").agg(F.max("back").alias("back")) for size, rows in made.items()}
+    return SequenceModel(
+        languages,
+        {size: _stored(rows, languages, "gram", "p") for size, rows in often.items()},
+        {size - 1: _stored(rows, languages, "context", "back") for size, rows in contexts.items()},
+    )
 
-def _stored(rows: DataFrame, key: str, size: int, value: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted slots and log values; at most 2**SLOT_BITS of them reach the driver."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = slots(batch.column(0).to_numpy(), batch.column(1).to_numpy(), size)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), batch.column(2), batch.column(3)], ["slot", "v", "c"])
-
-    slotted = rows.select("lang", key, F.log(value).alias("v"), "c").mapInArrow(run, "slot int, v double, c long")
-    mean = (F.sum(F.col("v") * F.col("c")) / F.sum("c")).cast("float")
-    table = slotted.groupBy("slot").agg(mean.alias("v")).toArrow()
-    slot, kept = table.column("slot").to_numpy(), table.column("v").to_numpy()
-    order = np.argsort(slot)
-    return slot[order], kept[order]
+def _stored(rows: DataFrame, languages: np.ndarray, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and log values of all rows; they are gathered on the driver."""
+    table = rows.select("lang", key, F.log(value).cast("float").alias("v")).toArrow()
+    keys = _keys(np.searchsorted(languages, table.column("lang").to_numpy()), table.column(key).to_numpy())
+    order = np.argsort(keys)
+    return keys[order], table.column("v").to_numpy()[order]
 
 
 SCORE_FIELDS = [
