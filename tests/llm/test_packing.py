@@ -31,6 +31,16 @@ def test_ids_are_those_of_the_library(library):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_in_a_text_are_those_of_the_plain_call(spark):
+    plain = Tokenizer.from_file(BYTE_TOKENIZER)
+    texts = {1: "a<|endoftext|> x", 2: "<|endoftext|>", 3: f"{prose(2)}<|endoftext|>{prose(3)}", 4: "<|endof", 5: prose(4), 6: "é日<|endoftext|>"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    pieces = tp.pack_documents(frame, BYTE_TOKENIZER).collect()
+    for doc, text in texts.items():
+        own = b"".join(r.ids for r in sorted((r for r in pieces if r.doc_id == doc), key=lambda r: r.start))
+        assert np.frombuffer(own, "<u4").tolist() == [*plain.encode(text, add_special_tokens=False).ids, tp.END_ID]
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_windows_are_full_and_hold_every_id_once(seed):
     rng = random.Random(seed)

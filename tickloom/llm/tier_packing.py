@@ -9,7 +9,8 @@ pieces are dealt to windows of the powers of two that add up to it, so none is p
 Windows of a block are dealt to step groups so that each group has about as many of every tier: every `step` windows
 of a tier, in order of how many pieces they have, one goes to each group and the direction turns.
 
-Null or empty texts consist of the end id. Null keys and repeated rows are packed like others. Sequence ids are the task's
+Ids are those of the library's default call without special tokens put in; the name of an added token inside a text is
+that token. Null or empty texts consist of the end id. Null keys and repeated rows are packed like others. Sequence ids are the task's
 number times 2**40 plus a counter, so a task that runs again gives the same ones.
 """
 
@@ -50,18 +51,20 @@ def _byte_letters() -> dict[str, int]:
 class TextIds:
     """Ids of whole texts as little-endian 32-bit numbers, exactly as the tokenizers library gives them.
 
-    If the file is a plain byte-level vocabulary whose merges are ranked by their ids, common texts go through a faster
+    Names of added tokens inside a text are text, or with `added` the tokens themselves, as is the library's default. If the file is a plain byte-level vocabulary whose merges are ranked by their ids, common texts go through a faster
     implementation of the same merges.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        # Names of special tokens inside a text are text.
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not added
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
+        names = [t["content"] for t in made.get("added_tokens", []) if t["content"]] if added else []
+        # Texts that hold such a token are left to the library.
+        self.added = re.compile("|".join(map(re.escape, names))) if names else None
         ranks = self._ranks(made)
         self.fast = None
         if ranks:
@@ -90,7 +93,9 @@ class TextIds:
         return {bytes(letters[c] for c in name): rank for name, rank in names.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        fast = [self.fast is not None and not UNUSUAL.search(t) for t in texts]
+        fast = [
+            self.fast is not None and not UNUSUAL.search(t) and not (self.added and self.added.search(t)) for t in texts
+        ]
         rest = [t for t, ok in zip(texts, fast, strict=True) if not ok]
         slow = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
         return [
@@ -102,8 +107,8 @@ class TextIds:
 
 
 @lru_cache(maxsize=2)
-def load_ids(path: str) -> TextIds:
-    return TextIds(path)
+def load_ids(path: str, added: bool = False) -> TextIds:
+    return TextIds(path, added)
 
 
 class Pool:
@@ -214,7 +219,7 @@ def pack_documents(
     arrow = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = load_ids(tokenizer)
+        ids_of = load_ids(tokenizer, added=True)
         base = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], "<u4").tobytes()
         keys: list[pa.Array] = []
