@@ -101,6 +101,27 @@ def test_urls_against_dictionaries(spark):
     assert any(r.rule is None and r.verdict == "block" for r in found.values())
 
 
+def test_whole_paths_against_dictionaries(spark, tmp_path, monkeypatch):
+    urls = [f"http://a.net/{lang}/x/y/{kind}/z/{i % 3}/p{'abcdefghij'[i % 10]}" for i in range(30) for lang, kind in (("es", "c"), ("de", "d"))]
+    urls += [f"http://b.org/k/l/m/{'abcdefghijklmnopqrstuvwxyz'[i % 26]}q/{'n' if i % 2 else 'o/n-1'}" for i in range(60)]
+    urls += ["http://b.org/k/l", "http://b.org/k/l/m", "http://c.org/1/2/3/4/5/6", "http://c.org/1/2/3/x.html"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.page_id: r for r in op7_url_templates(spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(ut, "LEVELS", 9)
+    for i, want in enumerate(brute(urls)):
+        r = found[i]
+        assert (r.host, r.path, r.rule, r.verdict, r.template, r.purity) == want, urls[i]
+        assert ut.DEEPER not in r.template
+
+
+def test_long_paths_take_few_rounds(spark):
+    urls = ["a://h.org/" + "s/" * 3000 + last for last in ("x-1/y", "z.html")]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = ut.judge_urls(frame, levels=None).collect()
+    assert all(r.template.startswith("/s" * 3000 + "/") for r in found)
+
+
 def test_null_ids_repeats_and_empty_tables(spark):
     frame = spark.createDataFrame([(None, "a://x.com/"), (None, "a://x.com/"), (1, None)], "page_id long, url string")
     assert sorted(r.verdict for r in ut.judge_urls(frame).collect()) == ["allow"] * 3

@@ -96,7 +96,7 @@ def op6_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_templates.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return url_templates.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), levels=None)
 
 
 def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

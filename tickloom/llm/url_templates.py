@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tickloom.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Levels of the tree; segments below them are one wildcard.
+# Levels of the tree in SQL and unless told otherwise, segments below them being one wildcard; the query has no such bound.
 LEVELS = 3
 DEEPER = "**"
 ABSENT = ""
@@ -75,12 +75,13 @@ def rule_of(rules: list[UrlRule], host: Column, path: Column) -> tuple[Column, C
     return text, verdict
 
 
-def raw_segments(path: Column) -> list[Column]:
-    """The first LEVELS segments with digits as wildcards; absent ones are empty, and deeper ones are DEEPER."""
+def raw_segments(path: Column, levels: int | None) -> Column:
+    """The segments with digits as wildcards; those below `levels`, if given, are one DEEPER."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.regexp_replace(s, "[0-9]+", "*"))
-    own = [F.coalesce(F.get(parts, F.lit(i)), F.lit(ABSENT)) for i in range(LEVELS)]
-    return [*own, F.when(F.size(parts) > LEVELS, F.lit(DEEPER)).otherwise(ABSENT)]
+    if levels is None:
+        return parts
+    return F.when(F.size(parts) > levels, F.concat(F.slice(parts, 1, levels), F.array(F.lit(DEEPER)))).otherwise(parts)
 
 
 def _shape(segment: Column) -> Column:
@@ -88,18 +89,48 @@ def _shape(segment: Column) -> Column:
     return F.regexp_replace(segment, r"\p{L}+", "a")
 
 
-def _segment(level: int) -> str:
-    return f"_s{level}"
+def _below(rest: str, count: Column | int) -> Column:
+    return F.slice(rest, F.lit(1) + count, F.size(rest))
+
+
+def _descended(tree: DataFrame) -> DataFrame:
+    """The tree with segments that all rows of a template share moved into it, and `_open`: is there a branch below?"""
+    parent = ["_host", "_t"]
+    groups = tree.groupBy(*parent).agg(
+        F.min("_rest").alias("_low"), F.max("_rest").alias("_high"), F.min("_left").alias("_least"),
+        F.max("_left").alias("_most"),
+    )
+    # What the first and the last in order begin with, all begin with.
+    ends = [F.slice(c, F.lit(1), F.col("_least")) for c in ("_low", "_high")]
+    differ = F.array_position(F.zip_with(*ends, lambda a, b: a == b), False).cast("int")
+    shared = F.when(differ > 0, differ - 1).otherwise(F.col("_least"))
+    groups = groups.withColumn("_shared", shared).select(*parent, "_shared", (F.col("_most") > F.col("_shared")).alias("_open"))
+    moved = F.array_join(F.slice("_rest", F.lit(1), F.col("_shared")), "/")
+    return tree.join(groups, parent).select(
+        "_host",
+        "_raw",
+        "_n",
+        "_bad",
+        "_known",
+        F.when(F.col("_shared") > 0, F.concat("_t", F.lit("/"), moved)).otherwise(F.col("_t")).alias("_t"),
+        _below("_rest", F.col("_shared")).alias("_rest"),
+        (F.col("_left") - F.col("_shared")).alias("_left"),
+        "_open",
+    )
 
 
-def _merged(tree: DataFrame, level: int) -> DataFrame:
-    """The tree with variable and similar branches of a level turned into wildcards.
+def _merged(tree: DataFrame) -> DataFrame:
+    """The tree with variable and similar branches of the next level turned into wildcards.
 
-    `tree` has a row per host and raw template with its pages `_n`, and `_t`, the template above this level.
+    `tree` has a row per host and raw template with its pages `_n`, `_t`, the template above this level, `_rest`, the
+    segments from this level on, and `_left`, how many of those are still judged.
     """
-    parent, own = ["_host", "_t"], _segment(level)
-    after = _shape(F.col(_segment(level + 1))).alias("_after")
-    cells = tree.groupBy(*parent, F.col(own).alias("_own"), after).agg(F.sum("_n").alias("_n"))
+    parent = ["_host", "_t"]
+    more = F.col("_left") > 0
+    tree = tree.withColumn("_own", F.when(more, F.get("_rest", F.lit(0))).otherwise(ABSENT))
+    after = F.when(more, F.coalesce(F.get("_rest", F.lit(1)), F.lit(ABSENT))).otherwise(ABSENT)
+    tree = tree.withColumn("_after", _shape(after))
+    cells = tree.groupBy(*parent, "_own", "_after").agg(F.sum("_n").alias("_n"))
     shapes = cells.groupBy(*parent, "_after").agg(F.sum("_n").alias("_shape_n"))
     branches = cells.groupBy(*parent, "_own").agg(F.sum("_n").alias("_own_n"))
     totals = branches.groupBy(*parent).agg(F.sum("_own_n").alias("_all_n"), F.count(F.lit(1)).alias("_siblings"))
@@ -115,42 +146,48 @@ def _merged(tree: DataFrame, level: int) -> DataFrame:
     rare = (F.col("_siblings") >= MANY) & (F.col("_own_n") < RARE * F.col("_all_n"))
     alike = (F.col("_siblings") > 1) & (F.col("_distance") <= SIMILAR + 1 / F.sqrt("_own_n"))
     wild = (F.col("_own") != ABSENT) & (rare | alike)
-    named = compared.select(*parent, F.col("_own").alias(own), F.when(wild, "*").otherwise(F.col("_own")).alias("_new"))
+    named = compared.select(*parent, "_own", F.when(wild, "*").otherwise(F.col("_own")).alias("_new"))
     step = F.when(F.col("_new") == ABSENT, F.col("_t")).otherwise(F.concat("_t", F.lit("/"), "_new"))
-    return tree.join(named, [*parent, own]).withColumn("_t", step).drop("_new")
+    rest = F.when(F.col("_left") > 0, _below("_rest", 1)).otherwise(F.col("_rest"))
+    joined = tree.join(named, [*parent, "_own"]).withColumn("_t", step).withColumn("_rest", rest)
+    return joined.withColumn("_left", F.greatest(F.col("_left") - 1, F.lit(0))).drop("_own", "_after", "_new", "_open")
 
 
-def template_tree(judged: DataFrame) -> DataFrame:
+def template_tree(judged: DataFrame, levels: int | None = None) -> DataFrame:
     """Host and raw template to the merged `template` and its `purity`.
 
-    `judged` has `_host`, the raw segments and `_bad` (1 blocked, 0 allowed, null without a rule) per page.
+    `judged` has `_host`, the raw segments `_raw` and `_bad` (1 blocked, 0 allowed, null without a rule) per page. There are
+    as many rounds as branches above one another, not as segments.
     """
-    raw = [_segment(i) for i in range(LEVELS + 1)]
-    tree = judged.groupBy("_host", *raw).agg(
+    tree = judged.groupBy("_host", "_raw").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_bad").alias("_bad"), F.count("_bad").alias("_known")
     )
-    tree = materialize(tree.withColumn("_t", F.lit("")))
+    left = F.size("_raw") if levels is None else F.least(F.size("_raw"), F.lit(levels))
+    tree = materialize(tree.select("*", F.lit("").alias("_t"), F.col("_raw").alias("_rest"), left.alias("_left")))
     bad, known = tree.agg(F.sum("_bad"), F.sum("_known")).first()
     overall = (bad or 0) / known if known else 0.0
-    for level in range(LEVELS):
-        tree = materialize(_merged(tree, level))
-    deeper = _segment(LEVELS)
-    tree = tree.withColumn("_t", F.when(F.col(deeper) == ABSENT, F.col("_t")).otherwise(F.concat("_t", F.lit("/"), deeper)))
+    rows = materialize(_descended(tree))
+    done = rows.where(~F.col("_open")).drop("_open")
+    while not (live := rows.where("_open")).isEmpty():
+        rows = materialize(_descended(_merged(live)))
+        done = done.unionByName(rows.where(~F.col("_open")).drop("_open"))
+    deeper = F.concat("_t", F.lit("/"), F.array_join("_rest", "/"))
+    tree = done.withColumn("_t", F.when(F.size("_rest") > 0, deeper).otherwise(F.col("_t")))
     purity = (F.coalesce(F.sum("_bad"), F.lit(0)) + SMOOTHING * overall) / (F.sum("_known") + SMOOTHING)
     merged = tree.groupBy("_host", "_t").agg(purity.alias("_purity"))
-    return tree.select("_host", *raw, "_t").join(merged, ["_host", "_t"])
+    return tree.select("_host", "_raw", "_t").join(merged, ["_host", "_t"])
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[UrlRule] | None = None, url: str = "url", keep: list[str] | None = None
+    pages: DataFrame, rules: list[UrlRule] | None = None, url: str = "url", keep: list[str] | None = None,
+    levels: int | None = LEVELS,
 ) -> DataFrame:
-    """Kept columns, `host`, `path`, `rule`, `verdict`, `template` and `purity`."""
+    """Kept columns, `host`, `path`, `rule`, `verdict`, `template` and `purity`; without `levels`, from whole paths."""
     rules = RULES if rules is None else rules
     names = list(keep or ["page_id"])
     clash = {"host", "path", "rule", "verdict", "template", "purity"} & set(names)
     if clash:
         raise ValueError(f"columns would clash: {sorted(clash)}")
-    raw = [_segment(i) for i in range(LEVELS + 1)]
     host, path = split_url(F.col(url).cast("string"))
     split = pages.select(*[F.col(c) for c in names], host.alias("_host"), path.alias("_path"))
     rule, verdict = rule_of(rules, F.col("_host"), F.col("_path"))
@@ -158,11 +195,11 @@ def judge_urls(
         "*",
         rule.alias("_rule"),
         verdict.alias("_verdict"),
-        *[s.alias(n) for s, n in zip(raw_segments(F.col("_path")), raw, strict=True)],
+        raw_segments(F.col("_path"), levels).alias("_raw"),
     ).withColumn("_bad", F.when(F.col("_verdict").isNotNull(), (F.col("_verdict") == "block").cast("int")))
-    tree = template_tree(judged.select("_host", *raw, "_bad"))
+    tree = template_tree(judged.select("_host", "_raw", "_bad"), levels)
     own = F.when(F.col("_purity") >= BLOCK_FROM, "block").otherwise("allow")
-    return judged.join(tree, ["_host", *raw]).select(
+    return judged.join(tree, ["_host", "_raw"]).select(
         *names,
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
