@@ -114,6 +114,21 @@ def test_many_sequences_keep_their_own_values(spark, docs):
     assert np.allclose(found, want, rtol=1e-4)
 
 
+def test_languages_are_whole_tags(spark, docs):
+    tagged = {"en-US": 0, "pt-BR": 100, "zh-Hans": 200, "Norsk": 300}
+    rows = [(tag, prose(seed + i, 70 + seed // 10) if tag != "zh-Hans" else "語言文字日本" * (60 + i)) for tag, seed in tagged.items() for i in range(8)]
+    frame = docs([(i, t, lang) for i, (lang, t) in enumerate(rows)])
+    brute = brute_model(rows, kn.ORDER)
+    found = {r.doc_id: r for r in kn.judge_quality(frame, keep=["doc_id", "lang"]).collect()}
+    assert len({(r.lower_band, r.upper_band) for r in found.values()}) == len(tagged)
+    model = kn.train_model(frame)
+    for tag, text in (rows[0], rows[9], rows[17], rows[25]):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        made = model.log_probs(raw, np.array([0, len(raw)]), np.array([kn_language(spark, tag)]), model.unfolded())
+        padded = b"\0" * (kn.ORDER - 1) + text.encode()
+        assert np.allclose(made, [math.log(brute[tag, padded[i : i + kn.ORDER]]) for i in range(len(raw))], rtol=1e-4)
+
+
 def kn_language(spark, tag):
     return spark.createDataFrame([(tag,)], "lang string").select(kn.language_id("lang")).first()[0]
 

@@ -9,8 +9,8 @@ that occur once are left out: falling back from them gives their value.
 
 A text's perplexity is the median over stretches of it, and must lie in its language's band. On the log scale the band
 begins BELOW times the distance of the quartiles under the lower one and ends ABOVE times it over the upper one. Null or
-empty texts have no words and perplexity 1; they fail the plain rules. A language tag that is not two or three letters
-counts as one language of its own.
+empty texts have no words and perplexity 1; they fail the plain rules. Languages are told apart by
+the whole tag.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tickloom.llm.common import as_text, byte_texts, map_text, slices, text_buffers
 from tickloom.llm.text_counts import duplicate_lines, repeated_words, symbol_count, word_chars, word_ids
-from tickloom.session import materialize
+from tickloom.session import broadcast_if_small, materialize
 
 ORDER = 4
 # Distinct sequences a task holds before it hands them on; counts of one sequence are added up by Spark.
@@ -36,16 +36,13 @@ STRETCH = 128
 # How far a band reaches beyond the quartiles, in their distance. Copies of a text make it look likelier, so the band
 # reaches farther down.
 BELOW, ABOVE = 8.0, 4.0
-COUNT_DDL = "lang int, gram long, n long"
+COUNT_DDL = "lang long, gram long, n long"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def language_id(lang: str = "lang") -> Column:
-    """A number for a tag of two or three letters, else 0: at most 27**3 languages."""
-    tag = F.lower(F.coalesce(F.col(lang).cast("string"), F.lit("")))
-    letter = [F.ascii(F.substring(tag, i, 1)) - 96 for i in (1, 2)]
-    third = F.when(F.length(tag) == 3, F.ascii(F.substring(tag, 3, 1)) - 96).otherwise(0)
-    return F.when(tag.rlike("^[a-z]{2,3}$"), letter[0] * 729 + letter[1] * 27 + third).otherwise(0).cast("int")
+    """A 64-bit number for the whole tag, whatever its case; null counts as empty."""
+    return F.xxhash64(F.lower(F.coalesce(F.col(lang).cast("string"), F.lit(""))))
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -69,6 +66,8 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
+        # Languages by their order of appearance in this task.
+        places: dict[int, int] = {}
 
         def added_up() -> tuple[np.ndarray, np.ndarray]:
             distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -76,13 +75,15 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
 
         def give() -> pa.RecordBatch:
             distinct, n = keys[0], counts[0]
-            columns = [(distinct >> np.uint64(32)).astype(np.int32), (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64), n]
+            columns = [np.array([*places], np.int64)[distinct >> np.uint64(32)], (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64), n]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["lang", "gram", "n"])
 
         for batch in batches:
             for part in slices(batch, "_text"):
                 raw, offsets = text_buffers(part.column("_text"))
-                language = np.repeat(part.column("lang").to_numpy(), np.diff(offsets)).astype(np.uint64)
+                tags, at = np.unique(part.column("lang").to_numpy(), return_inverse=True)
+                own = np.array([places.setdefault(tag, len(places)) for tag in tags.tolist()], np.uint64)
+                language = np.repeat(own[at], np.diff(offsets))
                 distinct, n = np.unique(language << np.uint64(32) | grams(raw, offsets), return_counts=True)
                 keys.append(distinct)
                 counts.append(n)
@@ -312,21 +313,18 @@ def judge_quality(
     docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None,
     below: float = BELOW, above: float = ABOVE,
 ) -> DataFrame:
-    """Kept columns, the plain counts, `perplexity`, its band, `base_failed` and `kept`.
-
-    The bands have a row for each of at most 27**3 languages and are read on the driver.
-    """
+    """Kept columns, the plain counts, `perplexity`, its band, `base_failed` and `kept`."""
     names = list(keep or ["doc_id"])
     model = train_model(docs, text, lang)
-    bands = {r.lang_id: (r.lower, r.upper) for r in perplexity_bands(docs, model, below, above, text, lang).collect()}
+    bands = perplexity_bands(docs, model, below, above, text, lang)
+    bands = materialize(bands.select("lang_id", F.array("lower", "upper").alias("_band")))
+    bands = broadcast_if_small(bands, bands.count())
     scored = score_texts(docs, model, text, lang, names)
     columns = [F.col(f.name) for f in SCORE_FIELDS[:-1]]
-    band = F.create_map(*[F.lit(v) for k, (a, b) in bands.items() for v in (k, [a, b])]) if bands else None
-    own = band[F.col("lang_id")] if bands else F.lit(None).cast("array<double>")
     n_words, repeats, value = F.col("n_words"), F.col("n_repeat_words"), F.col("log_perplexity")
     failed = (n_words < 50) | (100 * repeats > 50 * n_words)
     inside = F.coalesce(value.between(F.col("_band")[0], F.col("_band")[1]), F.lit(False))
-    return scored.withColumn("_band", own).select(
+    return scored.join(bands, "lang_id", "left").select(
         *names,
         *columns,
         failed.alias("base_failed"),
