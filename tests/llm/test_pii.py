@@ -79,6 +79,19 @@ def test_windows_without_triggers_change_nothing(tagger):
     assert [text[a:b] for _, a, b, _ in spans] == ["(555) 123-4567"]
 
 
+def test_bare_at_and_dot_are_read(tagger):
+    rng = random.Random(9)
+    found = 0
+    for i in range(20):
+        form = f"{rng.choice(['jane', 'marko', 'lisa.berg'])} at {rng.choice(['example', 'posthaus', 'mira'])} dot {rng.choice(['com', 'org'])}"
+        left, right = prose(300 + i, 60).lower().replace(".", ""), prose(400 + i, 60).lower().replace(".", "")
+        text = f"{left} {form} {right}"
+        spans = pii.spans_of(tagger, [text])[0]
+        found += any(k == "email" and text[a:b].startswith(form) for k, a, b, _ in spans)
+    assert found >= 16
+    assert all(not s for s in pii.spans_of(tagger, [f"{prose(i, 30)} at {prose(i + 1, 30)}" for i in range(500, 520)]))
+
+
 def test_reconcile_joins_pieces_and_prefers_the_middle():
     # Two windows cut one span; a third saw another reading near its edge.
     assert pii.reconcile([(0, 10, 48, 0), (0, 40, 60, 12)]) == [(0, 10, 60)]

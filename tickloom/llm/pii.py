@@ -2,9 +2,9 @@
 
 The tagger is trained on the driver from labelled spans: spans that the rules find in a bounded sample of
 text pieces, and written variants (spelt-out addresses, defanged numbers, other separators) put into them, next
-to numbers that are no personal data. It reads fixed overlapping windows of the whole text. A span counts only
-if it holds one of TRIGGERS, so windows without any of them are skipped and cannot change the result. Spans of
-overlapping windows are reconciled over the whole text: pieces cut by a window's edge are joined, then the span
+to numbers that are no personal data. It reads fixed overlapping windows of the whole text. Every form that a span
+must have holds a digit, '@', an opening bracket or the word "at", so windows are skipped that hold none of these nor the
+word "dot". Spans of overlapping windows are reconciled over the whole text: pieces cut by a window's edge are joined, then the span
 farthest from its window's edges wins. A tagged span must pass its kind's check and touch no span of the rules.
 
 Null or empty texts have no spans; equal texts have equal spans.
@@ -24,7 +24,6 @@ from tickloom.llm.char_tagger import CharTagger, classes
 from tickloom.llm.common import as_text, hashed_sample, map_text
 from tickloom.llm.pii_base import KINDS, address_parts, base_spans, card_number, digits
 
-TRIGGERS = "0123456789@[({"
 WINDOW, STRIDE = 96, 48
 LENGTH = 64
 TAGS = 1 + 2 * len(KINDS)
@@ -36,7 +35,8 @@ SPAN = T.StructType(
         T.StructField("by_rule", T.BooleanType(), False),
     ]
 )
-_TRIGGER = re.compile("[0-9@\\[({]")
+# What every form below holds, or the word "dot" of a form that began a window earlier.
+_TRIGGER = re.compile(r"[0-9@\[({]|(?<!\S)(?:at|dot)(?!\S)")
 
 
 def _allowed() -> np.ndarray:
@@ -60,7 +60,10 @@ def _variant(rng: np.random.Generator) -> tuple[str, int | None]:
     def pick(*options: str) -> str:
         return options[rng.integers(len(options))]
 
-    case = rng.integers(0, 10)
+    case = rng.integers(0, 12)
+    if case >= 10:
+        name = word() + pick("", "", ".", "_") + pick("", num(2), word())
+        return f"{name} at {word()} dot {pick('com', 'org', 'net', 'example dot com', word())}", 0
     if case < 2:
         at, dot = (" [at] ", " [dot] ") if rng.random() < 0.4 else (pick(" (at) ", "(at)", "{at}", " @ ", "[at]"), pick(".", " . ", "(dot)", "[.]"))
         name = word() + pick("", ".", "_") + pick("", num(2), word())
@@ -81,12 +84,20 @@ def _variant(rng: np.random.Generator) -> tuple[str, int | None]:
         f"{rng.integers(1, 20)}.{rng.integers(0, 20)}", f"{num(3)},{num(3)}.{num(2)}", num(rng.integers(1, 12)), num(16),
         "".join("0123456789abcdef"[d] for d in rng.integers(0, 16, 40)), f"({word()})", f"[{num(2)}]", f"{num(2)}:{num(2)}:{num(2)}",
         f"@{word()}", f"{num(1)}.{num(1)}.{num(1)}", f"{{{word()} {num(3)}}}", f"({num(4)})", f"{num(4)}-{num(4)}",
+        f"{word()} at {word()} {word()}", f"{word()} dot {word()}", f"{word()} at {word()}.{pick('com', 'org')}",
     )
     return other[rng.integers(len(other))], None
 
 
+# The bare words of spelt-out addresses; the tagger reads them as the signs they stand for.
+_SPELT = re.compile(r"(?<!\S)(?:at|dot)(?!\S)")
+
+
 def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    for word in _SPELT.finditer(text):
+        points[word.start() : word.end()] = ord("@" if word[0] == "at" else ".")
+    return points
 
 
 def labelled_windows(carriers: list[str], count: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +224,7 @@ def tagged_spans(tagger: CharTagger, texts: list[str], rows: int = 256) -> list[
         if not _TRIGGER.search(text):
             continue
         points = _points(text)
-        hot = (points >= 48) & (points <= 57) | (points == 64) | (points == 91) | (points == 40) | (points == 123)
-        cells = np.unique(np.flatnonzero(hot) // STRIDE)
+        cells = np.unique([m.start() // STRIDE for m in _TRIGGER.finditer(text)])
         for cell in np.unique(np.concatenate([cells, np.maximum(cells - 1, 0)])):
             first = int(cell) * STRIDE
             stock.append((doc, first, len(points), classes(points[first : first + WINDOW])))
@@ -253,8 +263,7 @@ def spans_of(tagger: CharTagger, texts: list[str]) -> list[list[tuple[str, int,
             before = int(np.searchsorted(starts, b))
             if before and ends[before - 1] > a:
                 continue
-            if _TRIGGER.search(text, a, b):
-                spans[KINDS[kind]].append((a, b, False))
+            spans[KINDS[kind]].append((a, b, False))
         result.append([(kind, *span) for kind in KINDS for span in sorted(spans[kind])])
     return result
 
