@@ -12,6 +12,7 @@ from tickloom.llm import (
     byte_shards,
     kneser_ney,
     license_templates,
+    merkle_manifest,
     piece_codec,
     pii,
     pruned_graph,
@@ -137,6 +138,22 @@ def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def proofs_of(docs: DataFrame) -> DataFrame:
+    """Proofs of all documents; some claim one character too many."""
+
+    def digest(n_chars: Column) -> Column:
+        return merkle_manifest.digest_of(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = F.when(altered, digest(F.col("n_chars") + 1)).otherwise(digest(F.col("n_chars")))
+    proven = merkle_manifest.prove_rows(docs, "doc_id", "lang", digest(F.col("n_chars")), claimed)
+    return proven.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proofs_of(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -151,5 +168,6 @@ def llm_queries() -> dict[str, Query]:
             op8_byte_shards,
             op9_pruned_graph,
             op10_license_templates,
+            op11_merkle_manifest,
         )
     }
