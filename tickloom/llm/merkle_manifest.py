@@ -121,25 +121,25 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 def number_leaves(rows: DataFrame, order: list[str]) -> DataFrame:
     """Rows with `tree`, and beside them `index` in their tree in the given order and the tree's size `n`."""
     ranged = rows.withColumn("_arrival", F.monotonically_increasing_id())
-    by = [*order, "_arrival"]
-    ranged = ranged.repartitionByRange("tree", *by).withColumn("_part", F.spark_partition_id())
-    ranged = _stored(ranged, "merkle-ranged")
-    # A row per partition and tree that meet; a large tree has one per partition.
-    counts = ranged.groupBy("_part", "tree").agg(F.count(F.lit(1)).alias("_own"))
+    by = ["tree", *order, "_arrival"]
+    # The number holds the partition above 33 bits and the row's place in it below; it is stored before anything reads it.
+    ranged = ranged.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    ranged = _stored(ranged.drop("_arrival"), "merkle-ranged").withColumn("_part", F.shiftright("_at", 33))
+    # A row per partition and tree that meet; a large tree has one per partition, in which its rows stand together.
+    counts = ranged.groupBy("_part", "tree").agg(F.count(F.lit(1)).alias("_own"), F.min("_at").alias("_first"))
     whole = Window.partitionBy("tree")
     offsets = counts.select(
-        F.col("_part").alias("_at"),
+        F.col("_part").alias("_from"),
         F.col("tree").alias("_tree"),
+        "_first",
         F.coalesce(F.sum("_own").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.sum("_own").over(whole).alias("n"),
     )
     offsets = _stored(offsets, "merkle-offsets")
-    inside = Window.partitionBy("_part", "tree").orderBy(*by)
-    placed = ranged.withColumn("_row", F.row_number().over(inside) - 1)
-    same = (F.col("_part") == F.col("_at")) & F.col("tree").eqNullSafe(F.col("_tree"))
-    placed = placed.join(broadcast_if_small(offsets, offsets.count()), same)
-    index = (F.col("_before") + F.col("_row")).cast("long")
-    return placed.withColumn("index", index).drop("_part", "_at", "_tree", "_before", "_row", "_arrival")
+    same = (F.col("_part") == F.col("_from")) & F.col("tree").eqNullSafe(F.col("_tree"))
+    placed = ranged.join(broadcast_if_small(offsets, offsets.count()), same)
+    index = (F.col("_before") + F.col("_at") - F.col("_first")).cast("long")
+    return placed.withColumn("index", index).drop("_part", "_at", "_from", "_tree", "_first", "_before")
 
 
 def _heights(n: Column, level: int) -> tuple[Column, Column]:
