@@ -18,6 +18,7 @@ from tickloom.llm import (
     pruned_graph,
     simhash_links,
     tier_packing,
+    token_alignment,
     url_templates,
     weak_quality,
 )
@@ -154,6 +155,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs_of(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(_text_only(spark, sf_dir), BYTE_TOKENIZER, PIECE_MODEL)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -169,5 +174,6 @@ def llm_queries() -> dict[str, Query]:
             op9_pruned_graph,
             op10_license_templates,
             op11_merkle_manifest,
+            op12_token_alignment,
         )
     }
