@@ -16,6 +16,7 @@ from tickloom.llm import (
     piece_codec,
     pii,
     pruned_graph,
+    repeat_tree,
     simhash_links,
     tier_packing,
     token_alignment,
@@ -159,6 +160,17 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_tokenizers(_text_only(spark, sf_dir), BYTE_TOKENIZER, PIECE_MODEL)
 
 
+def op13_repeat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeat_tree.remove_repeats(_text_only(spark, sf_dir), size=50)
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -175,5 +187,6 @@ def llm_queries() -> dict[str, Query]:
             op10_license_templates,
             op11_merkle_manifest,
             op12_token_alignment,
+            op13_repeat_tree,
         )
     }
