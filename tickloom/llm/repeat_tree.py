@@ -36,8 +36,8 @@ SIZE = 50
 # Bytes of the strings whose hashes are compared; a window holds size - GRAM + 1 of them.
 GRAM = 16
 # Text bytes in a block, and text bytes for which one bucket of hashes is provided.
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 # Windows in a string at most.
 WINDOWS = 64
 # Occurrences (to a power of two per block) from which a hash is split by window.
@@ -47,8 +47,10 @@ SORTED = 400_000
 CHUNK = 1 << 18
 LAST = 2**63 - 1
 C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
-# Low bits of a hash: 0 is set if several documents of the block hold it, 1 to 3 say how often it occurs there.
+# The low bits of a hash are free for notes.
 LOW = np.uint64(15)
+# To find hashes that documents share, their bucket and 36 bits are compared; one more that seems shared does no harm.
+SHORT = 36
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,6 +69,27 @@ def words_of(raw: np.ndarray, more: int, order: str = "<") -> tuple[np.ndarray,
     return padded, np.ndarray((len(padded) - 8,), f"{order}u8", padded, strides=(1,))
 
 
+def gram_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of 16 bytes, given as two numbers."""
+    turned = second * C2
+    return mixed(first * C1 ^ (turned << np.uint64(31) | turned >> np.uint64(33)))
+
+
+def spread(least: np.ndarray) -> np.ndarray:
+    """Smallest hashes are small; mixed again they are even."""
+    return mixed(least) & ~LOW
+
+
+def hash_bytes(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    state = sizes.astype(np.uint64) * C2
+    for at in range(0, int(sizes.max()) if len(sizes) else 0, 8):
+        own = np.flatnonzero(sizes > at)
+        left = np.minimum(sizes[own] - at, 8).astype(np.uint64)
+        word = words[starts[own] + at] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
+        state[own] = mixed(state[own] * C3 ^ word)
+    return state
+
+
 def gathered(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     stops = np.cumsum(sizes)
     return raw[np.repeat(starts - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
@@ -121,8 +144,7 @@ class Texts:
         width = self.size - GRAM + 1
         words = self.words[begin : end + width + 7]
         grams = len(words) - 8
-        first, second = words[:grams] * C1, words[8:] * C2
-        least = _least(mixed(first ^ (second << np.uint64(31) | second >> np.uint64(33))), width)
+        least = _least(gram_hashes(words[:grams], words[8:]), width)
         inside = self.inside[begin:end]
         edge = np.empty(end - begin, bool)
         edge[0] = True
@@ -133,8 +155,7 @@ class Texts:
         own = inside[edges]
         stops = np.append(edges[1:], end - begin)[own]
         starts = edges[own]
-        # Smallest hashes are small; mixed again they are even.
-        return starts + begin, stops - starts, mixed(least[starts]) & ~LOW
+        return starts + begin, stops - starts, spread(least[starts])
 
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         """Documents in order of their text, and the first of each text (one more at the end)."""
@@ -151,22 +172,27 @@ class Texts:
         skipped = turn * most[of]
         starts = self.at[chosen][of] + skipped
         sizes = np.minimum(windows[of] - skipped, most[of]) + self.size - 1
-        return starts, sizes, self.hash[chosen][of], self._hash_bytes(starts, sizes), self.text[chosen][of], hot[of]
-
-    def _hash_bytes(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        state = sizes.astype(np.uint64) * C2
-        for at in range(0, int(sizes.max()) if len(sizes) else 0, 8):
-            own = np.flatnonzero(sizes > at)
-            left = np.minimum(sizes[own] - at, 8).astype(np.uint64)
-            word = self.words[starts[own] + at] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
-            state[own] = mixed(state[own] * C3 ^ word)
-        return state
+        return starts, sizes, self.hash[chosen][of], hash_bytes(self.words, starts, sizes), self.text[chosen][of], hot[of]
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(4) & np.uint64((1 << SHORT) - 1)
+
+
+def _five_bytes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _from_five(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").ravel()
+
+
 def _by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -343,24 +369,26 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sent_hashes(size: int, buckets: int):
+    """Per bucket a block's hashes, shortened; bit 0 is set if several documents hold it, bits 1 to 3 say how often it occurs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             _, sizes, raw = _block(row)
             texts = Texts(raw, sizes, size)
+            if not len(texts.hash):
+                continue
             copies = np.bincount(texts.text_of, minlength=len(texts.sizes))
             order = np.argsort(texts.hash, kind="stable")
             hashes, own = texts.hash[order], texts.text[order]
-            if not len(hashes):
-                continue
             heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
             several = (np.minimum.reduceat(own, heads) != np.maximum.reduceat(own, heads)) | (np.maximum.reduceat(copies[own], heads) > 1)
             often = np.add.reduceat(texts.windows[order], heads)
             power = np.minimum(np.log2(often).astype(np.uint64) // np.uint64(2), np.uint64(7))
-            flagged = hashes[heads] | power << np.uint64(1) | several.astype(np.uint64)
+            noted = _short(hashes[heads]) << np.uint64(4) | power << np.uint64(1) | several.astype(np.uint64)
             names, blobs = [], []
-            for bucket, at in _by_bucket(_bucket(flagged, buckets), buckets):
+            for bucket, at in _by_bucket(_bucket(hashes[heads], buckets), buckets):
                 names.append(bucket)
-                blobs.append(flagged[at].tobytes())
+                blobs.append(_five_bytes(noted[at]))
             block = row.column("block")[0].as_py()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array([block] * len(names), pa.int64()), pa.array(blobs, pa.binary())],
@@ -374,37 +402,44 @@ def _shared_hashes(hot: int):
     """Of the hashes of a bucket, those that several documents hold, per block; the lowest bit is set where one is hot."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, "<u8") for x in table.column("hashes").to_pylist()]
+        parts = [_from_five(x) for x in table.column("hashes").to_pylist()]
         sent = np.concatenate(parts)
-        order = np.argsort(sent & ~LOW, kind="stable")
+        order = np.argsort(sent >> np.uint64(4), kind="stable")
         own = sent[order]
-        heads = np.flatnonzero(np.append(True, (own[1:] ^ own[:-1]) & ~LOW != 0))
+        heads = np.flatnonzero(np.append(True, own[1:] >> np.uint64(4) != own[:-1] >> np.uint64(4)))
         many = np.diff(np.append(heads, len(own)))
         shared = (many > 1) | np.maximum.reduceat(own & np.uint64(1), heads).astype(bool)
         often = np.add.reduceat(1 << (2 * (own >> np.uint64(1) & np.uint64(7)).astype(np.int64)), heads) >= hot
         keep, flag = np.empty(len(own), bool), np.empty(len(own), np.uint64)
         keep[order], flag[order] = np.repeat(shared, many), np.repeat(often, many)
-        stops = np.cumsum([len(p) for p in parts])
-        back = [((p & ~LOW) | f)[k].tobytes() for p, k, f in zip(parts, np.split(keep, stops[:-1]), np.split(flag, stops[:-1]), strict=True)]
-        return pa.table({"block": table.column("block").combine_chunks(), "hashes": pa.array(back, pa.binary())})
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        back = [
+            _five_bytes(((p & ~LOW) | f)[k]) for p, k, f in zip(parts, np.split(keep, cuts), np.split(flag, cuts), strict=True)
+        ]
+        return table.drop_columns("hashes").append_column("hashes", pa.array(back, pa.binary()))
 
     return run
 
 
-STRING_KINDS = ["<u8", "<u8", "<i8", "<i8", "<i8", "<u4", "u1"]
+STRING_KINDS = ["<i8", "<i8", "u1", "<u2", "u1"]
+SEVERAL, SPLIT = 1, 2
 
 
 def _sent_strings(size: int, buckets: int):
+    """Per bucket a block's distinct strings with shared hashes: least and largest key, notes, length and bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            known = np.sort(np.concatenate([np.frombuffer(x, "<u8") for x in row.column("known")[0].as_py()]))
+            parts = [(np.uint64(k["bucket"] << SHORT), _from_five(k["hashes"])) for k in row.column("known")[0].as_py()]
+            known = np.sort(np.concatenate([(base + (x >> np.uint64(4))) << np.uint64(1) | x & np.uint64(1) for base, x in parts]))
             if not len(known):
                 continue
             keys, sizes, raw = _block(row)
             texts = Texts(raw, sizes, size)
-            place = np.minimum(np.searchsorted(known, texts.hash), len(known) - 1)
-            chosen = np.flatnonzero(known[place] & ~LOW == texts.hash)
-            starts, lengths, hashes, names, text, hot = texts.strings(chosen, known[place[chosen]] & LOW != 0)
+            asked = (_bucket(texts.hash, buckets).astype(np.uint64) << np.uint64(SHORT)) + _short(texts.hash)
+            place = np.minimum(np.searchsorted(known, asked << np.uint64(1)), len(known) - 1)
+            chosen = np.flatnonzero(known[place] >> np.uint64(1) == asked)
+            starts, lengths, hashes, names, text, hot = texts.strings(chosen, known[place[chosen]] & np.uint64(1) != 0)
             order, first = texts.documents()
             low, high = np.minimum.reduceat(keys[order], first[:-1]), np.maximum.reduceat(keys[order], first[:-1])
             copies = np.diff(first)
@@ -414,13 +449,15 @@ def _sent_strings(size: int, buckets: int):
             least, most = np.minimum.reduceat(low[text], heads), np.maximum.reduceat(high[text], heads)
             # More than one document: two texts, or a text with copies.
             several = (np.minimum.reduceat(text, heads) != np.maximum.reduceat(text, heads)) | (np.maximum.reduceat(copies[text], heads) > 1)
-            marked = hashes[own] | hot[own].astype(np.uint64)
+            hashes, names, lengths, starts, hot = hashes[own], names[own], lengths[own], starts[own], hot[own]
+            notes = SEVERAL * several.astype(np.uint8) + SPLIT * hot.astype(np.uint8)
             out: list[list] = [[], []]
-            names, lengths, starts = names[own], lengths[own].astype("<u4"), starts[own]
-            for bucket, at in _by_bucket(_bucket(np.where(hot[own], names, hashes[own]), buckets), buckets):
-                content = gathered(texts.raw, starts[at], lengths[at].astype(np.int64))
+            for bucket, at in _by_bucket(_bucket(np.where(hot, names, hashes), buckets), buckets):
+                # Like beginnings side by side compress better.
+                at = at[np.argsort(texts.words[starts[at]].byteswap())]
+                content = gathered(texts.raw, starts[at], lengths[at])
                 out[0].append(bucket)
-                out[1].append(packed([marked[at], names[at], least[at], most[at], several[at].astype("<i8"), lengths[at], content]))
+                out[1].append(packed([least[at], most[at], notes[at], lengths[at].astype("<u2"), content]))
             block = row.column("block")[0].as_py()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array([block] * len(out[0]), pa.int64()), pa.array(out[1], pa.binary())],
@@ -440,12 +477,18 @@ def _grouped(size: int, everything: bool):
     def run(name: tuple, table: pa.Table) -> pa.Table:
         (bucket,) = (n.as_py() for n in name)
         parts = [unpacked(x, STRING_KINDS) for x in table.column("strings").to_pylist()]
-        marked, names, least, most, several, sizes, raw = (np.concatenate(c) for c in zip(*parts, strict=True))
+        least, most, notes, sizes, raw = (np.concatenate(c) for c in zip(*parts, strict=True))
         block = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        stops = np.cumsum(sizes, dtype=np.int64)
-        starts = stops - sizes
+        sizes, several, hot = sizes.astype(np.int64), notes & SEVERAL != 0, notes & SPLIT != 0
+        starts = np.cumsum(sizes) - sizes
+        _, words = words_of(raw, size + 256)
+        names = hash_bytes(words, starts, sizes)
+        smallest = gram_hashes(words[starts], words[starts + 8])
+        for at in range(1, size - GRAM + 1):
+            smallest = np.minimum(smallest, gram_hashes(words[starts + at], words[starts + at + 8]))
+        marked = spread(smallest) | hot.astype(np.uint64)
         # Strings in order of what they are dealt by, so that equal windows stay together.
-        dealt = np.where(marked & np.uint64(1) != 0, names, marked)
+        dealt = np.where(hot, names, marked)
         order = np.lexsort([names, dealt])
         new = np.append(True, (names[order][1:] != names[order][:-1]) | (marked[order][1:] != marked[order][:-1]))
         heads = np.flatnonzero(new)
@@ -453,14 +496,14 @@ def _grouped(size: int, everything: bool):
         own = order[heads]
         low, many = np.minimum.reduceat(least[order], heads), np.diff(np.append(heads, len(order)))
         held = (many > 1) | np.maximum.reduceat(several[order], heads).astype(bool)
-        windows, dealt = sizes[own].astype(np.int64) - size + 1, dealt[own]
+        windows, dealt = sizes[own] - size + 1, dealt[own]
         runs = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))
         turn = (np.cumsum(windows) - windows)[runs] // SORTED
         cuts = np.append(runs[np.append(True, turn[1:] != turn[:-1])], len(own)).tolist()
         found, groups = [], 0
         for begin, end in zip(cuts, cuts[1:], strict=False):
             part = own[begin:end]
-            length = sizes[part].astype(np.int64)
+            length = sizes[part]
             content = gathered(raw, starts[part], length)
             got = interval_groups(content, np.cumsum(length) - length, length, low[begin:end], held[begin:end], size)
             got[0] = got[0] + begin
@@ -599,10 +642,11 @@ def _applied(docs: DataFrame, key: str, text: str, size: int, everything: bool,
     blocks = stored_blocks(docs, key, text)
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    own = blocks.select("block", "keys", "sizes", "data")
+    # Both joins move the blocks alike, so Spark moves them once.
+    own = blocks.where(F.col("block").isNotNull()).select("block", "keys", "sizes", "data")
     sent = own.mapInArrow(_sent_hashes(size, buckets), "bucket long, block long, hashes binary")
-    shared = sent.groupBy("bucket").applyInArrow(_shared_hashes(HOT), "block long, hashes binary")
-    known = shared.groupBy("block").agg(F.collect_list("hashes").alias("known"))
+    shared = sent.groupBy("bucket").applyInArrow(_shared_hashes(HOT), "bucket long, block long, hashes binary")
+    known = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "hashes")).alias("known"))
     asked = own.join(known, "block")
     strings = asked.mapInArrow(_sent_strings(size, buckets), "bucket long, block long, strings binary")
     found = strings.groupBy("bucket").applyInArrow(_grouped(size, everything), "block long, found binary")
