@@ -36,14 +36,14 @@ SIZE = 50
 # Bytes of the strings whose hashes are compared; a window holds size - GRAM + 1 of them.
 GRAM = 16
 # Text bytes in a block, and text bytes for which one bucket of hashes is provided.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 # Windows in a string at most.
 WINDOWS = 64
 # Occurrences (to a power of two per block) from which a hash is split by window.
 HOT = 1 << 15
 # Suffixes sorted at a time; strings of one hash stay together.
-SORTED = 400_000
+SORTED = 200_000
 CHUNK = 1 << 18
 LAST = 2**63 - 1
 C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -569,15 +569,16 @@ def _occurrences(row: pa.RecordBatch, texts: Texts, keys: np.ndarray):
     return [doc, start.astype(np.int64), length[at].astype(np.int64), lowest[at], group[at]]
 
 
-def _runs_of(covered: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and ends of runs of True that do not cross a document's first byte."""
-    edge = np.zeros(len(covered) + 1, bool)
-    edge[firsts] = True
-    before = np.append(False, covered)[:-1]
-    begin = covered & (~before | edge[:-1])
-    end = np.append(covered, False)[1:]
-    closing = covered & (~end | edge[1:])
-    return np.flatnonzero(begin), np.flatnonzero(closing) + 1
+def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, begin, end) of the runs that overlapping or touching spans of a document make."""
+    if not len(doc):
+        return doc, begin, end
+    order = np.lexsort([begin, doc])
+    doc, begin = doc[order], begin[order]
+    # Documents stand one after another, so the furthest end so far is of this document or before it.
+    furthest = np.maximum.accumulate(end[order])
+    heads = np.flatnonzero(np.append(True, (begin[1:] > furthest[:-1]) | (doc[1:] != doc[:-1])))
+    return doc[heads], begin[heads], furthest[np.append(heads[1:], len(doc)) - 1]
 
 
 SPANS = "array<struct<start:long,end:long>>"
@@ -593,14 +594,11 @@ def _removed(size: int):
             stops = np.cumsum(sizes)
             firsts = stops - sizes
             begin = firsts[doc[later]] + start[later]
-            total = len(raw)
-            edges = np.bincount(begin, minlength=total + 1) - np.bincount(begin + length[later], minlength=total + 1)
-            covered = np.cumsum(edges)[:total] > 0
-            a, b = _runs_of(covered, firsts)
-            owner = np.searchsorted(firsts, a, "right") - 1
+            owner, a, b = _merged(doc[later], begin, begin + length[later])
             offsets = np.searchsorted(owner, np.arange(len(sizes) + 1))
             spans = pa.StructArray.from_arrays([pa.array(a - firsts[owner]), pa.array(b - firsts[owner])], ["start", "end"])
-            kept = raw[~covered].tobytes()
+            bounds = np.concatenate([[0], np.stack([a, b], 1).ravel(), [len(raw)]])
+            kept = b"".join([raw[i:j].tobytes() for i, j in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True)])
             left = np.append(0, np.cumsum(sizes - _sums(b - a, owner, len(sizes))))
             rest = [kept[i:j] for i, j in zip(left.tolist(), left[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays(
