@@ -37,7 +37,7 @@ SIZE = 50
 GRAM = 16
 # Text bytes in a block, and text bytes for which one bucket of hashes is provided.
 BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 # Windows in a string at most.
 WINDOWS = 64
 # Occurrences (to a power of two per block) from which a hash is split by window.
@@ -467,7 +467,7 @@ def _sent_strings(size: int, buckets: int):
     return run
 
 
-OCCURRENCE_KINDS = ["<u8", "<u8", "<u4", "<u4", "<i8", "<i8"]
+OCCURRENCE_KINDS = ["<u8", "<u8", "<u2", "<u2", "<i8", "<i8"]
 
 
 def _grouped(size: int, everything: bool):
@@ -500,36 +500,39 @@ def _grouped(size: int, everything: bool):
         runs = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))
         turn = (np.cumsum(windows) - windows)[runs] // SORTED
         cuts = np.append(runs[np.append(True, turn[1:] != turn[:-1])], len(own)).tolist()
+        bounds = np.append(heads, len(order))
+
+        def sent_back(got: list[np.ndarray], begin: int, end: int, groups: int) -> list[np.ndarray]:
+            """Each of a string's occurrences in groups for each of its blocks."""
+            string, offset, length, lowest, group = got
+            by = np.argsort(string, kind="stable")
+            first = np.searchsorted(string[by], np.arange(end - begin + 1))
+            rows = order[bounds[begin] : bounds[end]]
+            own = entry[bounds[begin] : bounds[end]] - begin
+            per = np.diff(first)[own]
+            of = np.repeat(np.arange(len(rows)), per)
+            at = by[np.arange(len(of)) - np.repeat(np.cumsum(per) - per, per) + first[own][of]]
+            if not everything:
+                keep = lowest[at] < most[rows][of]
+                of, at = of[keep], at[keep]
+            number = group[at] + groups if everything else group[:0]
+            return [rows[of].astype(np.int32), offset[at].astype("<u2"), length[at].astype("<u2"), lowest[at], number]
+
         found, groups = [], 0
         for begin, end in zip(cuts, cuts[1:], strict=False):
             part = own[begin:end]
             length = sizes[part]
             content = gathered(raw, starts[part], length)
             got = interval_groups(content, np.cumsum(length) - length, length, low[begin:end], held[begin:end], size)
-            got[0] = got[0] + begin
-            got[4] = got[4] + groups
-            groups = int(got[4].max()) + 1 if len(got[4]) else groups
-            found.append(got)
-        string, offset, length, lowest, group = (np.concatenate(c) for c in zip(*found, strict=True))
-        # Each of a string's occurrences in groups goes to each of its blocks.
-        by = np.argsort(string, kind="stable")
-        first = np.searchsorted(string[by], np.arange(len(own) + 1))
-        per = np.diff(first)[entry]
-        of = np.repeat(np.arange(len(order)), per)
-        occurrence = by[np.arange(len(of)) - np.repeat(np.cumsum(per) - per, per) + first[entry][of]]
-        row = order[of]
-        if not everything:
-            keep = lowest[occurrence] < most[row]
-            row, occurrence = row[keep], occurrence[keep]
-        number = (bucket << 32) + group[occurrence]
-        back, blocks = [], table.column("block").to_pylist()
-        columns = [marked[row], names[row], offset[occurrence].astype("<u4"), length[occurrence].astype("<u4"), lowest[occurrence], number]
-        if not everything:
-            columns[-1] = columns[-1][:0]
-        kept = []
+            found.append(sent_back(got, begin, end, groups))
+            groups += int(got[4].max(initial=-1)) + 1
+        del raw, words, starts
+        row, offset, length, lowest, group = (np.concatenate(c) for c in zip(*found, strict=True))
+        back, kept, blocks = [], [], table.column("block").to_pylist()
         for i, at in _by_bucket(block[row], len(parts)):
             kept.append(blocks[i])
-            back.append(packed([c[at] if len(c) else c for c in columns]))
+            number = (bucket << 32) + group[at] if everything else group
+            back.append(packed([marked[row[at]], names[row[at]], offset[at], length[at], lowest[at], number]))
         return pa.table({"block": pa.array(kept, pa.int64()), "found": pa.array(back, pa.binary())})
 
     return run
