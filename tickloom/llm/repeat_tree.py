@@ -213,31 +213,37 @@ def sorted_suffixes(raw: np.ndarray, at: np.ndarray, sizes: np.ndarray, least: i
     _, words = words_of(raw, int(sizes.max()) + 16, ">")
 
     def word(own: np.ndarray, j: int) -> np.ndarray:
-        left = np.clip(sizes[own] - 8 * j, 0, 8)
-        shift = (64 - 8 * left).astype(np.uint64)
         value = words[at[own] + 8 * j].astype(np.uint64)
-        return np.where(left > 0, value >> np.minimum(shift, 56) << np.minimum(shift, 56), 0).astype(np.uint64)
+        if 8 * (j + 1) <= least:
+            return value
+        left = np.clip(sizes[own] - 8 * j, 0, 8)
+        shift = np.minimum(64 - 8 * left, 56).astype(np.uint64)
+        return np.where(left > 0, value >> shift << shift, np.uint64(0))
 
-    every = np.arange(len(at))
     head, most = -(-least // 8), -(-int(sizes.max()) // 8)
-    keys = [word(every, j) for j in range(head)]
+    keys = [word(slice(None), j) for j in range(head)]
     order = np.lexsort(keys[::-1])
+    shared = np.zeros(len(at), np.int64)
     same = np.ones(len(at), bool)
     same[0] = False
-    for key in keys:
-        same[1:] &= key[order[1:]] == key[order[:-1]]
+    for j, key in enumerate(keys):
+        key = key[order]
+        apart = np.flatnonzero(same & np.append(False, key[1:] != key[:-1]))
+        if 8 * (j + 1) > least:
+            shared[apart] = 8 * j + clear_bytes(key[apart] ^ key[apart - 1])
+        same[apart] = False
+    del keys
     tied = same.copy()
     tied[:-1] |= same[1:]
     places = np.flatnonzero(tied)
     own, group = order[places], np.cumsum(~same)[places]
     order[places] = own[np.lexsort([sizes[own], *(word(own, j) for j in range(most - 1, head - 1, -1)), group])]
-    shared = np.zeros(len(at), np.int64)
-    left = np.arange(1, len(at))
-    for j in range(most):
+    # Ties may have changed places, but only among equal beginnings.
+    left = np.flatnonzero(same)
+    for j in range(head, most):
         apart = word(order[left - 1], j) ^ word(order[left], j)
         ends = apart != 0
-        if 8 * (j + 1) > least:
-            shared[left[ends]] = 8 * j + clear_bytes(apart[ends])
+        shared[left[ends]] = 8 * j + clear_bytes(apart[ends])
         left = left[~ends]
     shared[left] = 8 * most
     shared[1:] = np.minimum(shared[1:], np.minimum(sizes[order[1:]], sizes[order[:-1]]))
