@@ -1,14 +1,20 @@
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
+from itertools import product
 
+import numpy as np
 import pytest
 
 from tickloom.llm import pii
+from tickloom.llm.char_tagger import CharTagger
 from tickloom.llm.pii_base import KINDS, base_spans, digits, luhn
 from tickloom.llm.queries import op2_personal_data
 
-from .conftest import DATA, prose
+from .conftest import DATA, ROOT, prose
 
 # The base rules as they are stated.
 RULES = {
@@ -31,9 +37,7 @@ def plain(text):
 
 @pytest.fixture(scope="module")
 def tagger():
-    made = pii.CharTagger(pii.TAGS, pii._allowed())
-    made.fit(*pii.labelled_windows([prose(i) for i in range(60)], 8000), steps=700)
-    return made
+    return pii.fitted([prose(i) for i in range(60)])
 
 
 def test_base_rules_against_plain_search():
@@ -92,6 +96,112 @@ def test_bare_at_and_dot_are_read(tagger):
     assert all(not s for s in pii.spans_of(tagger, [f"{prose(i, 30)} at {prose(i + 1, 30)}" for i in range(500, 520)]))
 
 
+@pytest.mark.parametrize("case", [str.upper, str.title])
+def test_capitals_are_read_like_small_letters(tagger, case):
+    rng = random.Random(4)
+    found = 0
+    for i in range(20):
+        form = case(f"{rng.choice(['jane', 'marko', 'lisa'])} at {rng.choice(['example', 'posthaus'])} dot {rng.choice(['com', 'org'])}")
+        text = f"{prose(300 + i, 40).lower().replace('.', '')} {form} {prose(400 + i, 40).lower().replace('.', '')}"
+        found += any(k == "email" and text[a:b] == form for k, a, b, _ in pii.spans_of(tagger, [text])[0])
+    assert found >= 16
+    assert [s[0] for s in pii.spans_of(tagger, ["mail: JOHN [AT] EXAMPLE [DOT] COM please"])[0]] == ["email"]
+
+
+def test_a_sure_span_stands_without_a_known_form(tagger, monkeypatch):
+    text = "the server 10[.]0[.]0[.]12 is down again today"
+    monkeypatch.setattr(pii, "_written", lambda *a: None)
+    assert [(k, text[a:b]) for k, a, b, _ in pii.spans_of(tagger, [text])[0]] == [("ip", "10[.]0[.]0[.]12")]
+    # Numbers over 255 fail the kind's check; a tagger that is not sure adds nothing.
+    assert pii.spans_of(tagger, ["the server 10[.]0[.]0[.]999 is down"])[0] == []
+    monkeypatch.setattr(pii, "SURE", 1.1)
+    assert pii.spans_of(tagger, [text])[0] == []
+
+
+def _small(seed=1, tags=4):
+    rng = np.random.default_rng(seed)
+    allowed = np.ones((tags, tags), bool)
+    allowed[0, 2] = False
+    made = CharTagger(tags, allowed, hidden=3, width=3, seed=seed)
+    made.p["trans"] = rng.standard_normal((tags, tags))
+    return made, rng.integers(1, 20, (3, 5))
+
+
+def _path_scores(made, text):
+    """Score of every path of every row."""
+    scores, _ = made.scores(text)
+    length, rows, tags = scores.shape
+    move = made.p["trans"] + made.barred
+    paths = list(product(range(tags), repeat=length))
+    total = np.array(
+        [
+            [
+                sum(scores[t, r, k] for t, k in enumerate(path)) + made.barred[0, path[0]]
+                + sum(move[a, b] for a, b in zip(path, path[1:], strict=False))
+                for path in paths
+            ]
+            for r in range(rows)
+        ]
+    )
+    return paths, total
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_decoding_and_chances_by_all_paths(seed):
+    made, text = _small(seed)
+    paths, total = _path_scores(made, text)
+    assert made.decode(text).tolist() == [list(paths[i]) for i in total.argmax(1)]
+    weight = np.exp(total - total.max(1, keepdims=True))
+    weight /= weight.sum(1, keepdims=True)
+    chance = made.posterior(text)
+    for t, r, k in product(range(text.shape[1]), range(len(text)), range(made.tags)):
+        assert chance[t, r, k] == pytest.approx(sum(w for w, p in zip(weight[r], paths, strict=True) if p[t] == k), abs=1e-9)
+
+
+def test_gradient_by_differences():
+    made, text = _small()
+    gold = np.array([[0, 1, 3, 2, 2], [1, 1, 0, 0, 3], [3, 2, 2, 1, 0]])
+
+    def loss():
+        paths, total = _path_scores(made, text)
+        place = {p: i for i, p in enumerate(paths)}
+        own = total[np.arange(3), [place[tuple(g)] for g in gold]]
+        return float((np.log(np.exp(total).sum(1)) - own).mean())
+
+    value, grad = made.gradient(text, gold)
+    assert value == pytest.approx(loss(), abs=1e-9)
+    rng = np.random.default_rng(5)
+    for name, param in made.p.items():
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in param.shape)
+            kept, step = param[at], 1e-6
+            param[at] = kept + step
+            high = loss()
+            param[at] = kept - step
+            low = loss()
+            param[at] = kept
+            assert grad[name][at] == pytest.approx((high - low) / (2 * step), abs=1e-6), name
+
+
+def test_training_does_not_depend_on_the_number_of_threads():
+    code = (
+        "import numpy as np; from tickloom.llm import pii; from tests.llm.conftest import prose\n"
+        "data = pii.labelled_windows([prose(i) for i in range(9)], 300)\n"
+        "made = pii.CharTagger(pii.TAGS, pii._allowed()); made.fit(*data, data, 40)\n"
+        "print(b''.join(v.tobytes() for v in made.p.values()).hex())"
+    )
+    got = set()
+    for threads in ("1", "4", "8"):
+        env = os.environ | {"OPENBLAS_NUM_THREADS": threads, "OMP_NUM_THREADS": threads, "PYTHONPATH": ROOT}
+        got.add(subprocess.run([sys.executable, "-c", code], env=env, cwd=ROOT, check=True, capture_output=True, timeout=300).stdout)
+    assert len(got) == 1
+
+
+def test_a_poor_tagger_is_refused():
+    with pytest.raises(RuntimeError, match="held-out"):
+        pii.fitted([prose(1)], windows=100, steps=3)
+
+
 def test_reconcile_joins_pieces_and_prefers_the_middle():
     # Two windows cut one span; a third saw another reading near its edge.
     assert pii.reconcile([(0, 10, 48, 0), (0, 40, 60, 12)]) == [(0, 10, 60)]
@@ -110,7 +220,7 @@ def test_rows_nulls_and_redaction(spark, tagger):
 
 
 def test_training_on_an_empty_table(spark, docs):
-    made = pii.train_tagger(docs([]), steps=2, windows=50)
+    made = pii.train_tagger(docs([]), steps=2, windows=50, least=0.0)
     assert pii.find_pii(docs([]), made).count() == 0
 
 
