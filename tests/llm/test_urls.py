@@ -1,8 +1,10 @@
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from tickloom.llm import url_templates as ut
+from tickloom.llm.oracles import llm_oracles
 from tickloom.llm.queries import op7_url_templates
 
 from .conftest import DATA
@@ -38,7 +40,7 @@ def brute(urls):
     for url in urls:
         host, path = parts(url)
         own = [re.sub("[0-9]+", "*", s) for s in path.split("/") if s]
-        raw = tuple((own + [""] * ut.LEVELS)[: ut.LEVELS]) + (ut.DEEPER if len(own) > ut.LEVELS else "",)
+        raw = tuple(own)
         found = rule(host, path)
         pages.append((host, path, raw, found))
     tree = defaultdict(lambda: [0, 0, 0, ""])
@@ -50,25 +52,28 @@ def brute(urls):
             cell[2] += 1
     known = sum(c[2] for c in tree.values())
     overall = sum(c[1] for c in tree.values()) / known if known else 0.0
-    for level in range(ut.LEVELS):
+
+    def at(raw, level):
+        return raw[level] if level < len(raw) else ""
+
+    for level in range(max((len(raw) for _, raw in tree), default=0)):
         shapes, branches = defaultdict(Counter), defaultdict(lambda: defaultdict(Counter))
         for (host, raw), cell in tree.items():
-            shapes[host, cell[3]][shape(raw[level + 1])] += cell[0]
-            branches[host, cell[3]][raw[level]][shape(raw[level + 1])] += cell[0]
+            shapes[host, cell[3]][shape(at(raw, level + 1))] += cell[0]
+            branches[host, cell[3]][at(raw, level)][shape(at(raw, level + 1))] += cell[0]
         for (host, raw), cell in tree.items():
             parent = host, cell[3]
-            own, everything = branches[parent][raw[level]], shapes[parent]
+            own, everything = branches[parent][at(raw, level)], shapes[parent]
             n, total = sum(own.values()), sum(everything.values())
             distance = sum(abs(own[s] / n - everything[s] / total) for s in everything)
             rare = len(branches[parent]) >= ut.MANY and n < ut.RARE * total
             alike = len(branches[parent]) > 1 and distance <= ut.SIMILAR + n**-0.5 + 1e-12
-            cell.append("*" if raw[level] and (rare or alike) else raw[level])
+            cell.append("*" if at(raw, level) and (rare or alike) else at(raw, level))
         for cell in tree.values():
             new = cell.pop()
             cell[3] = f"{cell[3]}/{new}" if new else cell[3]
     merged = defaultdict(lambda: [0, 0])
     for (host, raw), cell in tree.items():
-        cell[3] += f"/{raw[-1]}" if raw[-1] else ""
         merged[host, cell[3]][0] += cell[1]
         merged[host, cell[3]][1] += cell[2]
     result = []
@@ -101,24 +106,28 @@ def test_urls_against_dictionaries(spark):
     assert any(r.rule is None and r.verdict == "block" for r in found.values())
 
 
-def test_whole_paths_against_dictionaries(spark, tmp_path, monkeypatch):
+def test_whole_paths_against_dictionaries_and_sql(spark, tmp_path):
     urls = [f"http://a.net/{lang}/x/y/{kind}/z/{i % 3}/p{'abcdefghij'[i % 10]}" for i in range(30) for lang, kind in (("es", "c"), ("de", "d"))]
     urls += [f"http://b.org/k/l/m/{'abcdefghijklmnopqrstuvwxyz'[i % 26]}q/{'n' if i % 2 else 'o/n-1'}" for i in range(60)]
     urls += ["http://b.org/k/l", "http://b.org/k/l/m", "http://c.org/1/2/3/4/5/6", "http://c.org/1/2/3/x.html"]
     frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     frame.write.parquet(f"{tmp_path}/pages.parquet")
     found = {r.page_id: r for r in op7_url_templates(spark, str(tmp_path)).collect()}
-    monkeypatch.setattr(ut, "LEVELS", 9)
     for i, want in enumerate(brute(urls)):
         r = found[i]
         assert (r.host, r.path, r.rule, r.verdict, r.template, r.purity) == want, urls[i]
-        assert ut.DEEPER not in r.template
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    told = duck.sql(llm_oracles()["op7_url_templates"]).fetchall()
+    assert len(told) == len(urls)
+    for i, host, path, named, verdict, template, purity in told:
+        assert (host, path, named, verdict, template, pytest.approx(purity)) == tuple(found[i])[1:], urls[i]
 
 
 def test_long_paths_take_few_rounds(spark):
     urls = ["a://h.org/" + "s/" * 3000 + last for last in ("x-1/y", "z.html")]
     frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    found = ut.judge_urls(frame, levels=None).collect()
+    found = ut.judge_urls(frame).collect()
     assert all(r.template.startswith("/s" * 3000 + "/") for r in found)
 
 

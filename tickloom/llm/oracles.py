@@ -18,55 +18,45 @@ def _pick(value: str) -> str:
     return "CASE " + " ".join(f"WHEN {_fits(r)} THEN '{getattr(r, value)}'" for r in ordered) + " END"
 
 
-def _level(level: int) -> str:
-    """One level of the tree: `tree{level}` with template `t` to `tree{level + 1}`."""
-    own, after = f"s{level}", f"regexp_replace(s{level + 1}, '\\p{{L}}+', 'a', 'g')"
-    return f"""
-cells{level} AS (SELECT host, t, {own} AS own, {after} AS after, sum(n) AS n FROM tree{level} GROUP BY ALL),
-shapes{level} AS (SELECT host, t, after, sum(n) AS shape_n FROM cells{level} GROUP BY ALL),
-branches{level} AS (SELECT host, t, own, sum(n) AS own_n FROM cells{level} GROUP BY ALL),
-totals{level} AS (SELECT host, t, sum(own_n) AS all_n, count(*) AS siblings FROM branches{level} GROUP BY ALL),
-named{level} AS (
-  SELECT host, t, own,
-    CASE WHEN own <> '' AND (siblings >= {ut.MANY} AND any_value(own_n) < {ut.RARE} * any_value(all_n)
-      OR siblings > 1 AND sum(abs(n / own_n - shape_n / all_n) - shape_n / all_n) + 1
-         <= {ut.SIMILAR} + 1 / sqrt(any_value(own_n))) THEN '*' ELSE own END AS new
-  FROM cells{level} JOIN shapes{level} USING (host, t, after) JOIN branches{level} USING (host, t, own)
-    JOIN totals{level} USING (host, t)
-  GROUP BY host, t, own, siblings),
-tree{level + 1} AS (
-  SELECT tree{level}.* EXCLUDE (t), CASE WHEN new = '' THEN tree{level}.t ELSE tree{level}.t || '/' || new END AS t
-  FROM tree{level} JOIN named{level} ON named{level}.host = tree{level}.host AND named{level}.t = tree{level}.t AND own = {own})"""
-
-
 def _url_templates() -> str:
-    raw = ", ".join(f"s{i}" for i in range(ut.LEVELS + 1))
-    segments = ", ".join(f"coalesce(parts[{i + 1}], '{ut.ABSENT}') AS s{i}" for i in range(ut.LEVELS))
-    deeper = f"CASE WHEN len(parts) > {ut.LEVELS} THEN '{ut.DEEPER}' ELSE '{ut.ABSENT}' END AS s{ut.LEVELS}"
-    last = f"s{ut.LEVELS}"
+    """The tree is walked down by recursion, one segment of every path at a time."""
+    shape = "regexp_replace({}, '\\p{{L}}+', 'a', 'g')"
     return f"""
-WITH rests AS (
+WITH RECURSIVE rests AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 split AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{ut.UPPER}', '{ut.LOWER}') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
-parted AS (
+judged AS (
   SELECT *, {_pick("text")} AS rule, {_pick("verdict")} AS ruled,
-    [regexp_replace(s, '[0-9]+', '*', 'g') FOR s IN string_split(path, '/') IF s <> ''] AS parts FROM split),
-judged AS (SELECT *, {segments}, {deeper} FROM parted),
-tree0 AS (
-  SELECT host, {raw}, count(*)::DOUBLE AS n, count(*) FILTER (ruled = 'block') AS bad, count(ruled) AS known, '' AS t
-  FROM judged GROUP BY ALL),
-overall AS (SELECT coalesce(sum(bad) / nullif(sum(known), 0), 0) AS share FROM tree0),
-{",".join(_level(i) for i in range(ut.LEVELS))},
-done AS (SELECT * REPLACE (CASE WHEN {last} = '' THEN t ELSE t || '/' || {last} END AS t) FROM tree{ut.LEVELS}),
+    [regexp_replace(s, '[0-9]+', '*', 'g') FOR s IN string_split(path, '/') IF s <> ''] AS raw FROM split),
+leaves AS (
+  SELECT host, raw, count(*)::DOUBLE AS n, count(*) FILTER (ruled = 'block') AS bad, count(ruled) AS known FROM judged GROUP BY ALL),
+overall AS (SELECT coalesce(sum(bad) / nullif(sum(known), 0), 0) AS share, max(len(raw)) AS depth FROM leaves),
+tree AS (
+  SELECT 0 AS level, host, raw, n, '' AS t FROM leaves
+  UNION ALL
+  SELECT level + 1, host, raw, n, CASE WHEN new = '' THEN t ELSE t || '/' || new END FROM (
+    SELECT *, CASE WHEN own <> '' AND (siblings >= {ut.MANY} AND own_n < {ut.RARE} * all_n
+        OR siblings > 1 AND 1 + sum(CASE WHEN first THEN abs(cell_n / own_n - shape_n / all_n) - shape_n / all_n ELSE 0 END)
+          OVER (PARTITION BY host, t, own) <= {ut.SIMILAR} + 1 / sqrt(own_n)) THEN '*' ELSE own END AS new
+    FROM (
+      SELECT *, sum(n) OVER (PARTITION BY host, t, own, after) AS cell_n, sum(n) OVER (PARTITION BY host, t, own) AS own_n,
+        sum(n) OVER (PARTITION BY host, t, after) AS shape_n, sum(n) OVER (PARTITION BY host, t) AS all_n,
+        count(DISTINCT own) OVER (PARTITION BY host, t) AS siblings,
+        row_number() OVER (PARTITION BY host, t, own, after ORDER BY raw) = 1 AS first
+      FROM (
+        SELECT *, coalesce(raw[level + 1], '{ut.ABSENT}') AS own,
+          {shape.format(f"coalesce(raw[level + 2], '{ut.ABSENT}')")} AS after
+        FROM tree WHERE level < (SELECT depth FROM overall))))),
+done AS (SELECT tree.* FROM tree, overall WHERE level = depth),
 merged AS (
   SELECT host, t, (sum(bad) + {ut.SMOOTHING} * any_value(share)) / (sum(known) + {ut.SMOOTHING}) AS purity
-  FROM done, overall GROUP BY host, t)
+  FROM done JOIN leaves USING (host, raw), overall GROUP BY host, t)
 SELECT page_id, host, path, rule,
   coalesce(ruled, CASE WHEN purity >= {ut.BLOCK_FROM} THEN 'block' ELSE 'allow' END) AS verdict,
   CASE WHEN t = '' THEN '/' ELSE t END AS template, purity
-FROM judged JOIN done USING (host, {raw}) JOIN merged USING (host, t)"""
+FROM judged JOIN done USING (host, raw) JOIN merged USING (host, t)"""
 
 
 def _field(column: str) -> str:

@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from tickloom.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Levels of the tree in SQL and unless told otherwise, segments below them being one wildcard; the query has no such bound.
-LEVELS = 3
-DEEPER = "**"
 ABSENT = ""
 # A branch is variable if it has less than this share of its parent's pages among at least MANY siblings.
 RARE, MANY = 0.05, 20
@@ -75,13 +72,10 @@ def rule_of(rules: list[UrlRule], host: Column, path: Column) -> tuple[Column, C
     return text, verdict
 
 
-def raw_segments(path: Column, levels: int | None) -> Column:
-    """The segments with digits as wildcards; those below `levels`, if given, are one DEEPER."""
+def raw_segments(path: Column) -> Column:
+    """The segments with digits as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    parts = F.transform(parts, lambda s: F.regexp_replace(s, "[0-9]+", "*"))
-    if levels is None:
-        return parts
-    return F.when(F.size(parts) > levels, F.concat(F.slice(parts, 1, levels), F.array(F.lit(DEEPER)))).otherwise(parts)
+    return F.transform(parts, lambda s: F.regexp_replace(s, "[0-9]+", "*"))
 
 
 def _shape(segment: Column) -> Column:
@@ -153,7 +147,7 @@ def _merged(tree: DataFrame) -> DataFrame:
     return joined.withColumn("_left", F.greatest(F.col("_left") - 1, F.lit(0))).drop("_own", "_after", "_new", "_open")
 
 
-def template_tree(judged: DataFrame, levels: int | None = None) -> DataFrame:
+def template_tree(judged: DataFrame) -> DataFrame:
     """Host and raw template to the merged `template` and its `purity`.
 
     `judged` has `_host`, the raw segments `_raw` and `_bad` (1 blocked, 0 allowed, null without a rule) per page. There are
@@ -162,8 +156,7 @@ def template_tree(judged: DataFrame, levels: int | None = None) -> DataFrame:
     tree = judged.groupBy("_host", "_raw").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_bad").alias("_bad"), F.count("_bad").alias("_known")
     )
-    left = F.size("_raw") if levels is None else F.least(F.size("_raw"), F.lit(levels))
-    tree = materialize(tree.select("*", F.lit("").alias("_t"), F.col("_raw").alias("_rest"), left.alias("_left")))
+    tree = materialize(tree.select("*", F.lit("").alias("_t"), F.col("_raw").alias("_rest"), F.size("_raw").alias("_left")))
     bad, known = tree.agg(F.sum("_bad"), F.sum("_known")).first()
     overall = (bad or 0) / known if known else 0.0
     rows = materialize(_descended(tree))
@@ -171,18 +164,15 @@ def template_tree(judged: DataFrame, levels: int | None = None) -> DataFrame:
     while not (live := rows.where("_open")).isEmpty():
         rows = materialize(_descended(_merged(live)))
         done = done.unionByName(rows.where(~F.col("_open")).drop("_open"))
-    deeper = F.concat("_t", F.lit("/"), F.array_join("_rest", "/"))
-    tree = done.withColumn("_t", F.when(F.size("_rest") > 0, deeper).otherwise(F.col("_t")))
     purity = (F.coalesce(F.sum("_bad"), F.lit(0)) + SMOOTHING * overall) / (F.sum("_known") + SMOOTHING)
-    merged = tree.groupBy("_host", "_t").agg(purity.alias("_purity"))
-    return tree.select("_host", "_raw", "_t").join(merged, ["_host", "_t"])
+    merged = done.groupBy("_host", "_t").agg(purity.alias("_purity"))
+    return done.select("_host", "_raw", "_t").join(merged, ["_host", "_t"])
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[UrlRule] | None = None, url: str = "url", keep: list[str] | None = None,
-    levels: int | None = LEVELS,
+    pages: DataFrame, rules: list[UrlRule] | None = None, url: str = "url", keep: list[str] | None = None
 ) -> DataFrame:
-    """Kept columns, `host`, `path`, `rule`, `verdict`, `template` and `purity`; without `levels`, from whole paths."""
+    """Kept columns, `host`, `path`, `rule`, `verdict`, `template` and `purity`."""
     rules = RULES if rules is None else rules
     names = list(keep or ["page_id"])
     clash = {"host", "path", "rule", "verdict", "template", "purity"} & set(names)
@@ -195,9 +185,9 @@ def judge_urls(
         "*",
         rule.alias("_rule"),
         verdict.alias("_verdict"),
-        raw_segments(F.col("_path"), levels).alias("_raw"),
+        raw_segments(F.col("_path")).alias("_raw"),
     ).withColumn("_bad", F.when(F.col("_verdict").isNotNull(), (F.col("_verdict") == "block").cast("int")))
-    tree = template_tree(judged.select("_host", "_raw", "_bad"), levels)
+    tree = template_tree(judged.select("_host", "_raw", "_bad"))
     own = F.when(F.col("_purity") >= BLOCK_FROM, "block").otherwise("allow")
     return judged.join(tree, ["_host", "_raw"]).select(
         *names,
