@@ -15,7 +15,6 @@ from .conftest import DATA, prose
 @pytest.fixture(scope="module")
 def library():
     made = Tokenizer.from_file(BYTE_TOKENIZER)
-    made.encode_special_tokens = True
     return made
 
 

@@ -49,7 +49,6 @@ def test_run_packs_what_is_left(spark):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(stages.TOKENIZER)
-    library.encode_special_tokens = True
     rows = corpus_pipeline.run(spark, DATA).collect()
     docs = {r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     assert {r.doc_id for r in rows} < docs
@@ -71,6 +70,5 @@ def test_packing_stage_round_trip(spark, sample):
     from pyspark.sql import functions as F
 
     library = Tokenizer.from_file(stages.TOKENIZER)
-    library.encode_special_tokens = True
     pieces = stages.packed(spark, sample, DATA).withColumn("ids_crc32", F.crc32("ids"))
     check_rows(pieces.collect(), {r.doc_id: r.text for r in sample.collect()}, library)
