@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from conftest import NOON
 from tickloom.operators.metrics import MetricsLog, Snapshot
+from tickloom.plans import ingest
 from tickloom.plans.ingest import run_ingest
+from tickloom.plans.queries import all_queries
 from tickloom.schema import FRAME_SCHEMA, IngestOptions
 from tickloom.sources.frames import stream_frames
 from tickloom.sources.registry import REGISTRY_DDL
@@ -174,6 +176,36 @@ def test_a_lost_row_fails_the_batch(spark, tmp_path, registry):
     assert table.read().count() == 0
 
 
+@pytest.mark.parametrize("options", [OPTIONS, LONG])
+def test_a_row_lost_in_the_dedup_fails_the_batch(spark, tmp_path, registry, monkeypatch, options):
+    rows = make_frames(spark, frame_rows([(i % 9, i) for i in range(36)]))
+    table = TickTable(spark, str(tmp_path / "ticks"), "keep")
+    whole = ingest.admit
+    monkeypatch.setattr(ingest, "admit", lambda *a: whole(*a).where("source_id <> 3"))
+    with pytest.raises(RuntimeError, match="lost in the dedup"):
+        run_ingest(rows, registry, table, 0, options)
+    assert table.read().count() == 0
+    monkeypatch.undo()
+    counts = run_ingest(rows, registry, table, 0, options)
+    assert counts.received == 36 == counts.deduplicated + counts.written
+
+
+def test_files_are_cut_at_a_number_of_rows(spark, tmp_path, registry):
+    table = TickTable(spark, str(tmp_path / "ticks"))
+    options = IngestOptions(dedup_window=timedelta(minutes=5), batch_max_rows=7, writer_count=1)
+    run_ingest(make_frames(spark, frame_rows([(i, 0) for i in range(50)])), registry, table, 0, options)
+    sizes = [r["count"] for r in table.read().groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 50 and max(sizes) == 7
+    with pytest.raises(ValueError):
+        IngestOptions(batch_max_rows=0)
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "batch_then_stream"])
+def test_stream_queries_take_an_empty_table(spark, tmp_path, name):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    assert all_queries()[name](spark, str(tmp_path)).count() == 0
+
+
 def test_a_burst_waits_at_the_source(spark, tmp_path, registry):
     """More files than a trigger admits: every micro-batch stays small and nothing is dropped."""
     feed, table = str(tmp_path / "feed"), TickTable(spark, str(tmp_path / "ticks"))

@@ -126,6 +126,35 @@ def drop_recently_admitted(
     return rows.join(expiry, keys, "left").where(open_again).select(*rows.columns)
 
 
+def refused_rows(
+    rows: DataFrame,
+    admitted: DataFrame,
+    earlier: DataFrame,
+    window: timedelta,
+    keys: list[str] | None = None,
+    time_col: str = "ingest_ts",
+    order_col: str = "arrival_seq",
+) -> DataFrame:
+    """Rows that lie in a window opened by another row: one admitted from among them, or an earlier admission.
+
+    This looks for the window itself instead of subtracting, so a row that the dedup lost is neither admitted nor refused.
+    Rows and the windows opened among them meet in cells as long as a window: a window touches two, and a cell holds two of a
+    key at most. An earlier admission blocks whatever arrives before its window ends.
+    """
+    keys, width = keys or KEY_COLS, micros(window)
+    opened = F.unix_micros(time_col)
+    before = earlier.groupBy(*keys).agg((F.max(opened) + width).alias("_until"))
+    timed = rows.withColumn("_t", opened).join(before, keys, "left")
+    blocked = F.coalesce(F.col("_t") < F.col("_until"), F.lit(False))
+    cells = F.sequence(F.floor(F.col("_from") / width), F.floor((F.col("_from") + (width - 1)) / width))
+    windows = admitted.select(*[F.col(k).alias(f"_{k}") for k in keys], opened.alias("_from"), F.col(order_col).alias("_after"))
+    windows = windows.withColumn("_of", F.explode(cells))
+    after = (F.col("_t") > F.col("_from")) | ((F.col("_t") == F.col("_from")) & (F.col(order_col) > F.col("_after")))
+    same = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.floor(F.col("_t") / width) == F.col("_of")]
+    repeated = timed.where(~blocked).join(windows, [*same, after, F.col("_t") < F.col("_from") + width], "left_semi")
+    return timed.where(blocked).unionByName(repeated).select(*rows.columns)
+
+
 def duplicate_counts(rows: DataFrame, admitted: DataFrame, by: list[str]) -> DataFrame:
     """Arrived, admitted and dropped rows per group, counted before the shuffle."""
     arrived = rows.select(*by, F.lit(1).alias("_r"), F.lit(0).alias("_a"))

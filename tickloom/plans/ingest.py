@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tickloom.operators.dedup import drop_recently_admitted, first_per, sliding_window_dedup
+from tickloom.operators.dedup import drop_recently_admitted, first_per, refused_rows, sliding_window_dedup
 from tickloom.operators.metrics import MetricsLog, Snapshot
 from tickloom.operators.parse import classify_frames
 from tickloom.schema import KEY_COLS, TICK_COLS, IngestOptions, micros
@@ -60,13 +61,9 @@ def stage_frames(frames: DataFrame, options: IngestOptions, path: str) -> Staged
     )
 
 
-def admit(ticks: DataFrame, table: TickTable, writer: str, batch_id: int, options: IngestOptions) -> DataFrame:
-    """Ticks of one batch that the sliding window admits, given the batches stored before it."""
-    window = options.dedup_window
-    first, last = ticks.agg(*[F.unix_micros(f("ingest_ts")) for f in (F.min, F.max)]).first()
-    if first is None:
-        return ticks
-    recent = table.arrived_since(first - micros(window), writer, batch_id)
+def admit(ticks: DataFrame, recent: DataFrame, last: int, first: int, window: timedelta) -> DataFrame:
+    """Ticks of one batch, arrived from `first` to `last` (epoch microseconds), that the sliding window admits, given what was
+    admitted within a window before."""
     open_again = drop_recently_admitted(ticks, recent, window)
     if last - first < micros(window):
         # No key can be admitted twice in such a batch.
@@ -75,6 +72,19 @@ def admit(ticks: DataFrame, table: TickTable, writer: str, batch_id: int, option
     return sliding_window_dedup(materialize(open_again), window)
 
 
+def deduplicated(
+    ticks: DataFrame, table: TickTable, writer: str, batch_id: int, options: IngestOptions
+) -> tuple[DataFrame, int, int]:
+    """Admitted ticks of a batch, how many there are, and how many were refused, each found by itself."""
+    first, last = ticks.agg(*[F.unix_micros(f("ingest_ts")) for f in (F.min, F.max)]).first()
+    if first is None:
+        return ticks, 0, 0
+    window = options.dedup_window
+    recent = table.arrived_since(first - micros(window), writer, batch_id)
+    admitted = materialize(admit(ticks, recent, last, first, window))
+    return admitted, admitted.count(), refused_rows(ticks, admitted, recent, window).count()
+
+
 def ingest_batch(
     tagged: DataFrame,
     table: TickTable,
@@ -97,14 +107,16 @@ def ingest_batch(
     frames, left_out = arrived.get["frames"], arrived.get["skipped"]
     if frames != staged.frames + left_out:
         raise RuntimeError(f"frames lost before the table: {frames} frames, {staged.frames} staged, {left_out} skipped")
-    admitted = materialize(admit(staged.ticks, table, writer, batch_id, options))
-    passed = admitted.count()
-    commit = table.append(admitted, batch_id, writer, writers=options.writer_count, expect=passed)
+    admitted, passed, refused = deduplicated(staged.ticks, table, writer, batch_id, options)
+    if passed + refused != staged.received:
+        raise RuntimeError(f"ticks lost in the dedup: {staged.received} received, {passed} admitted, {refused} refused")
+    commit = table.append(
+        admitted, batch_id, writer, writers=options.writer_count, max_rows_per_file=options.batch_max_rows, expect=passed
+    )
     if quarantine_path:
         target = f"{quarantine_path.rstrip('/')}/writer={writer}/batch_id={batch_id}"
         staged.rejects.write.mode("overwrite").parquet(target)
-    refused = staged.received - passed + commit.repeated
-    counts = Snapshot(staged.received, refused, commit.rows, staged.dropped, left_out)
+    counts = Snapshot(staged.received, refused + commit.repeated, commit.rows, staged.dropped, left_out)
     counts.check_conserved(frames)
     if metrics:
         metrics.record(batch_id, counts, writer)

@@ -112,6 +112,25 @@ FROM (SELECT *, CAST({_fnv("symbol")} % 8 AS BIGINT) AS shard, ingest_ms // 1000
     )
 )
 
+# `following` is the place of the row that opens the next batch, if this one opens a batch.
+_ALIGNED = _feed(
+    """SELECT o.arrival_seq, o.shard, b.batch_no
+FROM ordered o ASOF JOIN (SELECT shard, place, row_number() OVER (PARTITION BY shard ORDER BY place) AS batch_no FROM opened) b
+  ON o.shard = b.shard AND o.place >= b.place""",
+    _ticks_chain(60_000),
+    f"""
+sharded AS (SELECT *, CAST({_fnv("symbol")} % 8 AS BIGINT) AS shard FROM admitted),
+ordered AS MATERIALIZED (
+  SELECT arrival_seq, shard, row_number() OVER (PARTITION BY shard ORDER BY ingest_ms, arrival_seq) - 1 AS place,
+    least(place + 3, count(*) OVER (PARTITION BY shard ORDER BY ingest_ms
+      RANGE BETWEEN UNBOUNDED PRECEDING AND 9999 FOLLOWING)) AS following
+  FROM sharded),
+opened AS (
+  SELECT shard, place, following FROM ordered WHERE place = 0
+  UNION ALL
+  SELECT n.shard, n.place, n.following FROM opened o JOIN ordered n ON n.shard = o.shard AND n.place = o.following)""",
+)
+
 _STORED = _feed(f"SELECT {_TICK} FROM first_seen", _FIRST)
 
 
@@ -241,6 +260,7 @@ JOIN (SELECT DISTINCT symbol, CAST({_fnv("symbol")} % 8 AS BIGINT) AS shard FROM
         + "SELECT user_id, event_type, t AS ts_us, event_id FROM admitted",
         "write_batch_numbers": _BATCHES,
         "write_batch_numbers_split": _BATCHES,
+        "write_batches_aligned": _ALIGNED,
         "metrics_totals": _feed(
             """SELECT exchange, count(*) FILTER (NOT is_dropped) AS received,
   count(*) FILTER (NOT is_dropped AND NOT is_written) AS deduplicated,

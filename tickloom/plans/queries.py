@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.hashing import fnv1a64, shard_of
+from tickloom.operators.aligned_batches import aligned_batches
 from tickloom.operators.batching import write_batches
 from tickloom.operators.dedup import duplicate_counts, sliding_window_dedup
 from tickloom.operators.metrics import MetricsLog, counter_totals, flow, interval_counts
@@ -22,7 +23,7 @@ from tickloom.operators.routing import shard_counts, with_shard
 from tickloom.operators.silence import open_silence, source_silence
 from tickloom.plans.event_feed import event_frames, feed_registry, load, spread
 from tickloom.plans.ingest import Staged, run_ingest, stage_frames
-from tickloom.schema import EXCHANGES, KEY_COLS, IngestOptions, with_exchange_name
+from tickloom.schema import EXCHANGES, KEY_COLS, TICK_COLS, IngestOptions, with_exchange_name
 from tickloom.session import materialize, scratch_path
 from tickloom.sources.frames import fan_in, stream_frames
 from tickloom.sources.registry import REGISTRY_DDL, tag_frames, with_registered_format
@@ -332,6 +333,14 @@ def write_batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batches(spark, sf_dir, {})
 
 
+@query
+def write_batches_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that open with a row and close after N rows or T."""
+    admitted = sliding_window_dedup(_accepted(spark, sf_dir), WINDOW)
+    batched = aligned_batches(admitted, SHARDS, BATCH_ROWS, BATCH_DELAY)
+    return batched.select(*_long("arrival_seq", "shard", "batch_no"))
+
+
 @query
 def write_batch_numbers_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same numbers by the way taken for very large slots."""
@@ -390,12 +399,13 @@ def conservation_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _frames(spark, sf_dir).drop("format")
     tagged = tag_frames(frames.withColumn("source", F.upper("source")), registry)
     live = classify_frames(tagged.where(F.col("skipped").isNull()).drop("skipped"))
-    admitted = sliding_window_dedup(accepted(live), WINDOW)
+    ticks = live.where(F.col("reason").isNull()).select(*TICK_COLS, "arrival_seq", "source")
+    admitted = sliding_window_dedup(ticks, WINDOW)
     counted = fan_in(
         tagged.select("source", F.lit("frames").alias("what")),
         tagged.where("skipped IS NOT NULL").select("source", F.col("skipped").alias("what")),
         live.select("source", F.when(F.col("reason").isNull(), "received").otherwise("dropped").alias("what")),
-        admitted.select(F.lit("BINANCE-FEED").alias("source"), F.lit("written").alias("what")),
+        admitted.select("source", F.lit("written").alias("what")),
     )
     kinds = ["frames", "unlisted", "disabled", "received", "dropped", "written"]
     return counted.groupBy("source").agg(*[F.count_if(F.col("what") == k).alias(k) for k in kinds])
@@ -438,7 +448,9 @@ def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cuts(frames: DataFrame, parts: int) -> list[datetime]:
     """Arrival instants that cut the frames into about equal parts, taken from the data."""
     shares = [i / parts for i in range(1, parts)]
-    cuts = frames.agg(F.percentile_approx(F.unix_micros("ingest_ts"), shares).alias("q")).first().q or []
+    cuts = frames.agg(F.percentile_approx(F.unix_micros("ingest_ts"), shares).alias("q")).first().q
+    # Without frames any instant will do.
+    cuts = cuts or [0] * (parts - 1)
     return [datetime.fromtimestamp(us / 1e6, timezone.utc) for us in cuts]
 
 

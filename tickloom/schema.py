@@ -78,16 +78,17 @@ class IngestOptions:
     """Job parameters; every count must be at least 1 and every duration positive.
 
     `writer_count` fixes the number of writing tasks of a batch; without it files follow the days and sizes of the
-    batch. `batch_max_delay` is the stream's trigger interval. How much a trigger takes is a source option.
+    batch. `batch_max_rows` cuts files at that many rows. `batch_max_delay` is the stream's trigger interval. How much a trigger takes is a source option.
     """
 
     writer_count: int | None = None
+    batch_max_rows: int | None = None
     batch_max_delay: timedelta = timedelta(seconds=10)
     dedup_window: timedelta = timedelta(minutes=1)
     max_frame_bytes: int = MAX_FRAME_BYTES
 
     def __post_init__(self) -> None:
-        for name in ("writer_count", "max_frame_bytes"):
+        for name in ("writer_count", "batch_max_rows", "max_frame_bytes"):
             value = getattr(self, name)
             if value is not None and value < 1:
                 raise ValueError(f"{name} must be at least 1")
