@@ -157,3 +157,40 @@ def test_projections(make_ticks):
     assert tick_projection(ticks).columns == TICK_COLS
     assert key_projection(ticks).columns == ["exchange", "symbol", "exchange_ts", "source_id"]
     assert [r.copies for r in duplicate_keys(ticks).collect()] == [2]
+
+
+def _days(make_ticks, first, count, start=0):
+    """Two ticks a day, from day `first` on."""
+    rows = [{"source_id": start + 2 * d + k, "at": 86_400 * (first + d) + k, "exchange_ts": NOON + timedelta(days=first + d)} for d in range(count) for k in (0, 1)]
+    return make_ticks([r | {"arrival_seq": i} for i, r in enumerate(rows)])
+
+
+def test_look_back_does_not_grow_with_the_table(spark, tmp_path, make_ticks):
+    opened = []
+    for days in (10, 40):
+        table = TickTable(spark, str(tmp_path / f"t{days}")).create()
+        table.append(_days(make_ticks, 0, days - 1), 0)
+        table.append(_days(make_ticks, days - 1, 1, 1000), 1)
+        table.compact()
+        since = int((NOON + timedelta(days=days - 1)).timestamp() * 1e6)
+        carried = table.carried_keys(since, "batch", 2)
+        assert sorted(r.source_id for r in carried.collect()) == [1000, 1001]
+        scan = carried._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        opened.append(scan.selectedPartitions().totalNumberOfFiles())
+    assert opened == [1, 1]
+
+
+def test_look_back_beyond_what_is_kept_reads_the_data(spark, tmp_path, make_ticks):
+    table = TickTable(spark, str(tmp_path / "t")).create()
+    for batch, first in enumerate((0, 15, 30)):
+        table.append(_days(make_ticks, first, 15, 100 * batch), batch)
+    for step in range(2):
+        for day in (0, 20, 30, 36, 44):
+            since = int((NOON + timedelta(days=day)).timestamp() * 1e6)
+            carried = {(r.source_id, r.ingest_ts) for r in table.carried_keys(since, "batch", 9).collect()}
+            assert carried == {(r.source_id, r.ingest_ts) for r in table.arrived_since(since, "batch", 9).collect()}
+            assert len(carried) == 2 * (45 - day)
+        # Keys of batches that come after one that runs again are not its business.
+        since = int(NOON.timestamp() * 1e6)
+        assert table.carried_keys(since, "batch", 1).count() == table.arrived_since(since, "batch", 1).count() == 30
+        table.compact()

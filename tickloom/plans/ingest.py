@@ -80,7 +80,7 @@ def deduplicated(
     if first is None:
         return ticks, 0, 0
     window = options.dedup_window
-    recent = table.arrived_since(first - micros(window), writer, batch_id)
+    recent = table.carried_keys(first - micros(window), writer, batch_id)
     admitted = materialize(admit(ticks, recent, last, first, window))
     return admitted, admitted.count(), refused_rows(ticks, admitted, recent, window).count()
 

@@ -5,6 +5,9 @@ holds an entry per batch: who wrote it under which id, its folder, bounds, row c
 batch becomes visible when its entry exists, so a failed batch leaves the table as it was and a retry replaces its files.
 Reads take the folders that entries name and the days that bounds allow; they never list the whole table.
 
+Beside the data, `window/folder=F/slot=D` holds the key and the instant of arrival of every stored row, by day of arrival and in its
+order: what a window needs to know of earlier batches. A batch reads only the days from its look-back on, however old the table is.
+
 A batch is known by (writer, batch id). The same batch again is not written twice; the same id with other content is
 refused. `compact` joins the data of many batches in one folder and the log in one file. One writer at a time.
 """
@@ -26,6 +29,8 @@ from tickloom.schema import KEY_COLS, TICK_COLS, TICK_SCHEMA
 from tickloom.session import drop_path, materialize
 
 DAY_US = 86_400_000_000
+# How far back from the newest arrival `compact` keeps the keys of the window; look-backs beyond it read the data.
+KEPT_DAYS = 8
 STORED_SCHEMA = T.StructType(
     [
         T.StructField("batch_seq", T.LongType()),
@@ -71,6 +76,7 @@ class TickTable:
         self.spark, self.on_conflict = spark, on_conflict
         self._data = f"{path.rstrip('/')}/data"
         self._log = f"{path.rstrip('/')}/log"
+        self._window = f"{path.rstrip('/')}/window"
 
     def create(self) -> TickTable:
         """Make the empty table when it does not exist; safe to repeat."""
@@ -126,6 +132,7 @@ class TickTable:
             return Commit(writer, batch_id, 0)
         if self.on_conflict == "error":
             self._refuse_repeats(written, earlier, stats[2])
+        self._write_window(written, folder)
         entry = (writer, batch_id, seq, folder, stats[0], repeated, stats[1] or 0, *stats[2:])
         self._add_to_log([entry], f"seq-{seq}")
         return Commit(writer, batch_id, stats[0], repeated)
@@ -142,6 +149,11 @@ class TickTable:
         stored = self.read()
         ordered = stored.hint("rebalance", F.col("exchange_date")).sortWithinPartitions("exchange_date", "exchange_ts")
         ordered.write.partitionBy("exchange_date").parquet(f"{self._data}/folder={folder}")
+        newest = max((e.last_ingest_us for e in log if e.n), default=0)
+        keys = self._window_rows(log).where(F.col("admitted_us") >= _kept_from(newest))
+        keys.hint("rebalance", F.col("slot")).sortWithinPartitions("slot", "admitted_us").write.partitionBy("slot").parquet(
+            f"{self._window}/folder={folder}"
+        )
         before = self._log_files()
         moved = [(*e[:3], folder, *e[4:]) for e in log]
         self._add_to_log(moved, folder)
@@ -149,6 +161,7 @@ class TickTable:
             drop_path(self.spark, f"{self._log}/{name}")
         for name in {e.folder for e in log}:
             drop_path(self.spark, f"{self._data}/folder={name}")
+            drop_path(self.spark, f"{self._window}/folder={name}")
 
     def _add_to_log(self, entries: list[tuple], name: str) -> None:
         rows = self.spark.createDataFrame(entries, LOG_DDL)
@@ -179,6 +192,21 @@ class TickTable:
             writer = writer.option("maxRecordsPerFile", max_rows_per_file)
         writer.parquet(f"{self._data}/folder={folder}")
 
+    def _write_window(self, written: DataFrame, folder: str) -> None:
+        arrived = F.unix_micros("ingest_ts")
+        rows = written.select("batch_seq", *KEY_COLS, arrived.alias("admitted_us"), slot_of(arrived, DAY_US).alias("slot"))
+        ordered = rows.sortWithinPartitions("slot", "admitted_us")
+        ordered.write.mode("overwrite").partitionBy("slot").parquet(f"{self._window}/folder={folder}")
+
+    def _window_rows(self, entries: list) -> DataFrame:
+        named = sorted({f"{self._window}/folder={e.folder}" for e in entries if e.n})
+        keys = [f for f in STORED_SCHEMA.fields if f.name in ("batch_seq", *KEY_COLS)]
+        schema = T.StructType([*keys, T.StructField("admitted_us", T.LongType()), T.StructField("slot", T.LongType())])
+        if not named:
+            return self.spark.createDataFrame([], schema)
+        whole = T.StructType([*schema.fields, T.StructField("folder", T.StringType())])
+        return self.spark.read.schema(whole).option("basePath", self._window).parquet(*named).drop("folder")
+
     def _without_stored(self, ticks: DataFrame, earlier: list) -> DataFrame:
         unique = materialize(first_per(ticks, KEY_COLS, ["ingest_ts", *_tie_break(ticks)]))
         days = [r[0] for r in unique.select(F.unix_date(_utc_date(F.col("exchange_ts")))).distinct().collect()]
@@ -225,6 +253,22 @@ class TickTable:
         asked = F.col("batch_seq") < (2**62 if own is None else own)
         return rows.where(asked & (F.col("ingest_ts") >= F.timestamp_micros(F.lit(instant_us))))
 
+    def carried_keys(self, instant_us: int, writer: str, batch_id: int) -> DataFrame:
+        """Key and `ingest_ts` of ticks of batches before the given one that arrived at or after the instant.
+
+        Reads the keys by day of arrival instead of the data; a look-back beyond what a compaction kept goes to the data.
+        """
+        log = self._entries()
+        own = next((e.batch_seq for e in log if (e.writer, e.batch_id) == (writer, batch_id)), None)
+        recent = [e for e in log if (own is None or e.batch_seq < own) and e.n and e.last_ingest_us >= instant_us]
+        compacted = [e.last_ingest_us for e in log if e.n and e.folder.startswith("compacted-")]
+        if compacted and instant_us < _kept_from(max(compacted)):
+            return self.arrived_since(instant_us, writer, batch_id).select(*KEY_COLS, "ingest_ts")
+        rows = self._window_rows(recent)
+        asked = F.col("batch_seq") < (2**62 if own is None else own)
+        later = (F.col("slot") >= instant_us // DAY_US) & (F.col("admitted_us") >= instant_us)
+        return rows.where(asked & later).select(*KEY_COLS, F.timestamp_micros("admitted_us").alias("ingest_ts"))
+
     def register(self, name: str = "ticks") -> None:
         """Offer the committed rows to SQL under a name."""
         self.read().createOrReplaceTempView(name)
@@ -254,6 +298,10 @@ class TickTable:
         return rows.where(seqs & (F.col("exchange_date").isin(dates) if dates else F.lit(False)))
 
 
+def _kept_from(newest_us: int) -> int:
+    return newest_us - KEPT_DAYS * DAY_US
+
+
 def duplicate_keys(ticks: DataFrame, *extra: Column) -> DataFrame:
     """Keys that occur more than once, with the number of copies."""
     copies = ticks.groupBy(*KEY_COLS).agg(F.count(F.lit(1)).alias("copies"), *extra)

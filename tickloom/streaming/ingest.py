@@ -1,7 +1,7 @@
 """Streaming job with the same semantics as the batch job, exact across micro-batches and restarts.
 
-State: what was admitted within the last window. The table already holds it, so a micro-batch reads
-the batches that arrived since `first arrival - window` and needs no state store of its own. A batch
+State: what was admitted within the last window. The table holds the keys by day of arrival, so a micro-batch reads
+those that arrived since `first arrival - window`, from that day on, and needs no state store of its own. A batch
 only looks at batches stored before it, and is committed once under the stream's name and its id, so
 replaying it after a failure gives the same rows and no repeats.
 """
