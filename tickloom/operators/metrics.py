@@ -82,15 +82,22 @@ def interval_counts(flow_rows: DataFrame, interval: timedelta, quiet: bool = Fal
     Running totals are taken within a day and added to the totals of earlier days, so no task orders
     more than one day's intervals or one row per day.
     """
-    seconds = interval // timedelta(seconds=1)
-    if seconds < 1 or interval != timedelta(seconds=seconds):
-        raise ValueError("an interval must be a whole number of seconds")
-    length = f"{seconds} seconds"
-    deltas = (
+    return interval_totals(interval_deltas(flow_rows, interval), interval, quiet)
+
+
+def interval_deltas(flow_rows: DataFrame, interval: timedelta) -> DataFrame:
+    """What each counter gained per interval of arrival; intervals without a row are left out."""
+    length = f"{_whole_seconds(interval)} seconds"
+    return (
         flow_rows.withColumn("interval_start", F.window("ingest_ts", length).start)
         .transform(counter_totals, ["interval_start"])
         .select("interval_start", *[F.col(c).alias(f"{c}_delta") for c in COUNTERS])
     )
+
+
+def interval_totals(deltas: DataFrame, interval: timedelta, quiet: bool = False) -> DataFrame:
+    """Totals so far beside what each interval gained; `deltas` holds an interval once."""
+    seconds = _whole_seconds(interval)
     if quiet:
         deltas = _with_quiet(materialize(deltas), seconds)
     deltas = deltas.withColumn("_day", F.to_date("interval_start"))
@@ -111,6 +118,13 @@ def interval_counts(flow_rows: DataFrame, interval: timedelta, quiet: bool = Fal
     )
 
 
+def _whole_seconds(interval: timedelta) -> int:
+    seconds = interval // timedelta(seconds=1)
+    if seconds < 1 or interval != timedelta(seconds=seconds):
+        raise ValueError("an interval must be a whole number of seconds")
+    return seconds
+
+
 def _with_quiet(deltas: DataFrame, seconds: int) -> DataFrame:
     """The intervals from the first to the last, all of them."""
     first, last = deltas.agg(*[F.unix_seconds(f("interval_start")) for f in (F.min, F.max)]).first()
@@ -122,6 +136,36 @@ def _with_quiet(deltas: DataFrame, seconds: int) -> DataFrame:
     return every.join(deltas, "interval_start", "left").select("interval_start", *gained)
 
 
+class IntervalLog:
+    """What each interval of arrival gained, written batch by batch while a job or stream runs.
+
+    A batch adds a small table of the intervals it touches and replaces its own when it runs again. A report merges
+    those tables, so it costs intervals and batches, not ticks.
+    """
+
+    DDL = "interval_start timestamp, " + ", ".join(f"{c}_delta bigint" for c in COUNTERS)
+
+    def __init__(self, spark: SparkSession, path: str, interval: timedelta) -> None:
+        _whole_seconds(interval)
+        self.spark, self.path, self.interval = spark, path.rstrip("/"), interval
+
+    def record(self, batch_id: int, flow_rows: DataFrame, writer: str = "batch") -> None:
+        folder = f"writer={re.sub('[^A-Za-z0-9]+', '-', writer)}/batch_id={batch_id}"
+        gained = interval_deltas(flow_rows, self.interval)
+        gained.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
+    def report(self, quiet: bool = True) -> DataFrame:
+        """Deltas and running totals per interval, by default with those in which nothing arrived."""
+        try:
+            stored = self.spark.read.schema(f"{self.DDL}, writer string, batch_id bigint").parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = self.spark.createDataFrame([], self.DDL)
+        merged = stored.groupBy("interval_start").agg(*[F.sum(f"{c}_delta").alias(f"{c}_delta") for c in COUNTERS])
+        return interval_totals(merged, self.interval, quiet)
+
+
 class MetricsLog:
     """Append-only counter rows, one per writer and batch; totals are sums and never go down.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.operators.dedup import drop_recently_admitted, first_per, refused_rows, sliding_window_dedup
-from tickloom.operators.metrics import MetricsLog, Snapshot
+from tickloom.operators.metrics import IntervalLog, MetricsLog, Snapshot, flow
 from tickloom.operators.parse import classify_frames
 from tickloom.schema import KEY_COLS, TICK_COLS, IngestOptions, micros
 from tickloom.session import drop_path, materialize, scratch_path
@@ -94,6 +94,7 @@ def ingest_batch(
     quarantine_path: str | None,
     metrics: MetricsLog | None,
     staging_path: str,
+    intervals: IntervalLog | None = None,
 ) -> Snapshot:
     """One batch of tagged frames, by the batch job and by each micro-batch of the stream.
 
@@ -118,6 +119,11 @@ def ingest_batch(
         staged.rejects.write.mode("overwrite").parquet(target)
     counts = Snapshot(staged.received, refused + commit.repeated, commit.rows, staged.dropped, left_out)
     counts.check_conserved(frames)
+    if intervals:
+        outcome = staged.ticks.select("ingest_ts", F.lit(None).cast("string").alias("reason")).unionByName(
+            staged.rejects.select("ingest_ts", "reason")
+        )
+        intervals.record(batch_id, flow(outcome, admitted, ["ingest_ts"]), writer)
     if metrics:
         metrics.record(batch_id, counts, writer)
     return counts
@@ -132,6 +138,7 @@ def run_ingest(
     quarantine_path: str | None = None,
     metrics: MetricsLog | None = None,
     writer: str = "batch",
+    intervals: IntervalLog | None = None,
 ) -> Snapshot:
     """Run one batch from end to end and return its counters.
 
@@ -142,7 +149,8 @@ def run_ingest(
     path = scratch_path(frames.sparkSession, "staged")
     try:
         return ingest_batch(
-            tag_frames(frames, registry), table, writer, batch_id, options or IngestOptions(), quarantine_path, metrics, path
-        )
+            tag_frames(frames, registry), table, writer, batch_id, options or IngestOptions(), quarantine_path, metrics, path,
+            intervals,
+        )
     finally:
         drop_path(frames.sparkSession, path)

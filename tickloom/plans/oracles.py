@@ -131,6 +131,18 @@ opened AS (
   SELECT n.shard, n.place, n.following FROM opened o JOIN ordered n ON n.shard = o.shard AND n.place = o.following)""",
 )
 
+_QUIET = _feed(
+    """SELECT interval_ms, received_delta, CAST(sum(received_delta) OVER w AS BIGINT) AS received,
+  CAST(sum(written_delta) OVER w AS BIGINT) AS written, CAST(sum(dropped_delta) OVER w AS BIGINT) AS dropped
+FROM (SELECT slot * 600000 AS interval_ms, count(m.ingest_ms) FILTER (NOT is_dropped) AS received_delta,
+        count(*) FILTER (is_written) AS written_delta, count(*) FILTER (is_dropped) AS dropped_delta
+      FROM (SELECT unnest(range(min(ingest_ms) // 600000, max(ingest_ms) // 600000 + 1)) AS slot FROM marked)
+      LEFT JOIN marked m ON m.ingest_ms // 600000 = slot GROUP BY slot)
+WINDOW w AS (ORDER BY interval_ms)""",
+    _ticks_chain(60_000),
+    _COUNTERS,
+)
+
 _STORED = _feed(f"SELECT {_TICK} FROM first_seen", _FIRST)
 
 
@@ -186,17 +198,8 @@ FROM marked GROUP BY 1""",
             _ticks_chain(60_000),
             _COUNTERS.replace("SELECT j.exchange", "SELECT j.source, j.format, j.exchange"),
         ),
-        "metrics_quiet_intervals": _feed(
-            """SELECT interval_ms, received_delta, CAST(sum(received_delta) OVER w AS BIGINT) AS received,
-  CAST(sum(written_delta) OVER w AS BIGINT) AS written, CAST(sum(dropped_delta) OVER w AS BIGINT) AS dropped
-FROM (SELECT slot * 600000 AS interval_ms, count(m.ingest_ms) FILTER (NOT is_dropped) AS received_delta,
-        count(*) FILTER (is_written) AS written_delta, count(*) FILTER (is_dropped) AS dropped_delta
-      FROM (SELECT unnest(range(min(ingest_ms) // 600000, max(ingest_ms) // 600000 + 1)) AS slot FROM marked)
-      LEFT JOIN marked m ON m.ingest_ms // 600000 = slot GROUP BY slot)
-WINDOW w AS (ORDER BY interval_ms)""",
-            _ticks_chain(60_000),
-            _COUNTERS,
-        ),
+        "metrics_quiet_intervals": _QUIET,
+        "stream_quiet_intervals": _QUIET,
         "ingest_two_batches": _feed(f"SELECT {_TICK} FROM admitted", _ticks_chain(60_000)),
         "batch_then_stream": _feed(f"SELECT {_TICK} FROM admitted", _ticks_chain(60_000)),
         "stored_arrival_numbers": _feed("SELECT arrival_seq, symbol, source_id FROM admitted", _ticks_chain(60_000)),

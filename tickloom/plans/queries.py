@@ -17,7 +17,7 @@ from tickloom.functions.hashing import fnv1a64, shard_of
 from tickloom.operators.aligned_batches import aligned_batches
 from tickloom.operators.batching import write_batches
 from tickloom.operators.dedup import duplicate_counts, sliding_window_dedup
-from tickloom.operators.metrics import MetricsLog, counter_totals, flow, interval_counts
+from tickloom.operators.metrics import IntervalLog, MetricsLog, counter_totals, flow, interval_counts
 from tickloom.operators.parse import accepted, classify_frames, parse_as, parse_frames, rejected
 from tickloom.operators.routing import shard_counts, with_shard
 from tickloom.operators.silence import open_silence, source_silence
@@ -454,7 +454,7 @@ def _cuts(frames: DataFrame, parts: int) -> list[datetime]:
     return [datetime.fromtimestamp(us / 1e6, timezone.utc) for us in cuts]
 
 
-def _drain(spark: SparkSession, feed: str, table: TickTable, progress: str) -> None:
+def _drain(spark: SparkSession, feed: str, table: TickTable, progress: str, intervals: IntervalLog | None = None) -> None:
     running = start_ingest(
         stream_frames(spark, feed, max_files_per_trigger=1000),
         feed_registry(spark),
@@ -462,6 +462,7 @@ def _drain(spark: SparkSession, feed: str, table: TickTable, progress: str) -> N
         progress,
         IngestOptions(dedup_window=WINDOW),
         drain=True,
+        intervals=intervals,
     )
     if not await_drain(running, timedelta(minutes=30)):
         raise TimeoutError("the stream did not drain in time")
@@ -481,6 +482,22 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(table)
 
 
+@query
+def stream_quiet_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval totals that two runs of the stream wrote batch by batch, with the intervals in which nothing arrived."""
+    feed, progress = scratch_path(spark, "frames"), scratch_path(spark, "progress")
+    table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
+    log = IntervalLog(spark, scratch_path(spark, "intervals"), timedelta(minutes=10))
+    frames = _frames(spark, sf_dir).drop("format")
+    (cut,) = _cuts(frames, 2)
+    for part in (F.col("ingest_ts") < cut, F.col("ingest_ts") >= cut):
+        frames.where(part).write.mode("append").parquet(feed)
+        _drain(spark, feed, table, progress, log)
+    return log.report().select(
+        F.unix_millis("interval_start").alias("interval_ms"), *_long("received_delta", "received", "written", "dropped")
+    )
+
+
 @query
 def ingest_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the batch job, cut so that every repeat comes in the second."""

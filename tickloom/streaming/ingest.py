@@ -14,12 +14,13 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.metrics import MetricsLog
+from tickloom.operators.metrics import IntervalLog, MetricsLog
 from tickloom.plans.ingest import ingest_batch
 from tickloom.schema import KEY_COLS, IngestOptions
 from tickloom.session import scratch_path
 from tickloom.sources.registry import check_registry, join_registry
 from tickloom.sources.tick_table import TickTable
+from tickloom.streaming.counters import observed
 
 
 def start_ingest(
@@ -31,6 +32,7 @@ def start_ingest(
     quarantine_path: str | None = None,
     metrics: MetricsLog | None = None,
     drain: bool = False,
+    intervals: IntervalLog | None = None,
 ) -> StreamingQuery:
     """Start the job. With `drain` it takes everything available now and stops by itself.
 
@@ -40,22 +42,26 @@ def start_ingest(
     options = options or IngestOptions()
     table.create()
     enabled = check_registry(registry)
-    # The checkpoint is what makes two runs the same stream.
-    name = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+    name = stream_name(checkpoint)
     # Each micro-batch overwrites the staged rows of the one before it.
     stage_path = scratch_path(frames.sparkSession, "staged")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         tagged = join_registry(batch, registry, enabled)
-        ingest_batch(tagged, table, name, batch_id, options, quarantine_path, metrics, stage_path)
+        ingest_batch(tagged, table, name, batch_id, options, quarantine_path, metrics, stage_path, intervals)
 
-    writer = frames.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = observed(frames).writeStream.queryName(name).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if drain:
         return writer.trigger(availableNow=True).start()
     delay = options.batch_max_delay // timedelta(milliseconds=1)
     return writer.trigger(processingTime=f"{max(1, delay)} milliseconds").start()
 
 
+def stream_name(checkpoint: str) -> str:
+    """The stream's name as a writer and as a query; the checkpoint is what makes two runs the same stream."""
+    return f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+
+
 def await_drain(query: StreamingQuery, timeout: timedelta) -> bool:
     """Wait for the end of input; after the timeout stop the query and return False.
 
