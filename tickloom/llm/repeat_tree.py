@@ -19,6 +19,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ WINDOWS = 64
 # Occurrences (to a power of two per block) from which a hash is split by window.
 HOT = 1 << 15
 # Suffixes sorted at a time; strings of one hash stay together.
-SORTED = 200_000
+SORTED = 100_000
 CHUNK = 1 << 18
 LAST = 2**63 - 1
 C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -368,10 +369,19 @@ def _block(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, row.column("sizes").flatten().to_numpy(zero_copy_only=False), np.frombuffer(data, np.uint8)
 
 
+def _hand_back() -> None:
+    """Freed memory goes back to the system; a worker would otherwise keep the most that it ever held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1)
+            _hand_back()
 
 
 def _sent_hashes(size: int, buckets: int):
@@ -532,7 +542,8 @@ def _grouped(size: int, everything: bool):
             got = interval_groups(content, np.cumsum(length) - length, length, low[begin:end], held[begin:end], size)
             found.append(sent_back(got, begin, end, groups))
             groups += int(got[4].max(initial=-1)) + 1
-        del raw, words, starts
+        del raw, words, starts, least, notes
+        _hand_back()
         row, offset, length, lowest, group = (np.concatenate(c) for c in zip(*found, strict=True))
         back, kept, blocks = [], [], table.column("block").to_pylist()
         for i, at in _by_bucket(block[row], len(parts)):
