@@ -108,7 +108,7 @@ def test_many_sequences_keep_their_own_values(spark, docs):
     model = kn.train_model(frame)
     brute = brute_model(rows, kn.ORDER)
     raw = np.frombuffer(texts[0].encode(), np.uint8)
-    found = model.log_probs(raw, np.array([0, len(raw)]), np.array([kn_language(spark, "en")]), model.unfolded())
+    found = own_log_probs(spark, model, raw, "en")
     padded = b"\0" * (kn.ORDER - 1) + texts[0].encode()
     want = [math.log(brute["en", padded[i : i + kn.ORDER]]) for i in range(len(raw))]
     assert np.allclose(found, want, rtol=1e-4)
@@ -124,7 +124,7 @@ def test_languages_are_whole_tags(spark, docs):
     model = kn.train_model(frame)
     for tag, text in (rows[0], rows[9], rows[17], rows[25]):
         raw = np.frombuffer(text.encode(), np.uint8)
-        made = model.log_probs(raw, np.array([0, len(raw)]), np.array([kn_language(spark, tag)]), model.unfolded())
+        made = own_log_probs(spark, model, raw, tag)
         padded = b"\0" * (kn.ORDER - 1) + text.encode()
         assert np.allclose(made, [math.log(brute[tag, padded[i : i + kn.ORDER]]) for i in range(len(raw))], rtol=1e-4)
 
@@ -133,6 +133,47 @@ def kn_language(spark, tag):
     return spark.createDataFrame([(tag,)], "lang string").select(kn.language_id("lang")).first()[0]
 
 
+def own_log_probs(spark, model, raw, tag):
+    """Log probability of each byte, from the values that the model gives for the text's distinct sequences."""
+    lang, wanted = kn_language(spark, tag), np.unique(kn.grams(raw, np.array([0, len(raw)]))).astype(np.int64)
+    frame = spark.createDataFrame([(lang, int(g)) for g in wanted], "lang long, gram long")
+    values = {r.gram: r.v for r in model.values(frame).collect()}
+    block = kn.BlockValues(np.full(len(wanted), lang), wanted, np.array([values[g] for g in wanted.tolist()]))
+    return block.log_probs(raw, np.array([0, len(raw)]), np.array([lang]))
+
+
+def test_blocks_of_any_size_give_the_same_scores(spark, docs, monkeypatch):
+    rows = [(i, prose(i, 40 + 7 * i), ("en", "de", None)[i % 3]) for i in range(30)] + [(90, None), (91, ""), (92, prose(1, 9000)), (92, "x")]
+    frame = docs(rows)
+    whole = sorted(tuple(r) for r in kn.judge_quality(frame, keep=["doc_id", "text", "lang"]).collect() if r.text)
+    monkeypatch.setattr(kn, "BLOCK_BYTES", 2000)
+    small = kn.judge_quality(frame, keep=["doc_id", "text", "lang"]).collect()
+    tagged = [(i, t, *(lang or ["en"])) for i, t, *lang in rows]
+    assert sorted(map(str, tagged)) == sorted(str((r.doc_id, r.text, r.lang)) for r in small)
+    left = sorted(tuple(r) for r in small if r.text)
+    for one, two in zip(whole, left, strict=True):
+        assert one[:-3] == two[:-3] and one[-3:] == pytest.approx(two[-3:], rel=1e-6)
+
+
+def test_unseen_values_against_dictionaries(spark, docs):
+    """Falling back by joins gives what the model's own tables say for shorter sequences."""
+    model = kn.train_model(docs([(i, prose(i, 60)) for i in range(6)]))
+    lang = kn_language(spark, "en")
+    made = {size: {r.gram: r.p for r in rows.collect()} for size, rows in model.made.items()}
+    backs = {size - 1: {r.context: r.back for r in rows.collect()} for size, rows in model.made.items()}
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"etaqzZ9 .", np.uint8)
+    wanted = sorted({int.from_bytes(rng.choice(letters, 4).tobytes(), "big") for _ in range(400)} - made[4].keys())
+    frame = spark.createDataFrame([(lang, g) for g in wanted], "lang long, gram long")
+    found = {r.gram: r.v for r in model.unseen_values(frame).collect()}
+    for g in wanted:
+        value = 1 / 256
+        for size in range(1, 5):
+            own, context = g & (1 << 8 * size) - 1, g >> 8 & (1 << 8 * (size - 1)) - 1
+            value = made[size].get(own, backs[size - 1].get(context, 1.0) * value)
+        assert found[g] == pytest.approx(math.log(value), rel=1e-5)
+
+
 def test_unseen_sequences_fall_back(spark, docs):
     model = kn.train_model(docs([(i, prose(i, 60)) for i in range(10)]))
     other = kn.score_texts(docs([(1, prose(99, 60)), (2, "QWXZ @@ 8459 " * 20)]), model, keep=["doc_id"])

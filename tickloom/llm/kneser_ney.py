@@ -3,9 +3,12 @@
 Spark counts every byte sequence of length ORDER in all texts, per language. Modified Kneser-Ney smoothing is worked out
 on those counts with windows and joins: each length has three discounts from its counts of counts, and shorter
 sequences count the distinct ones they end. A longest sequence that occurs once in all texts is scored as unseen, or
-every text would vouch for its own oddities. What scoring needs is one number per sequence and one per context. They are
-kept in arrays sorted by language and sequence, compared in full on look-up, and grow with the corpus. Longest sequences
-that occur once are left out: falling back from them gives their value.
+every text would vouch for its own oddities.
+
+Nothing of the model passes through the driver or is broadcast. Texts are dealt to blocks of about BLOCK_BYTES; a block hands
+on its distinct sequences once, which are counted for the model and joined with the model's values, and the values of a
+block come back to it as arrays sorted by language and sequence, compared in full on look-up. A block's distinct sequences
+are at most its bytes.
 
 A text's perplexity is the median over stretches of it, and must lie in its language's band. On the log scale the band
 begins BELOW times the distance of the quartiles under the lower one and ends ABOVE times it over the upper one. Null or
@@ -20,23 +23,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tickloom.llm.common import as_text, byte_texts, map_text, slices, text_buffers
+from tickloom.llm.common import as_text, byte_texts, slices, text_buffers
 from tickloom.llm.text_counts import duplicate_lines, repeated_words, symbol_count, word_chars, word_ids
-from tickloom.session import broadcast_if_small, materialize
+from tickloom.session import broadcast_if_small, drop_path, materialize, scratch_path
 
 ORDER = 4
-# Distinct sequences a task holds before it hands them on; counts of one sequence are added up by Spark.
-HELD = 400_000
+# Text of a block; one longer text makes a block of its own.
+BLOCK_BYTES = 8 << 20
 # Bytes of a stretch; a text's perplexity is that of its middle stretch.
 STRETCH = 128
 # How far a band reaches beyond the quartiles, in their distance. Copies of a text make it look likelier, so the band
 # reaches farther down.
 BELOW, ABOVE = 8.0, 4.0
-COUNT_DDL = "lang long, gram long, n long"
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,46 +65,81 @@ def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys * _SPREAD >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, gram, n) over all texts; each task adds up its own before Spark adds up all."""
+class _Block:
+    """Distinct sequences of the texts met so far, by language in order of appearance, and how often each occurs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
-        # Languages by their order of appearance in this task.
-        places: dict[int, int] = {}
+    def __init__(self) -> None:
+        self.places: dict[int, int] = {}
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.bytes = 0
+
+    def add(self, raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray) -> None:
+        self.bytes += len(raw)
+        tags, at = np.unique(lang, return_inverse=True)
+        own = np.array([self.places.setdefault(tag, len(self.places)) for tag in tags.tolist()], np.uint64)
+        distinct, n = np.unique(_keys(np.repeat(own[at], np.diff(offsets)), grams(raw, offsets)), return_counts=True)
+        self.keys.append(distinct)
+        self.counts.append(n)
 
-        def added_up() -> tuple[np.ndarray, np.ndarray]:
-            distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-            return distinct, np.bincount(at, np.concatenate(counts)).astype(np.int64)
+    def sequences(self) -> list[np.ndarray]:
+        """Languages, sequences and counts, sorted by place of the language and sequence."""
+        distinct, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        n = np.bincount(at, np.concatenate(self.counts), len(distinct)).astype(np.int64)
+        tags = np.array([*self.places], np.int64)
+        return [tags[(distinct >> np.uint64(32)).astype(np.int64)], (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64), n]
 
-        def give() -> pa.RecordBatch:
-            distinct, n = keys[0], counts[0]
-            columns = [np.array([*places], np.int64)[distinct >> np.uint64(32)], (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64), n]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["lang", "gram", "n"])
+
+LISTS = ("langs", "grams", "counts")
+
+
+def text_blocks(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFrame:
+    """Every row with the `_block` it is dealt to, and after a block's rows one with its distinct sequences in `langs`,
+    `grams` and `counts`, which are null elsewhere. Kept columns are named `_k0` and so on, a kept text only has `_null`."""
+    kept = [F.col(n).alias(f"_k{i}") for i, n in enumerate(keep) if n != text]
+    source = docs.select(
+        *kept, language_id(lang).alias("lang_id"), F.col(text).isNull().alias("_null"), as_text(text).alias("_text")
+    )
+    longs = T.ArrayType(T.LongType(), False)
+    lists = [T.StructField(n, longs) for n in LISTS]
+    loose = [T.StructField(f.name, f.dataType) for f in source.schema.fields]
+    schema = T.StructType([T.StructField("_block", T.LongType(), False), *loose, *lists])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        block, kinds = _Block(), []
+
+        def closed() -> pa.RecordBatch:
+            nonlocal block, number
+            rows = [pa.ListArray.from_arrays([0, len(x)], pa.array(x, pa.int64())) for x in block.sequences()]
+            columns = [pa.array([number], pa.int64()), *(pa.nulls(1, kind) for kind in kinds), *rows]
+            block, number = _Block(), number + 1
+            return pa.RecordBatch.from_arrays(columns, schema.names)
 
         for batch in batches:
+            kinds = batch.schema.types
             for part in slices(batch, "_text"):
-                raw, offsets = text_buffers(part.column("_text"))
-                tags, at = np.unique(part.column("lang").to_numpy(), return_inverse=True)
-                own = np.array([places.setdefault(tag, len(places)) for tag in tags.tolist()], np.uint64)
-                language = np.repeat(own[at], np.diff(offsets))
-                distinct, n = np.unique(language << np.uint64(32) | grams(raw, offsets), return_counts=True)
-                keys.append(distinct)
-                counts.append(n)
-                held += len(distinct)
-                if held > HELD:
-                    merged = added_up()
-                    keys, counts, held = [merged[0]], [merged[1]], len(merged[0])
-                    if held > HELD // 2:
-                        yield give()
-                        keys, counts, held = [], [], 0
-        if keys:
-            merged = added_up()
-            keys, counts = [merged[0]], [merged[1]]
-            yield give()
-
-    source = docs.select(language_id(lang).alias("lang"), as_text(text).alias("_text"))
-    return source.mapInArrow(run, COUNT_DDL).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
+                block.add(*text_buffers(part.column("_text")), part.column("lang_id").to_numpy())
+                none = [pa.nulls(part.num_rows, pa.list_(pa.int64()))] * len(LISTS)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, number)), *part.columns, *none], schema.names)
+                if block.bytes >= BLOCK_BYTES:
+                    yield closed()
+        if block.bytes:
+            yield closed()
+
+    return source.mapInArrow(run, schema)
+
+
+def _sequences(blocks: DataFrame) -> DataFrame:
+    """(_block, at, lang, gram, n): the distinct sequences of each block and their places in its lists."""
+    listed = blocks.where(F.col("grams").isNotNull())
+    zipped = listed.select("_block", F.posexplode(F.arrays_zip(*LISTS)).alias("at", "s"))
+    return zipped.select("_block", "at", F.col("s.langs").alias("lang"), F.col("s.grams").alias("gram"), F.col("s.counts").alias("n"))
+
+
+def count_grams(blocks: DataFrame) -> DataFrame:
+    """(lang, gram, c) over all texts; each block has added up its own before Spark adds up all."""
+    return _sequences(blocks).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
 
 
 def _keys(language: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -110,63 +149,56 @@ def _keys(language: np.ndarray, gram: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class SequenceModel:
-    """Sorted languages; sorted keys and their values: log probability by sequence length, log back-off weight by context length."""
-
-    languages: np.ndarray
-    grams: dict[int, tuple[np.ndarray, np.ndarray]]
-    contexts: dict[int, tuple[np.ndarray, np.ndarray]]
-
-    def unfolded(self) -> np.ndarray:
-        """Places of the longest sequences by a hash of their keys, for the many look-ups of one task."""
-        keys, _ = self.grams[ORDER]
-        bits = len(keys).bit_length() + 1
-        table = np.zeros(1 << bits, np.int32 if len(keys) < 1 << 31 else np.int64)
-        table[_slots(keys, bits)] = np.arange(len(keys))
-        return table
-
-    def log_probs(self, raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray, top: np.ndarray) -> np.ndarray:
-        """Log probability of each byte after those before it; `top` is `unfolded()`."""
-        whole = grams(raw, offsets)
-        place = np.searchsorted(self.languages, lang)
-        if len(self.languages):
-            known = self.languages[np.minimum(place, len(self.languages) - 1)] == lang
-            place = np.where(known, place, len(self.languages))
-        language = np.repeat(place.astype(np.uint32), np.diff(offsets))
-        value, seen = _find(self.grams[ORDER], _keys(language, whole), top)
-        missing = np.flatnonzero(~seen)
-        weight = np.zeros(len(missing))
-        for size in range(ORDER - 1, -1, -1):
-            if not len(missing):
-                break
-            # Fall back from size + 1 bytes to size: the weight of the context, then the shorter sequence.
-            context = whole[missing] >> np.uint32(8) & np.uint32((1 << 8 * size) - 1)
-            back, known = _find(self.contexts[size], _keys(language[missing], context))
-            weight += np.where(known, back, 0.0)
-            if size == 0:
-                value[missing] = weight - np.log(256)
-                break
-            shorter = whole[missing] & np.uint32((1 << 8 * size) - 1)
-            found, seen = _find(self.grams[size], _keys(language[missing], shorter))
-            value[missing[seen]] = found[seen] + weight[seen]
-            missing, weight = missing[~seen], weight[~seen]
-        return value
+    """Tables by sequence length: (lang, gram, context, c, back, p) with the probability `p` of a sequence's last byte after the
+    others and the weight `back` of falling back from its context."""
+
+    made: dict[int, DataFrame]
 
+    def values(self, wanted: DataFrame) -> DataFrame:
+        """`wanted`, which has `lang` and `gram`, with the log probability `v` of each longest sequence."""
+        longest = self.made[ORDER].select("lang", "gram", F.log("p").cast("float").alias("v"))
+        return wanted.join(longest, ["lang", "gram"], "left")
 
-def _find(
-    store: tuple[np.ndarray, np.ndarray], wanted: np.ndarray, table: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Values of the wanted keys and which are there; a table of places by hash saves most searches."""
-    keys, values = store
-    if not len(keys):
-        return np.zeros(len(wanted), np.float32), np.zeros(len(wanted), bool)
-    if table is None:
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    else:
-        at = table[_slots(wanted, len(table).bit_length() - 1)]
+    def unseen_values(self, wanted: DataFrame) -> DataFrame:
+        """(lang, gram, v) for sequences that no text had: fall back to shorter ones, byte by byte."""
+        rows = wanted.select("lang", "gram").distinct().select(
+            "lang", "gram", F.lit(None).cast("double").alias("v"), F.lit(0.0).alias("weight")
+        )
+        for size in range(ORDER - 1, -1, -1):
+            # From size + 1 bytes to size: the weight of the context, then the shorter sequence.
+            mask = (1 << 8 * size) - 1
+            back = self.made[size + 1].groupBy("lang", "context").agg(F.log(F.max("back")).alias("more"))
+            rows = rows.withColumn("context", F.shiftright("gram", 8).bitwiseAND(mask)).join(back, ["lang", "context"], "left")
+            weight = F.col("weight") + F.coalesce("more", F.lit(0.0))
+            rows = rows.select("lang", "gram", "v", F.when(F.col("v").isNull(), weight).otherwise(F.col("weight")).alias("weight"))
+            if size:
+                shorter = self.made[size].select("lang", F.col("gram").alias("suffix"), F.log("p").alias("own"))
+                rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(mask)).join(shorter, ["lang", "suffix"], "left")
+                rows = rows.select("lang", "gram", F.coalesce("v", F.col("own") + F.col("weight")).alias("v"), "weight")
+        return rows.select("lang", "gram", F.coalesce("v", F.col("weight") - F.log(F.lit(256.0))).cast("float").alias("v"))
+
+
+class BlockValues:
+    """A block's sequences and their log probabilities, with places by a hash of the key for the many look-ups."""
+
+    def __init__(self, langs: np.ndarray, gram: np.ndarray, values: np.ndarray) -> None:
+        new = np.flatnonzero(np.append(True, langs[1:] != langs[:-1])) if len(langs) else np.empty(0, np.int64)
+        self.places = {tag: i for i, tag in enumerate(langs[new].tolist())}
+        size = np.diff(np.append(new, len(langs)))
+        self.keys, self.values = _keys(np.repeat(np.arange(len(new)), size), gram), values
+        self.bits = len(gram).bit_length() + 1
+        self.table = np.zeros(1 << self.bits, np.int32)
+        self.table[_slots(self.keys, self.bits)] = np.arange(len(gram))
+
+    def log_probs(self, raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """Log probability of each byte after those before it, in texts of this block."""
+        place = np.array([self.places.get(tag, 0) for tag in lang.tolist()], np.int64)
+        wanted = _keys(np.repeat(place, np.diff(offsets)), grams(raw, offsets))
+        at = self.table[_slots(wanted, self.bits)]
         # Keys that share a slot are searched for.
-        other = np.flatnonzero(keys[at] != wanted)
-        at[other] = np.minimum(np.searchsorted(keys, wanted[other]), len(keys) - 1)
-    return values[at], keys[at] == wanted
+        other = np.flatnonzero(self.keys[at] != wanted)
+        at[other] = np.searchsorted(self.keys, wanted[other])
+        return self.values[at]
 
 
 def _discounts(types: DataFrame) -> list[float]:
@@ -182,7 +214,12 @@ def _discounts(types: DataFrame) -> list[float]:
 
 def train_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> SequenceModel:
     """Count all texts and smooth the counts."""
-    types = {ORDER: materialize(count_grams(docs, text, lang))}
+    return smoothed(count_grams(text_blocks(docs, text, lang, [])))
+
+
+def smoothed(counts: DataFrame) -> SequenceModel:
+    """The model of counted longest sequences (lang, gram, c)."""
+    types = {ORDER: materialize(counts)}
     for size in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << 8 * size) - 1)
         types[size] = types[size + 1].groupBy("lang", suffix.alias("gram")).agg(F.count(F.lit(1)).alias("c"))
@@ -213,22 +250,7 @@ def train_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> Sequ
                 .withColumn("p", F.when(alone, 0.0).otherwise(F.col("own")) + F.col("back") * F.col("lower"))
             )
         made[size] = materialize(rows.select("lang", "gram", "context", "c", "back", "p"))
-    languages = np.sort(types[1].select("lang").distinct().toArrow().column("lang").to_numpy())
-    often = {size: rows.where(F.col("c") > 1) if size == ORDER else rows for size, rows in made.items()}
-    contexts = {size: rows.groupBy("lang", "context").agg(F.max("back").alias("back")) for size, rows in made.items()}
-    return SequenceModel(
-        languages,
-        {size: _stored(rows, languages, "gram", "p") for size, rows in often.items()},
-        {size - 1: _stored(rows, languages, "context", "back") for size, rows in contexts.items()},
-    )
-
-
-def _stored(rows: DataFrame, languages: np.ndarray, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and log values of all rows; they are gathered on the driver."""
-    table = rows.select("lang", key, F.log(value).cast("float").alias("v")).toArrow()
-    keys = _keys(np.searchsorted(languages, table.column("lang").to_numpy()), table.column(key).to_numpy())
-    order = np.argsort(keys)
-    return keys[order], table.column("v").to_numpy()[order]
+    return SequenceModel(made)
 
 
 SCORE_FIELDS = [
@@ -241,7 +263,7 @@ SCORE_FIELDS = [
 ]
 
 
-def _log_perplexity(column: pa.Array, lang: np.ndarray, model: SequenceModel, top: np.ndarray) -> np.ndarray:
+def _log_perplexity(column: pa.Array, lang: np.ndarray, model: BlockValues) -> np.ndarray:
     """Middle value over a text's stretches, so that a quotation in another tongue does not decide."""
     raw, offsets = text_buffers(column)
     value = np.zeros(len(column))
@@ -254,7 +276,7 @@ def _log_perplexity(column: pa.Array, lang: np.ndarray, model: SequenceModel, to
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
     start = offsets[doc] + nth * size[doc] // parts[doc]
     length = np.diff(np.append(start, len(raw)))
-    mean = -np.add.reduceat(model.log_probs(raw, offsets, lang, top).astype(np.float64), start) / length
+    mean = -np.add.reduceat(model.log_probs(raw, offsets, lang).astype(np.float64), start) / length
     order = np.lexsort((mean, doc))
     first = np.cumsum(parts) - parts
     some = np.flatnonzero(parts)
@@ -263,46 +285,67 @@ def _log_perplexity(column: pa.Array, lang: np.ndarray, model: SequenceModel, to
     return value
 
 
-def score_texts(
-    docs: DataFrame, model: SequenceModel, text: str = "text", lang: str = "lang", keep: list[str] | None = None,
-    with_counts: bool = True,
-) -> DataFrame:
-    """Kept columns, `lang_id`, the plain counts (unless left out) and the log perplexity of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = list(keep or [])
-    fields = SCORE_FIELDS if with_counts else SCORE_FIELDS[-1:]
-    clash = {"lang_id", *(f.name for f in fields)} & set(names)
+def score_blocks(blocks: DataFrame, valued: DataFrame, text: str, keep: list[str], kinds: dict[str, T.DataType]) -> DataFrame:
+    """Kept columns, `lang_id`, the plain counts and the log perplexity of each text of written blocks, whose
+    sequences come with their values `v`."""
+    clash = {"lang_id", *(f.name for f in SCORE_FIELDS)} & set(keep)
     if clash:
         raise ValueError(f"columns would clash: {sorted(clash)}")
-    source = docs.select(*names, language_id(lang).alias("lang_id"), as_text(text).alias("_text"))
-    schema = T.StructType([*source.drop("_text").schema.fields, *fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        top = own.unfolded()
-        for batch in batches:
+    rows = blocks.where(F.col("grams").isNull()).drop(*LISTS)
+    schema = T.StructType([*(T.StructField(n, kinds[n]) for n in keep), T.StructField("lang_id", T.LongType(), False), *SCORE_FIELDS])
+
+    def run(docs: pa.Table, values: pa.Table) -> pa.Table:
+        values = values.sort_by("at")
+        block = BlockValues(*(values.column(n).to_numpy() for n in ("lang", "gram", "v")))
+        made = []
+        for batch in docs.combine_chunks().to_batches():
             for part in slices(batch, "_text"):
-                column = part.column("_text")
-                made = [pa.array(_log_perplexity(column, part.column("lang_id").to_numpy(), own, top))]
-                if with_counts:
-                    rows = []
-                    for raw in byte_texts(column):
-                        words = raw.split()
-                        repeats = repeated_words(word_ids(words)) if len(words) > 3 else 0
-                        rows.append((len(words), word_chars(raw), symbol_count(raw), duplicate_lines(raw), repeats))
-                    made = [*(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), *made]
-                kept = [part.column(i) for i in range(len(names) + 1)]
-                yield pa.RecordBatch.from_arrays([*kept, *made], [f.name for f in schema.fields])
+                column, tags = part.column("_text"), part.column("lang_id")
+                rows = []
+                for raw in byte_texts(column):
+                    words = raw.split()
+                    repeats = repeated_words(word_ids(words)) if len(words) > 3 else 0
+                    rows.append((len(words), word_chars(raw), symbol_count(raw), duplicate_lines(raw), repeats))
+                counts = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                given = pa.array(column.to_pylist(), mask=part.column("_null").to_numpy(zero_copy_only=False), type=column.type)
+                kept = [given if n == text else part.column(f"_k{i}") for i, n in enumerate(keep)]
+                value = pa.array(_log_perplexity(column, tags.to_numpy(), block))
+                made.append(pa.RecordBatch.from_arrays([*kept, tags, *counts, value], schema.names))
+        if made:
+            return pa.Table.from_batches(made)
+        return pa.table([[] for _ in schema.names], names=schema.names).cast(to_arrow_schema(schema))
+
+    own = valued.select(F.col("_block").alias("_of"), "at", "lang", "gram", "v")
+    return rows.groupBy("_block").cogroup(own.groupBy("_of")).applyInArrow(run, schema)
+
+
+def _written_blocks(docs: DataFrame, text: str, lang: str, keep: list[str]) -> tuple[str, DataFrame]:
+    path = scratch_path(docs.sparkSession, "text-blocks")
+    text_blocks(docs, text, lang, keep).write.parquet(path)
+    return path, docs.sparkSession.read.parquet(path)
 
-    return source.mapInArrow(run, schema)
 
+def _kinds(docs: DataFrame, text: str) -> dict[str, T.DataType]:
+    return {f.name: T.StringType() if f.name == text else f.dataType for f in docs.schema.fields}
 
-def perplexity_bands(
-    docs: DataFrame, model: SequenceModel, below: float, above: float, text: str = "text", lang: str = "lang"
+
+def score_texts(
+    docs: DataFrame, model: SequenceModel, text: str = "text", lang: str = "lang", keep: list[str] | None = None
 ) -> DataFrame:
+    """Kept columns, `lang_id`, the plain counts and the log perplexity of each text, seen before or not."""
+    names = list(keep or [])
+    blocks = _written_blocks(docs, text, lang, names)[1]
+    valued = materialize(model.values(_sequences(blocks)))
+    missing = valued.where(F.col("v").isNull()).drop("v")
+    late = missing.join(model.unseen_values(missing), ["lang", "gram"])
+    valued = valued.where(F.col("v").isNotNull()).unionByName(late)
+    return score_blocks(blocks, valued, text, names, _kinds(docs, text))
+
+
+def perplexity_bands(scored: DataFrame, below: float, above: float) -> DataFrame:
     """(lang_id, lower, upper) of the log perplexity, from the quartiles over all texts that are not empty."""
-    scored = score_texts(docs.where(F.length(as_text(text)) > 0), model, text, lang, with_counts=False)
-    quartiles = scored.groupBy("lang_id").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 2000).alias("q"))
+    some = scored.where("log_perplexity > 0")
+    quartiles = some.groupBy("lang_id").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 2000).alias("q"))
     low, high = F.col("q")[0], F.col("q")[1]
     return quartiles.select(
         "lang_id", (low - below * (high - low)).alias("lower"), (high + above * (high - low)).alias("upper")
@@ -315,11 +358,17 @@ def judge_quality(
 ) -> DataFrame:
     """Kept columns, the plain counts, `perplexity`, its band, `base_failed` and `kept`."""
     names = list(keep or ["doc_id"])
-    model = train_model(docs, text, lang)
-    bands = perplexity_bands(docs, model, below, above, text, lang)
+    spark = docs.sparkSession
+    blocks_path, blocks = _written_blocks(docs, text, lang, names)
+    model = smoothed(count_grams(blocks))
+    path = scratch_path(spark, "scored-texts")
+    # The model was made of these texts, so it has a value for each of their sequences.
+    score_blocks(blocks, model.values(_sequences(blocks)), text, names, _kinds(docs, text)).write.parquet(path)
+    drop_path(spark, blocks_path)
+    scored = spark.read.parquet(path)
+    bands = perplexity_bands(scored, below, above)
     bands = materialize(bands.select("lang_id", F.array("lower", "upper").alias("_band")))
     bands = broadcast_if_small(bands, bands.count())
-    scored = score_texts(docs, model, text, lang, names)
     columns = [F.col(f.name) for f in SCORE_FIELDS[:-1]]
     n_words, repeats, value = F.col("n_words"), F.col("n_repeat_words"), F.col("log_perplexity")
     failed = (n_words < 50) | (100 * repeats > 50 * n_words)
