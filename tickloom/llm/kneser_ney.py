@@ -18,6 +18,7 @@ the whole tag.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +37,8 @@ from tickloom.session import broadcast_if_small, drop_path, materialize, scratch
 ORDER = 4
 # Text of a block; one longer text makes a block of its own.
 BLOCK_BYTES = 8 << 20
+# Spark allows 100,000 buckets; blocks are spread over fewer, whatever their number.
+MOST_BUCKETS = 50_000
 # Bytes of a stretch; a text's perplexity is that of its middle stretch.
 STRETCH = 128
 # How far a band reaches beyond the quartiles, in their distance. Copies of a text make it look likelier, so the band
@@ -137,9 +140,9 @@ def _sequences(blocks: DataFrame) -> DataFrame:
     return zipped.select("_block", "at", F.col("s.langs").alias("lang"), F.col("s.grams").alias("gram"), F.col("s.counts").alias("n"))
 
 
-def count_grams(blocks: DataFrame) -> DataFrame:
+def count_grams(sequences: DataFrame) -> DataFrame:
     """(lang, gram, c) over all texts; each block has added up its own before Spark adds up all."""
-    return _sequences(blocks).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
+    return sequences.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
 
 
 def _keys(language: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -214,7 +217,7 @@ def _discounts(types: DataFrame) -> list[float]:
 
 def train_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> SequenceModel:
     """Count all texts and smooth the counts."""
-    return smoothed(count_grams(text_blocks(docs, text, lang, [])))
+    return smoothed(count_grams(_sequences(text_blocks(docs, text, lang, []))))
 
 
 def smoothed(counts: DataFrame) -> SequenceModel:
@@ -319,10 +322,24 @@ def score_blocks(blocks: DataFrame, valued: DataFrame, text: str, keep: list[str
     return rows.groupBy("_block").cogroup(own.groupBy("_of")).applyInArrow(run, schema)
 
 
-def _written_blocks(docs: DataFrame, text: str, lang: str, keep: list[str]) -> tuple[str, DataFrame]:
-    path = scratch_path(docs.sparkSession, "text-blocks")
-    text_blocks(docs, text, lang, keep).write.parquet(path)
-    return path, docs.sparkSession.read.parquet(path)
+def _written_blocks(docs: DataFrame, text: str, lang: str, keep: list[str]) -> tuple[str, str]:
+    """Name and path of the blocks as a table in buckets by block, so that texts need not move again to meet their values."""
+    spark = docs.sparkSession
+    name, path = f"text_blocks_{uuid.uuid4().hex}", scratch_path(spark, "text-blocks")
+    buckets = min(2 * max(docs.rdd.getNumPartitions(), 1), MOST_BUCKETS)
+    writer = text_blocks(docs, text, lang, keep).write.option("compression", "zstd").option("path", path)
+    writer.bucketBy(buckets, "_block").saveAsTable(name)
+    return name, path
+
+
+def _scored(blocks: tuple[str, str], valued: DataFrame, text: str, keep: list[str], docs: DataFrame) -> DataFrame:
+    """Scores of written blocks, which are deleted then."""
+    spark, (name, path) = docs.sparkSession, blocks
+    made = scratch_path(spark, "scored-texts")
+    score_blocks(spark.table(name), valued, text, keep, _kinds(docs, text)).write.option("compression", "zstd").parquet(made)
+    spark.sql(f"DROP TABLE {name}")
+    drop_path(spark, path)
+    return spark.read.parquet(made)
 
 
 def _kinds(docs: DataFrame, text: str) -> dict[str, T.DataType]:
@@ -334,12 +351,12 @@ def score_texts(
 ) -> DataFrame:
     """Kept columns, `lang_id`, the plain counts and the log perplexity of each text, seen before or not."""
     names = list(keep or [])
-    blocks = _written_blocks(docs, text, lang, names)[1]
-    valued = materialize(model.values(_sequences(blocks)))
+    blocks = _written_blocks(docs, text, lang, names)
+    valued = materialize(model.values(_sequences(docs.sparkSession.table(blocks[0]))))
     missing = valued.where(F.col("v").isNull()).drop("v")
     late = missing.join(model.unseen_values(missing), ["lang", "gram"])
     valued = valued.where(F.col("v").isNotNull()).unionByName(late)
-    return score_blocks(blocks, valued, text, names, _kinds(docs, text))
+    return _scored(blocks, valued, text, names, docs)
 
 
 def perplexity_bands(scored: DataFrame, below: float, above: float) -> DataFrame:
@@ -358,14 +375,11 @@ def judge_quality(
 ) -> DataFrame:
     """Kept columns, the plain counts, `perplexity`, its band, `base_failed` and `kept`."""
     names = list(keep or ["doc_id"])
-    spark = docs.sparkSession
-    blocks_path, blocks = _written_blocks(docs, text, lang, names)
-    model = smoothed(count_grams(blocks))
-    path = scratch_path(spark, "scored-texts")
+    blocks = _written_blocks(docs, text, lang, names)
+    sequences = _sequences(docs.sparkSession.table(blocks[0]))
+    model = smoothed(count_grams(sequences))
     # The model was made of these texts, so it has a value for each of their sequences.
-    score_blocks(blocks, model.values(_sequences(blocks)), text, names, _kinds(docs, text)).write.parquet(path)
-    drop_path(spark, blocks_path)
-    scored = spark.read.parquet(path)
+    scored = _scored(blocks, model.values(sequences), text, names, docs)
     bands = perplexity_bands(scored, below, above)
     bands = materialize(bands.select("lang_id", F.array("lower", "upper").alias("_band")))
     bands = broadcast_if_small(bands, bands.count())
