@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tickloom.llm import simhash_links as sh
 from tickloom.llm.queries import op5_simhash_links
@@ -68,10 +69,11 @@ def test_embedding_distance_is_a_lower_bound():
     assert (np.bitwise_count(sh.embedding(a) ^ sh.embedding(b)) <= np.bitwise_count(a ^ b)).all()
 
 
+@pytest.mark.parametrize("equal", [2, 3, 4, 6])
 @pytest.mark.parametrize("most", [0, 1, 4])
-def test_near_pairs_share_a_grid_cell(most):
+def test_near_pairs_share_a_grid_cell(most, equal):
     rng = random.Random(most)
-    masks = sh.grid_masks(most)
+    masks = sh.grid_masks(most, equal)
     for _ in range(500):
         a = rng.getrandbits(64)
         b = a
@@ -81,11 +83,47 @@ def test_near_pairs_share_a_grid_cell(most):
         assert any(one & m == two & m for m in masks)
 
 
+def test_meetings_do_not_grow_with_the_fingerprints():
+    rng = np.random.default_rng(6)
+    chosen = []
+    for n in (50_000, 200_000, 800_000):
+        prints = rng.integers(0, 2**64, n, dtype=np.uint64)
+        chosen.append(sh.equal_blocks(n, 4))
+        met = 0
+        for mask in sh.grid_masks(4, chosen[-1]):
+            size = np.unique(sh.embedding(prints) & np.uint64(mask), return_counts=True)[1].astype(np.int64)
+            met += int((size * (size - 1)).sum())
+        assert met / n <= 1.5 * sh.MEETINGS
+    assert chosen == sorted(chosen) and chosen[0] < chosen[-1]
+    assert sh.equal_blocks(0, 4) == 2
+    assert sh.equal_blocks(10**12, 4) > sh.equal_blocks(10**9, 4) > chosen[-1]
+    assert len(sh.grid_masks(30, sh.equal_blocks(10**9, 30))) == 496
+
+
+@pytest.mark.parametrize("tile", [5, 40])
+def test_tiles_meet_once_per_pair_and_none_is_large(spark, tile):
+    """Every two fingerprints of a large cell meet in one pair of tiles; a pair of tiles holds few rows."""
+    cells = spark.range(300).select((F.col("id") % 2).alias("cell"), F.col("id").alias("fp"))
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
+    groups = {}
+    for r in sh.tile_pairs(cells, sizes, tile).collect():
+        groups.setdefault((r.cell, r.low, r.high), []).append((r.side, r.fp))
+    met = {}
+    for (_, low, high), rows in groups.items():
+        assert len(rows) <= 5 * tile
+        left, right = ([fp for side, fp in rows if side == s] for s in (0, 1))
+        pairs = [(a, b) for a in left for b in left if a < b] if low == high else [(min(a, b), max(a, b)) for a in left for b in right]
+        for pair in pairs:
+            met[pair] = met.get(pair, 0) + 1
+    assert met == {(a, b): 1 for a in range(300) for b in range(a + 2, 300, 2)}
+
+
+@pytest.mark.parametrize("equal", [None, 3, 5])
 @pytest.mark.parametrize("tile", [8192, 7])
-def test_components_against_all_pairs(spark, tile):
+def test_components_against_all_pairs(spark, tile, equal):
     prints = clusters(3)
     frame = spark.createDataFrame([(signed(p),) for p in prints], "fingerprint long")
-    roots = {r.node: r.root for r in sh.components(sh.links(frame, 4, tile)).collect()}
+    roots = {r.node: r.root for r in sh.components(sh.links(frame, 4, tile, equal)).collect()}
     want = plain_components(prints, 4)
     groups, own = {}, {}
     for p, w in zip(prints, want, strict=True):

@@ -1,14 +1,16 @@
 """Near copies by SimHash: fingerprints of word shingles, linked when few bits differ, and their components.
 
 The join. A fingerprint's 64 bits are 32 segments of two bits, and its embedding counts the bits of each segment. The
-Manhattan distance of two embeddings never exceeds the number of differing bits. Segments are dealt into `max_bits` + 2
-blocks; if the distance is at most `max_bits`, at least two blocks have equal counts throughout. So every choice of two
-blocks is a grid whose cells are the counts in them, and near fingerprints meet in a cell of at least one grid. Pairs of a
-cell are held against the Manhattan bound first and the bits then. Counts 0, 1, 2 are written 00, 01, 11, which makes the
-Manhattan distance the number of differing bits of the two codes.
+Manhattan distance of two embeddings never exceeds the number of differing bits. Segments are dealt into `max_bits` + j
+blocks; if the distance is at most `max_bits`, at least j blocks have equal counts throughout. So every choice of j
+blocks is a grid whose cells are the counts in them, and near fingerprints meet in a cell of at least one grid, whatever
+j is. More equal blocks make more grids of smaller cells: j is the smallest number with which a fingerprint is expected
+to meet no more than MEETINGS others. Pairs of a cell are held against the Manhattan bound first and the bits then.
+Counts 0, 1, 2 are written 00, 01, 11, which makes the Manhattan distance the number of differing bits of the two codes.
 
-A cell is compared inside one task up to TILE fingerprints; a larger one is cut into tiles whose pairs are dealt to other
-tasks, so no pair is left out. A task passes on a tree of links per component it sees, not all links.
+Cells are counted first. One of up to TILE fingerprints is compared inside one task; those of a larger one get a tile by
+hash and are sent to each pair of tiles, so that no pair is left out and no task holds or writes a whole large cell. A
+task passes on a tree of links per component it sees, not all links.
 
 A text without words has fingerprint zero. Fewer words than a shingle make one shingle of all. Null keys are
 linked like others and count for a component's smallest key only if it has no other.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.common import byte_texts, map_text
-from tickloom.session import materialize
+from tickloom.session import broadcast_if_small, materialize
 
 SEED = 42
 SEGMENTS = 32
 TILE = 8192
+# Others that a fingerprint is expected to meet in all grids together.
+MEETINGS = 64
+# How often two segments agree by chance: counts 0, 1 and 2 come up one, two and one times in four.
+AGREE = 3 / 8
 # Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
 _LOW = np.uint64(0x5555555555555555)
@@ -81,29 +88,47 @@ def embedding(prints: np.ndarray) -> np.ndarray:
     return any_bit | both << np.uint64(1)
 
 
-def grid_masks(max_bits: int) -> list[int]:
-    """For each choice of two blocks, the embedding bits of their segments."""
-    blocks = max_bits + 2
+def equal_blocks(prints: int, max_bits: int) -> int:
+    """How many blocks a grid compares, for that many distinct fingerprints."""
     if not 0 <= max_bits <= SEGMENTS - 2:
         raise ValueError(f"max_bits must be 0 to {SEGMENTS - 2}")
+    most = SEGMENTS - max_bits
+    for equal in range(2, most):
+        blocks = max_bits + equal
+        if comb(blocks, equal) * prints * AGREE ** (SEGMENTS * equal / blocks) <= MEETINGS:
+            return equal
+    return most
+
+
+def grid_masks(max_bits: int, equal: int = 2) -> list[int]:
+    """For each choice of `equal` blocks, the embedding bits of their segments."""
+    blocks = max_bits + equal
+    if max_bits < 0 or equal < 1 or blocks > SEGMENTS:
+        raise ValueError(f"at most {SEGMENTS} blocks")
     owner = [segment * blocks // SEGMENTS for segment in range(SEGMENTS)]
     masks = [sum(3 << 2 * s for s in range(SEGMENTS) if owner[s] == b) for b in range(blocks)]
-    return [a | b for a, b in combinations(masks, 2)]
+    return [sum(chosen) for chosen in combinations(masks, equal)]
 
 
-def _cells(prints: DataFrame, max_bits: int) -> DataFrame:
-    """(cell, fingerprint) for every grid."""
-    masks = np.array(grid_masks(max_bits), np.uint64)
+# Fingerprints whose cells are written in one batch.
+CELL_ROWS = 1024
+
+
+def _cells(prints: DataFrame, max_bits: int, equal: int) -> DataFrame:
+    """(cell, fp) for every grid."""
+    masks = np.array(grid_masks(max_bits, equal), np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = np.arange(len(masks), dtype=np.uint64) * _SPREAD
         for batch in batches:
-            own = batch.column(0).to_numpy().view(np.uint64)
-            key = (embedding(own)[:, None] & masks) ^ number
-            key = (key ^ key >> np.uint64(31)) * _SPREAD
-            key ^= key >> np.uint64(29)
-            columns = [key.ravel().view(np.int64), np.repeat(own, len(masks)).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "fp"])
+            whole = batch.column(0).to_numpy().view(np.uint64)
+            for at in range(0, len(whole), CELL_ROWS):
+                own = whole[at : at + CELL_ROWS]
+                key = (embedding(own)[:, None] & masks) ^ number
+                key = (key ^ key >> np.uint64(31)) * _SPREAD
+                key ^= key >> np.uint64(29)
+                columns = [key.ravel().view(np.int64), np.repeat(own, len(masks)).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "fp"])
 
     return prints.mapInArrow(run, "cell long, fp long")
 
@@ -152,56 +177,39 @@ def linked(prints: np.ndarray, stop: np.ndarray, start: np.ndarray, max_bits: in
     return _settle(label, np.concatenate(left), np.concatenate(right)) if left else label
 
 
-LINK_DDL = "a long, b long, cell long, tile int"
-
+LINK_DDL = "a long, b long"
 
-def _links(rows: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], ["a", "b", "cell", "tile"])
 
-
-def _tree(prints: np.ndarray, label: np.ndarray) -> list[np.ndarray]:
+def _tree(prints: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
     """Links from each row to the first row of its component."""
     rows = np.flatnonzero(label != np.arange(len(label)))
-    none = np.zeros(len(rows), np.int64)
-    return [prints[rows].view(np.int64), prints[label[rows]].view(np.int64), none, none.astype(np.int32) - 1]
+    ends = [prints[rows].view(np.int64), prints[label[rows]].view(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in ends], ["a", "b"])
+
 
+def _compare_cells(max_bits: int):
+    """Rows sorted by cell to links."""
 
-def _compare_cells(max_bits: int, tile: int):
-    """Rows sorted by cell to links (tile -1), or to tiles of large cells: b is the fingerprint, a the pair's number."""
+    def done(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        size = np.diff(np.append(first, len(cell)))
+        prints = fp.view(np.uint64)
+        stop = np.repeat(np.cumsum(size), size)
+        return _tree(prints, linked(prints, stop, np.arange(1, len(prints) + 1), max_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_cell, kept_fp = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def done(cell: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.empty(0, np.int64)
-            size = np.diff(np.append(first, len(cell)))
-            small = np.repeat(size <= tile, size)
-            prints = fp[small].view(np.uint64)
-            own = size[size <= tile]
-            stop = np.repeat(np.cumsum(own), own)
-            label = linked(prints, stop, np.arange(1, len(prints) + 1), max_bits)
-            yield _links(_tree(prints, label))
-            for at, n in zip(first[size > tile], size[size > tile], strict=True):
-                tiles = -(-int(n) // tile)
-                for one in range(tiles):
-                    part = fp[at + one * tile : at + min((one + 1) * tile, int(n))]
-                    for two in range(tiles):
-                        pair = min(one, two) * tiles + max(one, two)
-                        numbers = np.full(len(part), pair, np.int64)
-                        side = np.full(len(part), int(one > two), np.int32)
-                        yield _links([numbers, part, np.full(len(part), cell[at]), side])
-
         for batch in batches:
             cell = np.concatenate([kept_cell, batch.column(0).to_numpy()])
             fp = np.concatenate([kept_fp, batch.column(1).to_numpy()])
             # The last cell may go on in the next batch.
             whole = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
-            if whole and whole > 1 << 18 or batch.num_rows == 0:
-                yield from done(cell[:whole], fp[:whole])
+            if whole > 1 << 18:
+                yield done(cell[:whole], fp[:whole])
                 cell, fp = cell[whole:], fp[whole:]
             kept_cell, kept_fp = cell, fp
         if len(kept_cell):
-            yield from done(kept_cell, kept_fp)
+            yield done(kept_cell, kept_fp)
 
     return run
 
@@ -217,34 +225,50 @@ def _compare_tiles(max_bits: int):
             start = np.arange(1, size + 1)
         else:
             start = np.where(np.arange(size) < split, split, size)
-        return _links(_tree(prints, linked(prints, np.full(size, size), start, max_bits)))
+        return _tree(prints, linked(prints, np.full(size, size), start, max_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
         for batch in batches:
-            columns = [batch.column(n).to_numpy() for n in ("cell", "a", "tile", "b")]
+            columns = [batch.column(n).to_numpy() for n in ("cell", "low", "high", "side", "fp")]
             if kept is not None:
                 columns = [np.concatenate(pair) for pair in zip(kept, columns, strict=True)]
-            cell, pair, side, fp = columns
-            change = np.flatnonzero((cell[1:] != cell[:-1]) | (pair[1:] != pair[:-1])) + 1
-            edges = [0, *change.tolist()]
+            keys, side, fp = np.stack(columns[:3]), columns[3], columns[4]
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()]
             for a, b in zip(edges, edges[1:], strict=False):
                 yield compare(fp[a:b], side[a:b])
             kept = [c[edges[-1] :] for c in columns]
         if kept is not None and len(kept[0]):
-            yield compare(kept[3], kept[2])
+            yield compare(kept[4], kept[3])
 
     return run
 
 
-def links(prints: DataFrame, max_bits: int, tile: int = TILE) -> DataFrame:
+def tile_pairs(cells: DataFrame, sizes: DataFrame, tile: int) -> DataFrame:
+    """(cell, low, high, side, fp): fingerprints of large cells, once per pair of tiles that theirs belongs to."""
+    tiles = F.ceil(F.col("n") / tile)
+    rows = cells.join(sizes, "cell").select("cell", "fp", tiles.alias("tiles"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), "tiles"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return rows.select("cell", low, high, (F.col("own") > F.col("other")).cast("int").alias("side"), "fp")
+
+
+def links(prints: DataFrame, max_bits: int, tile: int = TILE, equal: int | None = None) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints (column `fingerprint`) just as all near pairs would."""
-    distinct = prints.select("fingerprint").distinct()
-    dealt = _cells(distinct, max_bits).repartition("cell").sortWithinPartitions("cell")
-    found = materialize(dealt.mapInArrow(_compare_cells(max_bits, tile), LINK_DDL))
-    large = found.where("tile >= 0").repartition("cell", "a").sortWithinPartitions("cell", "a", "tile")
-    rest = large.mapInArrow(_compare_tiles(max_bits), LINK_DDL)
-    return found.where("tile < 0").unionByName(rest).select("a", "b").distinct()
+    distinct = materialize(prints.select("fingerprint").distinct())
+    cells = _cells(distinct, max_bits, equal or equal_blocks(distinct.count(), max_bits))
+    sizes = materialize(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile))
+    large = sizes.count()
+    if not large:
+        dealt = cells.repartition("cell").sortWithinPartitions("cell")
+        return dealt.mapInArrow(_compare_cells(max_bits), LINK_DDL).distinct()
+    sizes = broadcast_if_small(sizes, large)
+    dealt = cells.join(sizes, "cell", "left_anti").repartition("cell").sortWithinPartitions("cell")
+    found = dealt.mapInArrow(_compare_cells(max_bits), LINK_DDL)
+    pairs = tile_pairs(cells, sizes, tile)
+    pairs = pairs.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "side")
+    return found.unionByName(pairs.mapInArrow(_compare_tiles(max_bits), LINK_DDL)).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
