@@ -1,9 +1,11 @@
 import math
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tickloom.llm import kneser_ney as kn
@@ -248,3 +250,104 @@ def test_query_of_the_rules_against_plain_counts(spark):
         assert r.base_failed == failed
         inside = r.lower_band <= r.perplexity <= r.upper_band
         assert r.kept == (not failed and inside)
+
+
+def plain_em(rows, rounds=60):
+    """The label model by loops over texts and labellers: (prior, rates[y][labeller][vote])."""
+    n = len(rows[0])
+    rates = [[{1: 0.6, 2: 0.4} for _ in range(n)], [{1: 0.98, 2: 0.02} for _ in range(n)]]
+    prior = 0.9
+
+    def chance(votes):
+        good, bad = prior, 1 - prior
+        for at, vote in enumerate(votes):
+            if vote:
+                good, bad = good * rates[1][at][vote], bad * rates[0][at][vote]
+        return good / (good + bad)
+
+    for _ in range(rounds):
+        chances = [chance(votes) for votes in rows]
+        fresh = []
+        for y in (0, 1):
+            fresh.append([])
+            for at in range(n):
+                cast = {v: 1 + sum(c if y else 1 - c for c, votes in zip(chances, rows, strict=True) if votes[at] == v) for v in (1, 2)}
+                fresh[y].append({v: x / sum(cast.values()) for v, x in cast.items()})
+        prior, rates = min(max((sum(chances) + 1) / (len(rows) + 2), 0.01), 0.99), fresh
+    return prior, rates, [chance(votes) for votes in rows]
+
+
+def test_votes_against_plain_em():
+    rng = random.Random(12)
+    labellers = len(weak_quality.LABELLERS)
+    rows = []
+    for _ in range(400):
+        good = rng.random() < 0.8
+        rows.append([rng.choices([0, 1, 2], [2, 9, 1] if good else [2, 4, 6])[0] for _ in range(labellers)])
+    packed = [sum(v * 3 ** (labellers - 1 - at) for at, v in enumerate(votes)) for votes in rows]
+    codes, counts = np.unique(packed, return_counts=True)
+    model = weak_quality.fit_votes(codes, counts.astype(float))
+    prior, rates, chances = plain_em(rows)
+    assert model.prior == pytest.approx(prior, rel=1e-9)
+    for y in (0, 1):
+        for at in range(labellers):
+            assert [model.rates[y, at, v] for v in (1, 2)] == pytest.approx([rates[y][at][v] for v in (1, 2)], rel=1e-9)
+    assert model.chance(np.array(packed)) == pytest.approx(chances, abs=1e-9)
+
+
+def test_scorer_against_plain_gradients():
+    """Momentum steps on the loss whose gradient is taken by differences, feature by feature."""
+    rng = np.random.default_rng(7)
+    used = np.array([3, 50, 777, 9000])
+    rows = [rng.choice(used, rng.integers(1, 4), replace=False) for _ in range(30)]
+    weights = [rng.uniform(0.2, 1, len(r)) for r in rows]
+    target = rng.uniform(0, 1, 30)
+    decay, rate = 1e-4, 3.0
+    found = weak_quality.fit_scorer(rows, weights, target, rounds=12, rate=rate, decay=decay)
+    share = target.mean()
+    balance = [0.5 / share if t > 0.5 else 0.5 / (1 - share) for t in target]
+
+    def loss(model):
+        value = sum(decay / 2 * model[b] ** 2 for b in used)
+        for r, w, t, c in zip(rows, weights, target, balance, strict=True):
+            lean = model["bias"] + sum(model[b] * x for b, x in zip(r, w, strict=True))
+            value += c * (math.log1p(math.exp(-lean)) * t + math.log1p(math.exp(lean)) * (1 - t)) / len(rows)
+        return value
+
+    names = [*used.tolist(), "bias"]
+    model, speed = dict.fromkeys(names, 0.0), dict.fromkeys(names, 0.0)
+    for _ in range(12):
+        slope = {n: (loss(model | {n: model[n] + 1e-5}) - loss(model | {n: model[n] - 1e-5})) / 2e-5 for n in names}
+        speed = {n: 0.9 * speed[n] - rate * slope[n] for n in names}
+        model = {n: model[n] + speed[n] for n in names}
+    assert [found[b] for b in used] == pytest.approx([model[b] for b in used], abs=1e-6)
+    assert found[-1] == pytest.approx(model["bias"], abs=1e-6)
+    assert np.count_nonzero(found[:-1]) <= len(used)
+
+
+def plain_shapes(text):
+    kinds = ["a" if ord(c) >= 128 or "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else c for c in text]
+    return "".join(c for i, c in enumerate(kinds) if not (i and c == kinds[i - 1] and c in "aA0")).split()
+
+
+def test_scores_of_rows_against_plain_sums(spark, docs):
+    """A row's score from words, shapes, repeats and variety counted one by one."""
+    texts = {i: prose(i, 30 + i) for i in range(12)} | {20: "WORD!! " * 60, 21: "x x x y", 22: "", 23: None, 24: "Aa1 bB22 ## é É" * 3}
+    rng = np.random.default_rng(3)
+    scorer = rng.normal(0, 0.4, (1 << weak_quality.BUCKET_BITS) + 1)
+    codes = np.array([0, 5, 3**11 - 1])
+    votes = weak_quality.fit_votes(codes, np.array([5.0, 4.0, 3.0]))
+    judged = weak_quality.judge_texts(docs(list(texts.items())), votes, scorer).collect()
+    assert len(judged) == len(texts)
+    for r in judged:
+        words = re.findall("[^\x20\x09-\x0d]+", texts[r.doc_id] or "")
+        lean = scorer[-1]
+        if words:
+            same = sum(a == b for a, b in zip(words, words[1:], strict=False))
+            families = [words, plain_shapes(texts[r.doc_id]), ["same" if same > 0.1 * len(words) else "other"], [str(int(10 * len(set(words)) / len(words)))]]
+            for seed, family in enumerate(families, 1):
+                size = {k: math.log1p(family.count(k)) for k in family}
+                norm = math.sqrt(sum(x * x for x in size.values()))
+                lean += sum(scorer[xxhash.xxh32_intdigest(k.encode(), seed) >> 18] * x / norm for k, x in size.items())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-lean)), rel=1e-9)
+        assert r.kept == (r.score >= weak_quality.THRESHOLD)
