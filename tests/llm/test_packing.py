@@ -101,3 +101,22 @@ def test_rows_with_nulls_and_repeats(spark):
     assert tp.pack_documents(frame.limit(0), BYTE_TOKENIZER).count() == 0
     with pytest.raises(ValueError, match="powers of two"):
         tp.pack_documents(frame, BYTE_TOKENIZER, tiers=(1000, 10))
+
+
+def test_blocks_are_bounded_by_ids(spark):
+    """Blocks closed by their ids, however long the texts, hold every id once in gapless sequences."""
+    texts = {i: prose(i, 40 + 900 * (i % 5 == 0)) for i in range(40)} | {90: None, 91: ""}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    plain = Tokenizer.from_file(BYTE_TOKENIZER)
+    for bound in (1, 3000, tp.BLOCK_IDS):
+        pieces = tp.pack_documents(frame, BYTE_TOKENIZER, block_ids=bound).collect()
+        sequences = {}
+        for r in pieces:
+            sequences.setdefault(r.sequence_id, []).append((r.offset, r.length, r.tier))
+        for rows in sequences.values():
+            rows.sort()
+            assert [o for o, *_ in rows] == [sum(n for _, n, _ in rows[:i]) for i in range(len(rows))]
+            assert sum(n for _, n, _ in rows) == rows[0][2]
+        for doc, text in texts.items():
+            own = sorted((r.start, r.ids) for r in pieces if r.doc_id == doc)
+            assert np.frombuffer(b"".join(ids for _, ids in own), "<u4").tolist() == [*plain.encode(text or "", add_special_tokens=False).ids, tp.END_ID]

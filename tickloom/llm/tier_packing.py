@@ -31,8 +31,11 @@ from pyspark.sql import types as T
 from tickloom.llm.common import as_text, slices
 
 TIERS = (1024, 512, 256, 128)
-# Documents packed together; it bounds what a task holds.
+# Documents packed together, and the ids at which a block is closed before it has as many; both bound what a task holds.
 BLOCK = 4096
+BLOCK_IDS = 4 << 20
+# Pieces written in one batch.
+BATCH_PIECES = 2048
 # Fixed value: how byte-level vocabularies of this kind split a text into words.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Characters whose classes may differ between editions of Unicode, and white space of a length that look-ahead is
@@ -51,11 +54,12 @@ def _byte_letters() -> dict[str, int]:
 class TextIds:
     """Ids of whole texts as little-endian 32-bit numbers, exactly as the tokenizers library gives them.
 
-    Names of added tokens inside a text are text, or with `added` the tokens themselves, as is the library's default. If the file is a plain byte-level vocabulary whose merges are ranked by their ids, common texts go through a faster
+    Names of added tokens inside a text are the tokens themselves, as is the library's default, or text without `added`.
+    If the file is a plain byte-level vocabulary whose merges are ranked by their ids, common texts go through a faster
     implementation of the same merges.
     """
 
-    def __init__(self, path: str, added: bool = False) -> None:
+    def __init__(self, path: str, added: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -107,7 +111,7 @@ class TextIds:
 
 
 @lru_cache(maxsize=2)
-def load_ids(path: str, added: bool = False) -> TextIds:
+def load_ids(path: str, added: bool = True) -> TextIds:
     return TextIds(path, added)
 
 
@@ -204,7 +208,7 @@ def step_groups(windows: list[Window], step: int) -> list[int]:
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", tiers: tuple[int, ...] = TIERS,
-    block: int = BLOCK, step: int = 64,
+    block: int = BLOCK, step: int = 64, block_ids: int = BLOCK_IDS,
 ) -> DataFrame:
     """A row per piece: the key, `start` and `length` in its document's ids, `ids` (little-endian 32-bit numbers),
     `doc_tokens`, `sequence_id`, `offset` there, `tier` (the window's size) and `step_group`."""
@@ -219,19 +223,26 @@ def pack_documents(
     arrow = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = load_ids(tokenizer, added=True)
+        ids_of = load_ids(tokenizer)
         base = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], "<u4").tobytes()
         keys: list[pa.Array] = []
         held: list[bytes] = []
-        sequence = group_base = 0
+        size = sequence = group_base = 0
 
-        def packed() -> pa.RecordBatch:
-            nonlocal sequence, group_base, keys, held
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal size, sequence, group_base, keys, held
             sizes = [len(ids) // 4 for ids in held]
             windows = pack_block(sizes, tiers)
             groups = step_groups(windows, step)
+            block_keys = pa.concat_arrays(keys)
             rows, owner = [], []
+
+            def batch() -> pa.RecordBatch:
+                own = block_keys.take(pa.array(owner, pa.int64()))
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), arrow, strict=True)]
+                return pa.RecordBatch.from_arrays([own, *columns], [f.name for f in schema.fields])
+
             for (tier, pieces), group in zip(windows, groups, strict=True):
                 at = 0
                 for doc, start, length in pieces:
@@ -240,19 +251,23 @@ def pack_documents(
                     rows.append((start, length, ids, sizes[doc], base + sequence, at, tier, base + group_base + group))
                     at += length
                 sequence += 1
+                if len(rows) >= BATCH_PIECES:
+                    yield batch()
+                    rows, owner = [], []
+            if rows:
+                yield batch()
             group_base += max(groups) + 1
-            own = pa.concat_arrays(keys).take(pa.array(owner, pa.int64()))
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), arrow, strict=True)]
-            keys, held = [], []
-            return pa.RecordBatch.from_arrays([own, *columns], [f.name for f in schema.fields])
+            keys, held, size = [], [], 0
 
         for batch in batches:
             for part in slices(batch, "_text"):
                 keys.append(part.column("_key"))
-                held += [ids + end for ids in ids_of.encode(part.column("_text").to_pylist())]
-                if len(held) >= block:
-                    yield packed()
+                made = [ids + end for ids in ids_of.encode(part.column("_text").to_pylist())]
+                held += made
+                size += sum(map(len, made)) // 4
+                if len(held) >= block or size >= block_ids:
+                    yield from packed()
         if held:
-            yield packed()
+            yield from packed()
 
     return source.mapInArrow(run, schema)
