@@ -218,6 +218,34 @@ def test_a_burst_waits_at_the_source(spark, tmp_path, registry):
     assert table.read().count() == 60
 
 
+def test_a_burst_of_uneven_files_waits_by_bytes(spark, tmp_path, registry):
+    """A micro-batch takes files up to the bound, or one larger file; nothing is dropped."""
+    feed, table = str(tmp_path / "feed"), TickTable(spark, str(tmp_path / "ticks"))
+    sizes, rows, first = {}, [4, 4, 3000, 4, 4, 4, 4, 3000, 4], 0
+    for n in rows:
+        part = make_frames(spark, frame_rows([(first + k, 0) for k in range(n)], first))
+        part.coalesce(1).write.mode("append").parquet(feed)
+        first += n
+        for file in (tmp_path / "feed").glob("*.parquet"):
+            sizes.setdefault(file.name, file.stat().st_size)
+    bound = 2 * max(sorted(sizes.values())[:7])
+    assert max(sizes.values()) > bound
+    want, held = [], bound + 1
+    for n, size in zip(rows, sizes.values(), strict=True):
+        want, held = ([*want, n], size) if held + size > bound else ([*want[:-1], want[-1] + n], held + size)
+    frames = stream_frames(spark, feed, max_bytes_per_trigger=bound)
+    query = start_ingest(frames, registry, table, str(tmp_path / "progress"), LONG, drain=True)
+    assert await_drain(query, timedelta(seconds=240))
+    assert [b["input_rows"] for b in backlog(query) if b["input_rows"]] == want == [8, 3000, 8, 8, 3000, 4]
+    assert table.read().count() == sum(rows)
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_files_per_trigger": 1, "max_bytes_per_trigger": 1}, {"max_bytes_per_trigger": 0}])
+def test_a_stream_has_one_positive_bound(spark, tmp_path, bounds):
+    with pytest.raises(ValueError):
+        stream_frames(spark, str(tmp_path), **bounds)
+
+
 def test_drain_timeout_stops_and_loses_nothing(spark, tmp_path, registry):
     feed, progress = str(tmp_path / "feed"), str(tmp_path / "progress")
     table = TickTable(spark, str(tmp_path / "ticks"))

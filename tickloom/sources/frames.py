@@ -44,15 +44,25 @@ def _as_frames(rows: DataFrame, source: str, frame: str, arrived: Column | datet
 
 
 def stream_frames(
-    spark: SparkSession, path: str, max_files_per_trigger: int, file_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    file_format: str = "parquet",
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Frames as they arrive in a folder, admitted a bounded number of files at a time."""
-    return (
-        spark.readStream.schema(FRAME_SCHEMA)
-        .format(file_format)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(path)
-    )
+    """Frames as they arrive in a folder, admitted a bounded number of files or of their bytes at a time.
+
+    Bytes are those of the files as stored. A file larger than the bound is taken alone: files are not split
+    between micro-batches, so a micro-batch holds at most the bound or one file.
+    """
+    if (max_files_per_trigger is None) == (max_bytes_per_trigger is None):
+        raise ValueError("give a bound on files or on bytes")
+    limit = ("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        limit = ("maxBytesPerTrigger", max_bytes_per_trigger)
+    if limit[1] < 1:
+        raise ValueError("the bound must be positive")
+    return spark.readStream.schema(FRAME_SCHEMA).format(file_format).option(*limit).load(path)
 
 
 def stream_broker_frames(
