@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -93,10 +94,13 @@ def test_meetings_do_not_grow_with_the_fingerprints():
         for mask in sh.grid_masks(4, chosen[-1]):
             size = np.unique(sh.embedding(prints) & np.uint64(mask), return_counts=True)[1].astype(np.int64)
             met += int((size * (size - 1)).sum())
-        assert met / n <= 1.5 * sh.MEETINGS
+        assert met / n <= 16 * sh.MOVE
     assert chosen == sorted(chosen) and chosen[0] < chosen[-1]
     assert sh.equal_blocks(0, 4) == 2
-    assert sh.equal_blocks(10**12, 4) > sh.equal_blocks(10**9, 4) > chosen[-1]
+    # Neither rows to move nor comparisons run away for a thousand times as many.
+    equal = sh.equal_blocks(10**9, 4)
+    grids = math.comb(4 + equal, equal)
+    assert equal > chosen[-1] and grids <= 250 and grids * 10**9 * sh.AGREE ** (32 * equal / (4 + equal)) < 5000
     assert len(sh.grid_masks(30, sh.equal_blocks(10**9, 30))) == 496
 
 

@@ -4,8 +4,8 @@ The join. A fingerprint's 64 bits are 32 segments of two bits, and its embedding
 Manhattan distance of two embeddings never exceeds the number of differing bits. Segments are dealt into `max_bits` + j
 blocks; if the distance is at most `max_bits`, at least j blocks have equal counts throughout. So every choice of j
 blocks is a grid whose cells are the counts in them, and near fingerprints meet in a cell of at least one grid, whatever
-j is. More equal blocks make more grids of smaller cells: j is the smallest number with which a fingerprint is expected
-to meet no more than MEETINGS others. Pairs of a cell are held against the Manhattan bound first and the bits then.
+j is. More equal blocks make more grids of smaller cells: j is the number with which moving the counted fingerprints to
+their cells and comparing them there is expected to cost least. Pairs of a cell are held against the Manhattan bound first and the bits then.
 Counts 0, 1, 2 are written 00, 01, 11, which makes the Manhattan distance the number of differing bits of the two codes.
 
 Cells are counted first. One of up to TILE fingerprints is compared inside one task; those of a larger one get a tile by
@@ -35,8 +35,9 @@ from tickloom.session import broadcast_if_small, materialize
 SEED = 42
 SEGMENTS = 32
 TILE = 8192
-# Others that a fingerprint is expected to meet in all grids together.
-MEETINGS = 64
+# What it costs to move a fingerprint to a cell, in comparisons of two expected by chance. It is set low, as real
+# fingerprints meet more often than chance has it.
+MOVE = 8
 # How often two segments agree by chance: counts 0, 1 and 2 come up one, two and one times in four.
 AGREE = 3 / 8
 # Shingles whose bits are counted at a time.
@@ -92,12 +93,12 @@ def equal_blocks(prints: int, max_bits: int) -> int:
     """How many blocks a grid compares, for that many distinct fingerprints."""
     if not 0 <= max_bits <= SEGMENTS - 2:
         raise ValueError(f"max_bits must be 0 to {SEGMENTS - 2}")
-    most = SEGMENTS - max_bits
-    for equal in range(2, most):
+
+    def cost(equal: int) -> float:
         blocks = max_bits + equal
-        if comb(blocks, equal) * prints * AGREE ** (SEGMENTS * equal / blocks) <= MEETINGS:
-            return equal
-    return most
+        return comb(blocks, equal) * (MOVE + prints * AGREE ** (SEGMENTS * equal / blocks))
+
+    return min(range(2, SEGMENTS - max_bits + 1), key=cost)
 
 
 def grid_masks(max_bits: int, equal: int = 2) -> list[int]:
@@ -110,8 +111,9 @@ def grid_masks(max_bits: int, equal: int = 2) -> list[int]:
     return [sum(chosen) for chosen in combinations(masks, equal)]
 
 
-# Fingerprints whose cells are written in one batch.
+# Fingerprints whose cells are written in one batch, and cells that a task is to write.
 CELL_ROWS = 1024
+TASK_CELLS = 1 << 20
 
 
 def _cells(prints: DataFrame, max_bits: int, equal: int) -> DataFrame:
@@ -257,7 +259,11 @@ def tile_pairs(cells: DataFrame, sizes: DataFrame, tile: int) -> DataFrame:
 def links(prints: DataFrame, max_bits: int, tile: int = TILE, equal: int | None = None) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints (column `fingerprint`) just as all near pairs would."""
     distinct = materialize(prints.select("fingerprint").distinct())
-    cells = _cells(distinct, max_bits, equal or equal_blocks(distinct.count(), max_bits))
+    n = distinct.count()
+    equal = equal or equal_blocks(n, max_bits)
+    # Few narrow rows become many cells, so they are spread over tasks by what they become.
+    tasks = -(-n * comb(max_bits + equal, equal) // TASK_CELLS)
+    cells = _cells(distinct.repartition(max(tasks, 1), "fingerprint"), max_bits, equal)
     sizes = materialize(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile))
     large = sizes.count()
     if not large:
