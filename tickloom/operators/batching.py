@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import slot_of
-from tickloom.operators.routing import with_shard
+from tickloom.operators.routing import with_shard_per_symbol
 from tickloom.schema import micros
 
 # Largest shard/slot pair that is numbered by one sort; larger ones are numbered block by block.
@@ -30,14 +30,15 @@ def write_batches(
     """Add `shard`, `batch_slot` and `batch_no` (from 1) to unique ticks.
 
     Slots start at multiples of T since the epoch. Within a shard and slot, rows are numbered in
-    arrival order and cut every `max_rows`; no row is lost and no batch is empty.
+    arrival order and cut every `max_rows`; no row is lost and no batch is empty. Ticks are read several times and
+    should be stored.
     """
     if max_rows < 1:
         raise ValueError("a batch must hold at least one row")
     width = micros(max_delay)
     if width <= 0:
         raise ValueError("the batch delay must be positive")
-    slotted = with_shard(ticks, shards).withColumn(
+    slotted = with_shard_per_symbol(ticks, shards).withColumn(
         "batch_slot", slot_of(F.unix_micros("ingest_ts"), width)
     )
     group = ["shard", "batch_slot"]
@@ -60,12 +61,12 @@ def _rank_by_blocks(slotted: DataFrame, group: list[str], block: int, width: int
     over the stretches then, which gives each block's first number without ordering a whole slot.
     """
     into_slot = F.unix_micros("ingest_ts") - F.col("batch_slot") * width
-    cut = slotted.withColumns(
+    cut = slotted.withColumn("_into", into_slot).withColumns(
         {
             "_block": F.expr(f"arrival_seq div {block}"),
-            "_part": F.floor(into_slot.cast("decimal(38,0)") * PARTS / width).cast("int"),
+            "_part": F.expr(f"_into div {-(-width // PARTS)}").cast("int"),
         }
-    )
+    ).drop("_into")
     cell = [*group, "_part", "ingest_ts", "_block"]
     sizes = cut.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
     parts = sizes.groupBy(*group, "_part").agg(F.sum("_n").alias("_n"))
