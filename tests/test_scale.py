@@ -6,7 +6,9 @@ import pytest
 
 from tickloom.operators import routing
 from tickloom.operators.batching import write_batches
+from tickloom.operators.dedup import sliding_window_dedup
 from tickloom.operators.routing import with_shard, with_shard_per_symbol
+from tickloom.plans import queries
 
 
 def plan_of(df, capsys):
@@ -15,6 +17,17 @@ def plan_of(df, capsys):
     return capsys.readouterr().out
 
 
+@pytest.fixture
+def some_events(spark, tmp_path):
+    rows = spark.range(60).selectExpr(
+        "id AS event_id", "timestampadd(SECOND, id * 7, TIMESTAMP_NTZ'2024-01-05 00:00:00') AS ts", "id % 5 AS user_id",
+        "element_at(array('click', 'view', 'error'), CAST(id % 3 + 1 AS INT)) AS event_type", "id + 0.25D AS value",
+        "concat('{\"k\": ', id % 60, '}') AS props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
 @pytest.fixture
 def several(make_ticks):
     return make_ticks([{"symbol": "ABC"[i % 3], "source_id": i // 2, "at": i % 50} for i in range(300)])
@@ -39,3 +52,17 @@ def test_a_missing_symbol_has_no_shard(spark, symbol):
     bad = spark.createDataFrame([(symbol, 1)], "symbol string, n int")
     with pytest.raises(Exception, match="cannot place an empty symbol"):
         with_shard_per_symbol(bad, 4).collect()
+
+
+@pytest.mark.parametrize("name", ["write_batches_aligned"])
+def test_messages_are_parsed_once(spark, some_events, monkeypatch, name):
+    """The dedup reads its input several times, so it gets stored ticks and no messages."""
+    given = []
+
+    def dedup(rows, *args, **kwargs):
+        given.append(rows.inputFiles())
+        return sliding_window_dedup(rows, *args, **kwargs)
+
+    monkeypatch.setattr(queries, "sliding_window_dedup", dedup)
+    assert queries.all_queries()[name](spark, some_events).count() > 0
+    assert given and given[0] and not any("events.parquet" in f for files in given for f in files)

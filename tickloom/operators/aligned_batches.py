@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.numbering import number_rows
-from tickloom.operators.routing import with_shard
+from tickloom.operators.routing import with_shard_per_symbol
 from tickloom.schema import micros
 from tickloom.session import materialize
 
@@ -77,14 +77,17 @@ def batch_starts(instants: np.ndarray, first: int, max_rows: int, width: int) ->
 def aligned_batches(
     ticks: DataFrame, shards: int, max_rows: int, max_delay: timedelta, segment_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
-    """Add `shard` and `batch_no` (from 1 in each shard) to unique ticks. No row is lost and no batch is empty."""
+    """Add `shard` and `batch_no` (from 1 in each shard) to unique ticks. No row is lost and no batch is empty.
+
+    Ticks are read several times (their symbols, the bounds of the ranges, the rows) and should be stored.
+    """
     if max_rows < 1:
         raise ValueError("a batch must hold at least one row")
     width = micros(max_delay)
     if width <= 0:
         raise ValueError("the batch delay must be positive")
     size = max(segment_rows, max_rows + 1)
-    timed = with_shard(ticks, shards).withColumn("shard", F.col("shard").cast("int")).withColumn("_t", F.unix_micros("ingest_ts"))
+    timed = with_shard_per_symbol(ticks, shards).withColumn("shard", F.col("shard").cast("int")).withColumn("_t", F.unix_micros("ingest_ts"))
     placed = number_rows(timed, ["shard"], ["_t", "arrival_seq"]).withColumn("_seg", F.expr(f"_pos div {size}"))
     last = placed.agg(F.max("_seg")).first()[0]
     if last is None:

@@ -336,7 +336,8 @@ def write_batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def write_batches_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches that open with a row and close after N rows or T."""
-    admitted = sliding_window_dedup(_accepted(spark, sf_dir), WINDOW)
+    # Both the dedup and the numbering read their input several times.
+    admitted = materialize(sliding_window_dedup(_staged(spark, sf_dir).ticks, WINDOW))
     batched = aligned_batches(admitted, SHARDS, BATCH_ROWS, BATCH_DELAY)
     return batched.select(*_long("arrival_seq", "shard", "batch_no"))
 
