@@ -54,7 +54,7 @@ def test_a_missing_symbol_has_no_shard(spark, symbol):
         with_shard_per_symbol(bad, 4).collect()
 
 
-@pytest.mark.parametrize("name", ["write_batches_aligned"])
+@pytest.mark.parametrize("name", ["write_batches_aligned", "conservation_by_source"])
 def test_messages_are_parsed_once(spark, some_events, monkeypatch, name):
     """The dedup reads its input several times, so it gets stored ticks and no messages."""
     given = []
