@@ -6,9 +6,10 @@ import pytest
 
 from tickloom.operators import routing
 from tickloom.operators.batching import write_batches
-from tickloom.operators.dedup import sliding_window_dedup
+from tickloom.operators.dedup import drop_recently_admitted, refused_rows, sliding_window_dedup
 from tickloom.operators.routing import with_shard, with_shard_per_symbol
 from tickloom.plans import queries
+from tickloom.sources.tick_table import TickTable
 
 
 def plan_of(df, capsys):
@@ -66,3 +67,27 @@ def test_messages_are_parsed_once(spark, some_events, monkeypatch, name):
     monkeypatch.setattr(queries, "sliding_window_dedup", dedup)
     assert queries.all_queries()[name](spark, some_events).count() > 0
     assert given and given[0] and not any("events.parquet" in f for files in given for f in files)
+
+
+def test_no_join_without_earlier_batches(spark, tmp_path, several, capsys):
+    table = TickTable(spark, str(tmp_path / "ticks"), "keep").create()
+    none = table.carried_keys(0, "batch", 0)
+    assert none.count() == 0 and none.schema["ingest_ts"].dataType == several.schema["ingest_ts"].dataType
+    assert "Join" not in plan_of(drop_recently_admitted(several, none, timedelta(seconds=5)), capsys)
+    admitted = sliding_window_dedup(several, timedelta(seconds=5))
+    refused = refused_rows(several, admitted, none, timedelta(seconds=5))
+    assert refused.count() + admitted.count() == several.count()
+
+
+def test_few_earlier_admissions_go_to_the_rows(several, capsys):
+    window, earlier = timedelta(seconds=5), several.limit(3)
+    left = drop_recently_admitted(several, earlier, window, count=3)
+    assert "BroadcastHashJoin" in plan_of(left, capsys)
+    assert left.exceptAll(drop_recently_admitted(several, earlier, window)).isEmpty()
+    refused = refused_rows(several, several.limit(0), earlier, window, count=3)
+    assert refused.exceptAll(refused_rows(several, several.limit(0), earlier, window)).isEmpty()
+
+
+def test_keys_are_sorted_by_their_hash(several, capsys):
+    plan = plan_of(sliding_window_dedup(several, timedelta(minutes=5)), capsys)
+    assert "hashpartitioning(_h#" in plan and "WindowGroupLimit [_h#" in plan

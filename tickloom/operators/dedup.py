@@ -66,9 +66,10 @@ def sliding_window_dedup(
     order = order_cols or ["arrival_seq"]
 
     timed = rows.withColumn("_t", _instant(rows, time_col, window))
-    heads = first_per(timed, keys, ["_t", *order]).drop("_t")
-
     hashed = timed.withColumn("_h", F.xxhash64(*keys))
+    # The hash in front of the key spares most comparisons of whole keys, whose first columns may have few values; keys
+    # are still compared in full.
+    heads = first_per(hashed, ["_h", *keys], ["_t", *order]).drop("_h", "_t")
     suspects = hashed
     if anchor_col:
         lateness = F.col("_t") - _instant(rows, anchor_col, window)
@@ -94,14 +95,14 @@ def sliding_window_dedup(
 
     def routed(condition: Column, count: int) -> DataFrame:
         side = broadcast_if_small(profile.where(condition).select("_h"), count)
-        return hashed.join(side, "_h", "left_semi").drop("_h")
+        return hashed.join(side, "_h", "left_semi")
 
     result = heads
     if found.few:
         few = routed(F.col("_n") <= fold_rows, found.few)
         result = result.unionByName(_later_admissions_fold(few, keys, order, width, rows.columns))
     if found.many:
-        many = routed(F.col("_n") > fold_rows, found.many)
+        many = routed(F.col("_n") > fold_rows, found.many).drop("_h")
         split = later_admissions_split(many, keys, order, width, segment_rows)
         result = result.unionByName(split.select(*rows.columns))
     return result
@@ -113,15 +114,20 @@ def drop_recently_admitted(
     window: timedelta,
     keys: list[str] | None = None,
     time_col: str = "ingest_ts",
+    count: int | None = None,
 ) -> DataFrame:
     """Remove rows that fall into a window opened by earlier admissions.
 
+    `count` is the number of earlier admissions, if they were counted: a few of them go to the rows, not the rows to them.
+
     What is left can go through `sliding_window_dedup` on its own: its first row per key is at or
     after the end of the earlier window. The join leaves rows partitioned by key, which the dedup
     after it uses. Key columns hold no NULLs, as in the stored table.
     """
     keys = keys or KEY_COLS
     expiry = admitted.groupBy(*keys).agg((F.max(time_col) + F.lit(window)).alias("_expiry"))
+    if count is not None:
+        expiry = broadcast_if_small(expiry, count)
     open_again = F.col("_expiry").isNull() | (F.col(time_col) >= F.col("_expiry"))
     return rows.join(expiry, keys, "left").where(open_again).select(*rows.columns)
 
@@ -134,23 +140,28 @@ def refused_rows(
     keys: list[str] | None = None,
     time_col: str = "ingest_ts",
     order_col: str = "arrival_seq",
+    count: int | None = None,
 ) -> DataFrame:
     """Rows that lie in a window opened by another row: one admitted from among them, or an earlier admission.
 
     This looks for the window itself instead of subtracting, so a row that the dedup lost is neither admitted nor refused.
     Rows and the windows opened among them meet in cells as long as a window: a window touches two, and a cell holds two of a
-    key at most. An earlier admission blocks whatever arrives before its window ends.
+    key at most. An earlier admission blocks whatever arrives before its window ends; `count` is the number of those, if
+    they were counted. Hashes only put keys in an order that is quick to compare.
     """
     keys, width = keys or KEY_COLS, micros(window)
     opened = F.unix_micros(time_col)
     before = earlier.groupBy(*keys).agg((F.max(opened) + width).alias("_until"))
+    if count is not None:
+        before = broadcast_if_small(before, count)
     timed = rows.withColumn("_t", opened).join(before, keys, "left")
     blocked = F.coalesce(F.col("_t") < F.col("_until"), F.lit(False))
     cells = F.sequence(F.floor(F.col("_from") / width), F.floor((F.col("_from") + (width - 1)) / width))
     windows = admitted.select(*[F.col(k).alias(f"_{k}") for k in keys], opened.alias("_from"), F.col(order_col).alias("_after"))
-    windows = windows.withColumn("_of", F.explode(cells))
+    windows = windows.select(F.xxhash64(*[f"_{k}" for k in keys]).alias("_at"), "*", F.explode(cells).alias("_of"))
     after = (F.col("_t") > F.col("_from")) | ((F.col("_t") == F.col("_from")) & (F.col(order_col) > F.col("_after")))
-    same = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.floor(F.col("_t") / width) == F.col("_of")]
+    same = [F.xxhash64(*keys) == F.col("_at"), F.floor(F.col("_t") / width) == F.col("_of")]
+    same += [F.col(k) == F.col(f"_{k}") for k in keys]
     repeated = timed.where(~blocked).join(windows, [*same, after, F.col("_t") < F.col("_from") + width], "left_semi")
     return timed.where(blocked).unionByName(repeated).select(*rows.columns)
 
@@ -193,7 +204,8 @@ def _later_admissions_fold(
 ) -> DataFrame:
     """All admissions but the first, for keys whose history fits one array."""
     payload = [c for c in columns if c not in keys and c not in order]
-    arrivals = rows.groupBy(*keys).agg(
+    # Groups are sorted here too.
+    arrivals = rows.groupBy("_h", *keys).agg(
         F.sort_array(F.collect_list(F.struct("_t", *order, *payload))).alias("_a")
     )
     start = F.struct(

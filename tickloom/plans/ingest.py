@@ -61,15 +61,15 @@ def stage_frames(frames: DataFrame, options: IngestOptions, path: str) -> Staged
     )
 
 
-def admit(ticks: DataFrame, recent: DataFrame, last: int, first: int, window: timedelta) -> DataFrame:
-    """Ticks of one batch, arrived from `first` to `last` (epoch microseconds), that the sliding window admits, given what was
-    admitted within a window before."""
-    open_again = drop_recently_admitted(ticks, recent, window)
+def admit(ticks: DataFrame, recent: DataFrame, last: int, first: int, window: timedelta, carried: int) -> DataFrame:
+    """Ticks of one batch, arrived from `first` to `last` (epoch microseconds), that the sliding window admits, given the
+    `carried` rows that were admitted within a window before."""
+    open_again = drop_recently_admitted(ticks, recent, window, count=carried) if carried else ticks
     if last - first < micros(window):
         # No key can be admitted twice in such a batch.
         return first_per(open_again, KEY_COLS, ["ingest_ts", "arrival_seq"])
-    # A long batch is read several times below; the join with earlier batches runs once.
-    return sliding_window_dedup(materialize(open_again), window)
+    # A long batch is read several times below; the join with earlier batches runs once. Without one, staged rows are read.
+    return sliding_window_dedup(materialize(open_again) if carried else ticks, window)
 
 
 def deduplicated(
@@ -81,8 +81,9 @@ def deduplicated(
         return ticks, 0, 0
     window = options.dedup_window
     recent = table.carried_keys(first - micros(window), writer, batch_id)
-    admitted = materialize(admit(ticks, recent, last, first, window))
-    return admitted, admitted.count(), refused_rows(ticks, admitted, recent, window).count()
+    carried = recent.count()
+    admitted = materialize(admit(ticks, recent, last, first, window, carried))
+    return admitted, admitted.count(), refused_rows(ticks, admitted, recent, window, count=carried).count()
 
 
 def ingest_batch(

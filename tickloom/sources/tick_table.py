@@ -203,12 +203,13 @@ class TickTable:
         keys = [f for f in STORED_SCHEMA.fields if f.name in ("batch_seq", *KEY_COLS)]
         schema = T.StructType([*keys, T.StructField("admitted_us", T.LongType()), T.StructField("slot", T.LongType())])
         if not named:
-            return self.spark.createDataFrame([], schema)
+            return _no_rows(self.spark, schema)
         whole = T.StructType([*schema.fields, T.StructField("folder", T.StringType())])
         return self.spark.read.schema(whole).option("basePath", self._window).parquet(*named).drop("folder")
 
     def _without_stored(self, ticks: DataFrame, earlier: list) -> DataFrame:
-        unique = materialize(first_per(ticks, KEY_COLS, ["ingest_ts", *_tie_break(ticks)]))
+        hashed = ticks.withColumn("_h", F.xxhash64(*KEY_COLS))
+        unique = materialize(first_per(hashed, ["_h", *KEY_COLS], ["ingest_ts", *_tie_break(ticks)]).drop("_h"))
         days = [r[0] for r in unique.select(F.unix_date(_utc_date(F.col("exchange_ts")))).distinct().collect()]
         return unique.join(self._on_days(earlier, days).select(*KEY_COLS), KEY_COLS, "left_anti")
 
@@ -284,7 +285,7 @@ class TickTable:
     def _folders(self, folders: list[str]) -> DataFrame:
         named = [f"{self._data}/folder={f}" for f in sorted(set(folders))]
         if not named:
-            return self.spark.createDataFrame([], STORED_SCHEMA)
+            return _no_rows(self.spark, STORED_SCHEMA)
         # A folder without rows has no files, which a given schema lets pass.
         schema = T.StructType([*STORED_SCHEMA.fields, T.StructField("folder", T.StringType())])
         return self.spark.read.schema(schema).option("basePath", self._data).parquet(*named).drop("folder")
@@ -298,6 +299,11 @@ class TickTable:
         return rows.where(seqs & (F.col("exchange_date").isin(dates) if dates else F.lit(False)))
 
 
+def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame that the planner knows to be empty, so that a join with it moves no rows."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).where(F.lit(False))
+
+
 def _kept_from(newest_us: int) -> int:
     return newest_us - KEPT_DAYS * DAY_US
 
