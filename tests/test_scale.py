@@ -3,12 +3,13 @@
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.operators import routing
 from tickloom.operators.batching import write_batches
 from tickloom.operators.dedup import drop_recently_admitted, refused_rows, sliding_window_dedup
 from tickloom.operators.routing import with_shard, with_shard_per_symbol
-from tickloom.plans import queries
+from tickloom.plans import event_feed, queries
 from tickloom.sources.tick_table import TickTable
 
 
@@ -91,3 +92,12 @@ def test_few_earlier_admissions_go_to_the_rows(several, capsys):
 def test_keys_are_sorted_by_their_hash(several, capsys):
     plan = plan_of(sliding_window_dedup(several, timedelta(minutes=5)), capsys)
     assert "hashpartitioning(_h#" in plan and "WindowGroupLimit [_h#" in plan
+
+
+def test_cuts_render_no_messages(spark, some_events, capsys):
+    arrivals = event_feed.event_arrivals(event_feed.load(spark, some_events, "events"))
+    assert "encode" not in plan_of(arrivals, capsys).lower()
+    frames = queries._frames(spark, some_events)
+    assert arrivals.exceptAll(frames.select("ingest_ts")).isEmpty() and arrivals.count() == frames.count()
+    (cut,) = queries._cuts(spark, some_events, 2)
+    assert 0 < frames.where(F.col("ingest_ts") < cut).count() < frames.count()

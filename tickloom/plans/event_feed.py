@@ -64,14 +64,28 @@ def event_facts(events: DataFrame) -> DataFrame:
     )
 
 
-def event_frames(events: DataFrame, defects: bool = True, repeats: bool = True) -> DataFrame:
-    """Frames `(source, format, frame, ingest_ts, arrival_seq)` of all feeds."""
+def _sent(events: DataFrame, repeats: bool) -> DataFrame:
+    """What every feed sends, and how often."""
     facts = spread(event_facts(events))
     copies = _repeat_delays() if repeats else F.array(F.lit(0))
-    sent = facts.select(
+    return facts.select(
         "*", F.posexplode(F.array(*[F.lit(f) for f in FEEDS])).alias("feed_no", "format")
     ).select("*", F.posexplode(copies).alias("copy", "delay"))
 
+
+def _arrival() -> Column:
+    return F.timestamp_millis(F.col("ts_ms") + ARRIVAL_DELAY_MS + F.col("delay")).alias("ingest_ts")
+
+
+def event_arrivals(events: DataFrame) -> DataFrame:
+    """The instants at which the frames of all feeds arrive."""
+    return _sent(events, repeats=True).select(_arrival())
+
+
+def event_frames(events: DataFrame, defects: bool = True, repeats: bool = True) -> DataFrame:
+    """Frames `(source, format, frame, ingest_ts, arrival_seq)` of all feeds."""
+    sent = _sent(events, repeats)
+
     def defect(name: str) -> Column:
         return (F.col("k") == DEFECTS[name]) & F.lit(defects)
 
@@ -96,7 +110,7 @@ def event_frames(events: DataFrame, defects: bool = True, repeats: bool = True)
         F.concat("format", F.lit("-feed")).alias("source"),
         "format",
         "frame",
-        F.timestamp_millis(F.col("ts_ms") + ARRIVAL_DELAY_MS + F.col("delay")).alias("ingest_ts"),
+        _arrival(),
         ((F.col("event_id") * len(FEEDS) + F.col("feed_no")) * 10 + F.col("copy")).alias("arrival_seq"),
     )
 

@@ -21,7 +21,7 @@ from tickloom.operators.metrics import IntervalLog, MetricsLog, counter_totals,
 from tickloom.operators.parse import accepted, classify_frames, parse_as, parse_frames, rejected
 from tickloom.operators.routing import shard_counts, with_shard
 from tickloom.operators.silence import open_silence, source_silence
-from tickloom.plans.event_feed import event_frames, feed_registry, load, spread
+from tickloom.plans.event_feed import event_arrivals, event_frames, feed_registry, load, spread
 from tickloom.plans.ingest import Staged, run_ingest, stage_frames
 from tickloom.schema import EXCHANGES, KEY_COLS, TICK_COLS, IngestOptions, with_exchange_name
 from tickloom.session import materialize, scratch_path, stored
@@ -448,8 +448,9 @@ def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(_stored(spark, sf_dir, WINDOW, "ignore"))
 
 
-def _cuts(frames: DataFrame, parts: int) -> list[datetime]:
-    """Arrival instants that cut the frames into about equal parts, taken from the data."""
+def _cuts(spark: SparkSession, sf_dir: str, parts: int) -> list[datetime]:
+    """Arrival instants that cut the frames into about equal parts, taken from the data; no message is rendered for them."""
+    frames = event_arrivals(load(spark, sf_dir, "events"))
     shares = [i / parts for i in range(1, parts)]
     cuts = frames.agg(F.percentile_approx(F.unix_micros("ingest_ts"), shares).alias("q")).first().q
     # Without frames any instant will do.
@@ -477,7 +478,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, progress = scratch_path(spark, "frames"), scratch_path(spark, "progress")
     table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
     frames = _frames(spark, sf_dir).drop("format")
-    low, high = _cuts(frames, 3)
+    low, high = _cuts(spark, sf_dir, 3)
     arrived = F.col("ingest_ts")
     for part in (arrived < low, (arrived >= low) & (arrived < high), arrived >= high):
         frames.where(part).write.mode("append").parquet(feed)
@@ -492,7 +493,7 @@ def stream_quiet_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
     log = IntervalLog(spark, scratch_path(spark, "intervals"), timedelta(minutes=10))
     frames = _frames(spark, sf_dir).drop("format")
-    (cut,) = _cuts(frames, 2)
+    (cut,) = _cuts(spark, sf_dir, 2)
     for part in (F.col("ingest_ts") < cut, F.col("ingest_ts") >= cut):
         frames.where(part).write.mode("append").parquet(feed)
         _drain(spark, feed, table, progress, log)
@@ -518,7 +519,7 @@ def batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, progress = scratch_path(spark, "frames"), scratch_path(spark, "progress")
     table = TickTable(spark, scratch_path(spark, "ticks"), "keep")
     frames = _frames(spark, sf_dir).drop("format")
-    (cut,) = _cuts(frames, 2)
+    (cut,) = _cuts(spark, sf_dir, 2)
     options = IngestOptions(dedup_window=WINDOW)
     early = frames.where(F.col("ingest_ts") < cut)
     run_ingest(early, feed_registry(spark), table, 0, options)
